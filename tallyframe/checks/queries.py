@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -275,8 +275,14 @@ BUILDS: dict[str, Build] = {
 }
 
 
+@lru_cache
+def derived(spark: SparkSession, directory: str) -> DerivedTables:
+    """One table set per session and directory, so that its tables are opened once."""
+    return DerivedTables(spark, directory)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(build: Build) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, directory: build(DerivedTables(spark, directory))
+        return lambda spark, directory: build(derived(spark, directory))
 
     return {name: runner(build) for name, build in BUILDS.items()}

@@ -42,12 +42,16 @@ def _movements(
     from_date: datetime | None,
     to_date: datetime | None,
     asset_type: str | None,
+    every_moment: bool,
 ) -> DataFrame:
     """Cost per book, asset, transaction moment, category and store.
 
     The report pairs every transaction of an asset with every distribution of it and adds up distinct sums.
     A pair without adjustments adds zero, so only the distinct (asset, moment) and (asset, store) pairs are
     combined to find the groups, while the amounts come from the adjustments alone.
+
+    Summaries do not need the moments at which nothing was booked: without ``every_moment`` one row of zero
+    cost stands for all of an asset and store.
     """
     headers = headers_where(tables, within(F.col("transaction_date_entered"), from_date, to_date))
     stores = distribution_stores(tables, None, STORE_CATEGORY).filter(one_of(F.col("store_number"), locations))
@@ -67,11 +71,13 @@ def _movements(
         .join(current_books(tables, book, keep_bookless=True), "asset_id")
     )
 
+    moment = F.col("transaction_date") if every_moment else F.lit(None).cast("timestamp_ntz")
     groups = (
-        headers.select("asset_id", F.col("transaction_date").alias("moment"))
+        headers.select("asset_id", moment.alias("moment"))
         .distinct()
         .join(stores.select("asset_id", "store_location").distinct(), "asset_id")
-        .withColumns({"component": F.lit(None).cast("int"), "value": F.lit(None).cast(MONEY)})
+        .join(assets, "asset_id")
+        .select(*GROUP, F.lit(None).cast("int").alias("component"), F.lit(None).cast(MONEY).alias("value"))
     )
     amounts = nonzero_components(
         adjustment_components(tables, headers)
@@ -80,7 +86,8 @@ def _movements(
         ["asset_id", "moment", "store_location"],
         COMPONENTS,
     )
-    return sum_of_distinct(groups.unionByName(amounts).join(assets, "asset_id"), GROUP, "cost")
+    amounts = amounts.join(assets, "asset_id").select(*GROUP, "component", "value")
+    return sum_of_distinct(groups.unionByName(amounts), GROUP, "cost")
 
 
 def property_tax_detail(
@@ -95,7 +102,7 @@ def property_tax_detail(
     asset_type: str | None = None,
 ) -> DataFrame:
     """Cost movement per asset, transaction and store; the three lists have no "all" and must be given."""
-    rows = _movements(tables, book, majors, minors, locations, from_date, to_date, asset_type)
+    rows = _movements(tables, book, majors, minors, locations, from_date, to_date, asset_type, every_moment=True)
     report = rows.select(
         "asset_book",
         "asset_number",
@@ -142,7 +149,7 @@ def property_tax_by_location(
     asset_type: str | None = None,
 ) -> DataFrame:
     """Cost per category and store; each distinct cost of a bucket counts once."""
-    rows = _movements(tables, book, majors, minors, locations, from_date, to_date, asset_type)
+    rows = _movements(tables, book, majors, minors, locations, from_date, to_date, asset_type, every_moment=False)
     return _summary(rows, ("major_asset_category", "minor_asset_category", "store_location"))
 
 
@@ -158,5 +165,5 @@ def property_tax_summary(
     asset_type: str | None = None,
 ) -> DataFrame:
     """Cost per category; equal costs collapse across stores too, so this is not the sum of the store report."""
-    rows = _movements(tables, book, majors, minors, locations, from_date, to_date, asset_type)
+    rows = _movements(tables, book, majors, minors, locations, from_date, to_date, asset_type, every_moment=False)
     return _summary(rows, ("major_asset_category", "minor_asset_category"))

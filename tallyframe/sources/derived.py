@@ -3,11 +3,17 @@
 The star schema holds none of the ERP tables, so each one is a deterministic view over it (FIXTURES.md).
 The view text is portable SQL: Spark resolves the ``{name}`` slots to DataFrames, and the result check
 resolves them to common table expressions, so both engines start from the same inputs.
+
+A view that joins or groups would be worked out again wherever a report reads it.  Such a view is written
+once per application, as Parquet in the shared folder named by ``spark.checkpoint.dir``, and read from there
+like any stored table: with pruned columns and pushed filters, and without its lineage when executors go.
 """
 
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -264,26 +270,57 @@ def sources_of(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 
 
+def is_costly(name: str) -> bool:
+    """Whether the view shuffles, so that reading it repeatedly should not repeat it."""
+    return re.search(r"\b(distinct|join|group by)\b", VIEWS[name]) is not None
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a local session that names none gets one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tallyframe-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 class DerivedTables(TableSet):
     """A :class:`TableSet` whose tables are views over the star-schema files in ``directory``."""
 
+    # (application, directory) -> folder of its written views, and which of them are complete.
+    _folders: dict[tuple[str, str], str] = {}
+    _written: set[str] = set()
+
     def __init__(self, spark: SparkSession, directory: str):
         super().__init__(spark, {})
-        self._directory = directory
-        self._raw: dict[str, DataFrame] = {}
+        self._directory = directory.rstrip("/")
 
     def _load(self, name: str) -> DataFrame:
-        return self.conform(name, self._view(SAME_ROWS.get(name, name)))
+        base = SAME_ROWS.get(name)
+        if base:
+            return self[base]
+        return self._stored(name) if is_costly(name) else self.conform(name, self._view(name))
 
     def _view(self, name: str) -> DataFrame:
-        if name not in self._raw:
-            if name in STAR_TABLES:
-                frame = self.spark.read.parquet(f"{self._directory}/{name}.parquet")
-            else:
-                inputs = {source: self._view(source) for source in sources_of(name)}
-                frame = self.spark.sql(VIEWS[name], **inputs)
-            self._raw[name] = frame
-        return self._raw[name]
+        inputs = {
+            source: self.spark.read.parquet(f"{self._directory}/{source}.parquet")
+            if source in STAR_TABLES
+            else self[source]
+            for source in sources_of(name)
+        }
+        return self.spark.sql(VIEWS[name], **inputs)
+
+    def _stored(self, name: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self._directory)
+        if key not in self._folders:
+            self._folders[key] = f"{shared_folder(self.spark)}/tallyframe-{uuid.uuid4().hex}"
+        path = f"{self._folders[key]}/{name}"
+        if path not in self._written:
+            self.conform(name, self._view(name)).write.mode("overwrite").parquet(path)
+            self._written.add(path)
+        return self.spark.read.schema(self.schema(name)).parquet(path)
 
 
 def view_prefix(names: list[str]) -> str:
