@@ -146,7 +146,14 @@ def _asof_period(t: TableSet) -> DataFrame:
 
 def _adjustment_components(t: TableSet) -> DataFrame:
     rows = adjustment_components(t, headers_where(t, F.col("transaction_date_entered").isNotNull()))
-    return rows.select("asset_id", "distribution_id", "transaction_header_id", *COMPONENTS)
+    moved = reduce(lambda a, b: a | b, (F.col(c) != 0 for c in COMPONENTS))
+    return rows.filter(moved).select(
+        "asset_id",
+        "distribution_id",
+        "transaction_header_id",
+        date_text(F.col("transaction_date")).alias("entered"),
+        *COMPONENTS,
+    )
 
 
 def _grouped_sum(t: TableSet) -> DataFrame:

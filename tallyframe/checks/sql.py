@@ -571,20 +571,18 @@ select asset_id, cutoff, strftime(transaction_date_entered, '%m/%d/%Y') as enter
     "asof_period": f"""{CALENDAR}, picked as ({_asof_periods()})
 select asset_id, book_type_code, cutoff, strftime(period_open_date, '%m/%d/%Y') as opened from picked""",
     "adjustment_components": f"""moves as ({_cost_sums()})
-select asset_id, distribution_id, transaction_header_id, additions, transfers, clearings, retirements from moves
-where (asset_id, transaction_header_id) in (select (asset_id, transaction_header_id) from fa_transaction_headers)
-  and (asset_id, distribution_id, transaction_header_id) in (
-  select (asset_id, distribution_id, transaction_header_id) from fa_adjustments
-  where (source_type_code in ('ADDITION', 'CIP ADDITION') and debit_credit_flag = 'CR')
-     or (source_type_code in ('ADJUSTMENT', 'CIP ADJUSTMENT') and adjustment_type in ('COST', 'CIP COST')
-         and source_dest_code in ('SOURCE', 'DEST'))
-     or (source_type_code in ('ADJUSTMENT', 'CIP ADJUSTMENT') and adjustment_type = 'COST CLEARING'
-         and source_dest_code is null and debit_credit_flag in ('CR', 'DR'))
-     or (source_type_code = 'RETIREMENT' and adjustment_type = 'NBV RETIRED' and debit_credit_flag in ('CR', 'DR')))""",
+select m.asset_id, m.distribution_id, m.transaction_header_id, strftime(h.entered, '%m/%d/%Y') as entered,
+       m.additions, m.transfers, m.clearings, m.retirements
+from moves m join (
+  select distinct asset_id, transaction_header_id, transaction_date_entered as entered from fa_transaction_headers
+  where transaction_date_entered is not null) h using (asset_id, transaction_header_id)
+where m.additions <> 0 or m.transfers <> 0 or m.clearings <> 0 or m.retirements <> 0""",
     "asset_status": f"{STATUS} select * from picked_status",
     "event_accounts": f"{EVENT_ACCOUNTS} select * from event_account",
     "first_line_location": f"""{LOCATION}
-select i.invoice_id, l.location from (select distinct invoice_id from ap_invoice_distributions_all) i
+select i.invoice_id, l.location from (
+  select distinct invoice_id from ap_invoice_distributions_all
+  where invoice_id is not null and invoice_line_number is not null) i
 left join line_account l using (invoice_id)""",
     "grouped_sum": f"""
 select source_type_code, adjustment_type, cast(sum(adjustment_amount) as {M}) as amount
@@ -608,7 +606,9 @@ select source_type_code,
 from fa_adjustments group by source_type_code""",
     "null_concat": f"select g.code_combination_id, {ACCOUNT} as account from gl_code_combinations g",
     "period_prefix": """
-select book_type_code, period_counter, split_part(period_name, '-', 1) as period_month from fa_deprn_periods""",
+select book_type_code, period_counter,
+       case when strpos(period_name, '-') > 1 then split_part(period_name, '-', 1) end as period_month
+from fa_deprn_periods""",
     "date_text": """
 select strftime(transaction_date_entered, '%m/%d/%Y') as transaction_date, count(*) as n_rows
 from fa_transaction_headers group by 1""",
@@ -639,13 +639,19 @@ BODIES: dict[str, str] = {
 }
 
 
+def over_tables(name: str) -> str:
+    """The statement over tables that already exist under their ERP names."""
+    body = BODIES[name].strip()
+    return f"with {body}" if re.match(r"\w+ as \(", body) else body
+
+
 def statements() -> dict[str, str]:
-    """Complete statements: the derived tables that a body names, then the body."""
+    """Complete statements over the star schema: the derived tables that a body names, then the body."""
     result = {}
     for name, body in BODIES.items():
         words = set(re.findall(r"\w+", body))
         tables = [t for t in (*VIEWS, *SAME_ROWS) if t in words]
-        body = body.strip()
-        continues = re.match(r"\w+ as \(", body) is not None
-        result[name] = view_prefix(tables) + (",\n" if continues else "\n") + body
+        rest = over_tables(name)
+        views = view_prefix(tables)
+        result[name] = views + (",\n" + rest.removeprefix("with ") if rest.startswith("with ") else "\n" + rest)
     return result
