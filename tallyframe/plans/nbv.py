@@ -185,20 +185,6 @@ def nbv_summary(
     depend on the row only where several assets share a number, so only those keep the row's identity.
     """
     stores = distribution_stores(tables, locations)
-    assets = _assets(tables, book, keep_bookless=False)
-
-    shared = (
-        tables["fa_additions_b"]
-        .groupBy("asset_number", "asset_type")
-        .agg(F.min("asset_id").alias("first"), F.max("asset_id").alias("last"))
-        .filter("first <> last")
-        .select(F.col("asset_number").alias("n"), F.col("asset_type").alias("t"), F.lit(True).alias("shared"))
-    )
-    members = (
-        _asset_stores(stores, assets, locations)
-        .join(shared, F.col("asset_number").eqNullSafe(F.col("n")) & F.col("asset_type").eqNullSafe(F.col("t")), "left")
-        .drop("n", "t")
-    )
     charged = (
         tables["fa_deprn_summary"]
         .filter((F.col("deprn_source_code") == "DEPRN") & within(F.col("deprn_run_date"), from_date, to_date))
@@ -207,43 +193,45 @@ def nbv_summary(
             F.struct("period_counter", "deprn_reserve", "adjusted_cost", "impairment_reserve").alias("row"),
         )
     )
-    # One line per asset and store, or per row where the number is shared.
+    shared = (
+        tables["fa_additions_b"]
+        .groupBy("asset_number", "asset_type")
+        .agg(F.min("asset_id").alias("first"), F.max("asset_id").alias("last"))
+        .filter("first <> last")
+        .select(F.col("asset_number").alias("n"), F.col("asset_type").alias("t"), F.lit(True).alias("shared"))
+    )
+    # One line per book and asset, or per depreciation row where the number is shared.
     lines = (
-        charged.distinct()
-        .join(members, "asset_id")
-        .withColumn("row", F.when(F.col("shared"), F.col("row")))
+        _assets(tables, book, keep_bookless=False)
+        .join(shared, F.col("asset_number").eqNullSafe(F.col("n")) & F.col("asset_type").eqNullSafe(F.col("t")), "left")
+        .join(charged, "asset_id")
+        .select("asset_id", *ASSET, F.when(F.col("shared"), F.col("row")).alias("row"))
         .distinct()
-        .drop("shared")
     )
 
+    # An asset's amounts: cost by store; its reserves, and a bare row, in each of its stores.
     costs = nonzero_components(
         adjustment_components(
             tables, headers_where(tables, F.col("transaction_date_entered") <= moment(from_date))
         ).join(stores, ["asset_id", "distribution_id"]),
         ["asset_id", *STORE],
         COMPONENTS,
-    ).distinct()
-    reserves = nonzero_components(
-        _opening_reserves(tables, from_date).select(
-            "asset_id", (-F.col("deprn_reserve")).alias("reserve"), (-F.col("impairment_reserve")).alias("impairment")
-        ),
-        ["asset_id"],
-        ["reserve", "impairment"],
-    ).withColumn("component", F.col("component") + len(COMPONENTS))
-
-    # A line's amounts: cost by store, reserves whatever the store, and a bare row that keeps it alive.
-    same_store = [F.col(f"l.{c}").eqNullSafe(F.col(f"c.{c}")) for c in STORE]
-    group = [*ASSET, *STORE, "row"]
-    fields = [*group, "component", "value"]
-    values = (
-        lines.alias("l")
-        .join(costs.alias("c"), [F.col("l.asset_id") == F.col("c.asset_id"), *same_store])
-        .select(*(F.col(f"l.{c}") for c in group), "component", "value")
-        .unionByName(lines.join(reserves, "asset_id").select(*fields))
-        .unionByName(
-            lines.withColumns({"component": F.lit(None).cast("int"), "value": F.lit(None).cast(MONEY)}).select(*fields)
-        )
     )
+    reserve = len(COMPONENTS)
+    amount = F.array(
+        F.struct(F.lit(None).cast("int").alias("component"), F.lit(None).cast(MONEY).alias("value")),
+        F.struct(F.lit(reserve).alias("component"), (-F.col("deprn_reserve")).cast(MONEY).alias("value")),
+        F.struct(F.lit(reserve + 1).alias("component"), (-F.col("impairment_reserve")).cast(MONEY).alias("value")),
+    )
+    places = _asset_stores(stores, tables["fa_additions_b"].select("asset_id").distinct(), locations)
+    held = (
+        places.join(_opening_reserves(tables, from_date), "asset_id", "left")
+        .select("asset_id", *STORE, F.explode(amount).alias("a"))
+        .select("asset_id", *STORE, "a.component", "a.value")
+        .filter("component is null or value <> 0")
+    )
+    group = [*ASSET, *STORE, "row"]
+    values = costs.unionByName(held).join(lines, "asset_id").select(*group, "component", "value")
     figure = F.col("component")
     per_line = (
         values.distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.predicates import optional_eq
 from tallyframe.functions.values import MONEY, life_in_years, money, signed, zero_if_null
 from tallyframe.operators.calendar import QUARTERS, Calendar, quarter_sums
-from tallyframe.operators.combine import row_weights, zero_pad_union
+from tallyframe.operators.combine import zero_pad_union
 from tallyframe.operators.keyed import current_rows, last_before, latest_rows
 from tallyframe.sources.registry import TableSet
 
@@ -27,6 +27,7 @@ COMPANY_CATEGORY = "Company COA"
 RETIREMENT_COMPANY_CATEGORY = "Company Northgate COA"
 
 KEYS = ("major_asset_category", "life_in_years")
+WEIGHTS = ("weight", "retirement_weight")
 
 
 def _quarterly(*names: str) -> list[str]:
@@ -57,34 +58,47 @@ class _Scope:
         company: str | None,
         major: str | None,
         life_years: Decimal | float | str | None,
+        retirement_category: str,
     ):
         self.tables, self.calendar, self.book = tables, calendar, book
+        self.retirement_category = retirement_category
         self.asset_number, self.company, self.major = asset_number, company, major
         self.life_years = None if life_years is None else Decimal(str(life_years))
 
-    def assets(self, company_category: str) -> DataFrame:
-        """Assets in scope with their major category, placed by their latest open distribution."""
+    def assets(self) -> DataFrame:
+        """Assets in scope with their major category, placed by their latest open distribution.
+
+        ``weight`` counts the company rows an asset joins, and ``retirement_weight`` does the same in the value
+        category that retirements use.  Without a company an asset that joins none still counts once; with one,
+        only its rows count, and zero means out of scope.
+        """
         t = self.tables
         majors = optional_eq(t["fa_categories_b"], "segment1", self.major).select(
             F.col("category_id").alias("asset_category_id"), F.col("segment1").alias("major_asset_category")
         )
+        category = F.col("value_category")
         companies = (
-            t["fnd_flex_values_vl"]
-            .filter(F.col("value_category") == company_category)
-            .select(F.col("flex_value").alias("segment1"), F.col("flex_value").alias("company"))
+            optional_eq(t["fnd_flex_values_vl"], "flex_value", self.company)
+            .groupBy(F.col("flex_value").alias("segment1"))
+            .agg(
+                F.count_if(category == COMPANY_CATEGORY).alias("weight"),
+                F.count_if(category == self.retirement_category).alias("retirement_weight"),
+            )
         )
+        fewest = F.lit(1 if self.company is None else 0)
         placed = (
             latest_rows(current_rows(t["fa_distribution_history"]), "asset_id", "distribution_id")
             .select("asset_id", "code_combination_id")
             .join(t["gl_code_combinations"].select("code_combination_id", "segment1"), "code_combination_id", "left")
             .join(companies, "segment1", "left")
+            .select("asset_id", *(F.greatest(F.coalesce(w, F.lit(0)), fewest).alias(w) for w in WEIGHTS))
         )
-        placed = optional_eq(placed, "company", self.company).select("asset_id")
         return (
             optional_eq(t["fa_additions_b"], "asset_number", self.asset_number)
             .join(majors, "asset_category_id")
             .join(placed, "asset_id")
-            .select("asset_id", "asset_number", "asset_type", "major_asset_category")
+            .filter(" + ".join(WEIGHTS) + " > 0")
+            .select("asset_id", "asset_number", "asset_type", "major_asset_category", *WEIGHTS)
         )
 
     def books(self) -> DataFrame:
@@ -93,12 +107,15 @@ class _Scope:
         lives = optional_eq(lives, "life_in_years", self.life_years)
         return self.tables["fa_books"].filter(F.col("book_type_code") == self.book).join(lives, "method_id")
 
-    def weights(self, company_category: str) -> DataFrame:
-        """Open book rows per (asset, type, major, life): how often each movement of the asset counts."""
-        rows = self.assets(company_category).join(
-            current_rows(self.books()).select("asset_id", "life_in_years"), "asset_id"
+    def weighted_assets(self) -> DataFrame:
+        """Assets by life of their open book rows, and how often each movement of theirs counts."""
+        lives = current_rows(self.books()).select("asset_id", "life_in_years")
+        return (
+            self.assets()
+            .join(lives, "asset_id")
+            .groupBy("asset_id", "asset_type", *KEYS)
+            .agg(*(F.sum(w).cast("decimal(12,0)").alias(w) for w in WEIGHTS))
         )
-        return row_weights(rows, ["asset_id", "asset_type", *KEYS], "weight")
 
     def year_headers(self) -> DataFrame:
         when = F.col("transaction_date_entered")
@@ -124,15 +141,8 @@ class _Scope:
         return self.tables["fa_deprn_summary"].filter(F.col("book_type_code") == self.book)
 
 
-def _weighted(column: str) -> Column:
-    return F.col(column) * F.col("weight").cast("decimal(12,0)")
-
-
 def _transactions(scope: _Scope) -> DataFrame:
-    """Additions, adjustments and retirements of the year by quarter.
-
-    Movements are added up per asset before they meet the assets, so a busy asset is one row by then.
-    """
+    """Additions, adjustments and retirements of the year per asset and quarter."""
     headers = scope.year_headers().filter(F.col("transaction_type_code").isin(*TRANSACTION_TYPES))
 
     source, kind = F.col("source_type_code"), F.col("adjustment_type")
@@ -180,30 +190,7 @@ def _transactions(scope: _Scope) -> DataFrame:
         "retired": F.when(code.isin("PARTIAL RETIREMENT", "FULL RETIREMENT"), -amount).otherwise(none),
         "reinstated": F.when(code == "REINSTATEMENT", amount).otherwise(none),
     }
-    per_asset = rows.groupBy("asset_id", "cip_only", "quarters").agg(
-        *(F.sum(value).alias(name) for name, value in kinds.items())
-    )
-
-    sums = [s for name in kinds for s in quarter_sums(F.col("quarters"), _weighted(name), name)]
-    grouped = (
-        per_asset.join(scope.weights(COMPANY_CATEGORY), "asset_id")
-        .filter("not cip_only or asset_type = 'CIP'")
-        .groupBy(*KEYS)
-        .agg(*sums)
-    )
-    return grouped.select(
-        *KEYS,
-        *(
-            column
-            for q in QUARTERS
-            for column in (
-                F.col(f"q{q}_addition").alias(f"q{q}_additions"),
-                # NULL on either side makes the sum NULL, as in the report.
-                (F.col(f"q{q}_retired") + F.col(f"q{q}_reinstated")).alias(f"q{q}_retirements"),
-                F.col(f"q{q}_adjustment").alias(f"q{q}_adjustments"),
-            )
-        ),
-    )
+    return rows.groupBy("asset_id", "cip_only", "quarters").agg(*(F.sum(v).alias(name) for name, v in kinds.items()))
 
 
 def _cost_balances(scope: _Scope) -> DataFrame:
@@ -225,8 +212,8 @@ def _cost_balances(scope: _Scope) -> DataFrame:
         scope.books()
         .select("asset_id", "transaction_header_id_in", "life_in_years", "cost")
         .join(last, ["asset_id", "transaction_header_id_in"])
-        .join(scope.assets(COMPANY_CATEGORY), "asset_id"),
-        zero_if_null(F.col("cost")),
+        .join(scope.assets().filter("weight > 0"), "asset_id"),
+        zero_if_null(F.col("cost")) * F.col("weight").cast("decimal(12,0)"),
         "balance",
     )
 
@@ -242,29 +229,21 @@ def _balances(rows: DataFrame, amount: Column, suffix: str) -> DataFrame:
 
 
 def _depreciation(scope: _Scope) -> DataFrame:
-    """Depreciation of the year by quarter of its period."""
+    """Depreciation of the year per asset and quarter of its period."""
     source = F.col("deprn_source_code")
     opened = F.col("period_open_date")
     booked = F.when(source == "BOOKS", F.col("deprn_reserve")).otherwise(F.col("system_deprn_amount"))
     added = F.when(source == "DEPRN", F.col("deprn_adjustment_amount")).otherwise(F.lit(0).cast("decimal(18,2)"))
-    per_asset = (
+    return (
         scope.depreciation()
         .join(scope.periods(scope.calendar.in_year(opened)), "period_counter")
         .groupBy("asset_id", scope.calendar.quarter_mask(opened).alias("quarters"))
-        .agg(F.sum(-booked).alias("system"), F.sum(-added).alias("added"))
-    )
-    return (
-        per_asset.join(scope.weights(COMPANY_CATEGORY), "asset_id")
-        .groupBy(*KEYS)
-        .agg(
-            *quarter_sums(F.col("quarters"), _weighted("system"), "system_depreciation"),
-            *quarter_sums(F.col("quarters"), _weighted("added"), "addition_depreciation"),
-        )
+        .agg(F.sum(-booked).alias("system_depreciation"), F.sum(-added).alias("addition_depreciation"))
     )
 
 
-def _retired_reserve(scope: _Scope, company_category: str) -> DataFrame:
-    """Reserve released by processed retirements of the year."""
+def _retired_reserve(scope: _Scope) -> DataFrame:
+    """Reserve released by processed retirements of the year, per asset and quarter."""
     keys = ["asset_id", "transaction_header_id"]
     retirements = (
         scope.tables["fa_retirements"]
@@ -276,18 +255,64 @@ def _retired_reserve(scope: _Scope, company_category: str) -> DataFrame:
         .filter((F.col("source_type_code") == "RETIREMENT") & (F.col("adjustment_type") == "RESERVE"))
         .select(*keys, "adjustment_amount")
     )
-    per_asset = (
+    return (
         scope.year_headers()
         .select(*keys, "quarters")
         .join(retirements, keys)
         .join(reserves, keys)
         .groupBy("asset_id", "quarters")
-        .agg(F.sum("adjustment_amount").alias("reserve"))
+        .agg(F.sum("adjustment_amount").alias("retirement_depreciation"))
     )
-    return (
-        per_asset.join(scope.weights(company_category), "asset_id")
+
+
+def _movements(scope: _Scope) -> DataFrame:
+    """All movements of the year by quarter.
+
+    They are added up per asset before they meet the assets, so that a busy asset is one row per quarter by
+    then, and they meet the assets together.
+    """
+    cost = ("addition", "adjustment", "retired", "reinstated")
+    charge = ("system_depreciation", "addition_depreciation")
+    release = ("retirement_depreciation",)
+    measures = (*cost, *charge, *release)
+
+    def rows(frame: DataFrame, weight: str, filled: tuple[str, ...]) -> DataFrame:
+        none = F.lit(0).cast(MONEY)
+        return frame.select(
+            "asset_id",
+            (F.col("cip_only") if "cip_only" in frame.columns else F.lit(False)).alias("cip_only"),
+            "quarters",
+            F.lit(weight).alias("counts_by"),
+            *((F.col(m).cast(MONEY) if m in filled else none).alias(m) for m in measures),
+        )
+
+    moved = (
+        rows(_transactions(scope), "weight", cost)
+        .unionByName(rows(_depreciation(scope), "weight", charge))
+        .unionByName(rows(_retired_reserve(scope), "retirement_weight", release))
+    )
+    times = F.when(F.col("counts_by") == "weight", F.col("weight")).otherwise(F.col("retirement_weight"))
+    sums = [s for m in measures for s in quarter_sums(F.col("quarters"), F.col(m) * F.col("times"), m)]
+    grouped = (
+        moved.join(scope.weighted_assets(), "asset_id")
+        .withColumn("times", times)
+        .filter("times > 0 and (not cip_only or asset_type = 'CIP')")
         .groupBy(*KEYS)
-        .agg(*quarter_sums(F.col("quarters"), _weighted("reserve"), "retirement_depreciation"))
+        .agg(*sums)
+    )
+    return grouped.select(
+        *KEYS,
+        *(
+            column
+            for q in QUARTERS
+            for column in (
+                F.col(f"q{q}_addition").alias(f"q{q}_additions"),
+                # NULL on either side makes the sum NULL, as in the report.
+                (F.col(f"q{q}_retired") + F.col(f"q{q}_reinstated")).alias(f"q{q}_retirements"),
+                F.col(f"q{q}_adjustment").alias(f"q{q}_adjustments"),
+            )
+        ),
+        *_quarterly(*charge, *release),
     )
 
 
@@ -316,7 +341,7 @@ def _reserve_balances(scope: _Scope) -> DataFrame:
         reserves.join(last, ["asset_id", "period_open_date"])
         .distinct()
         .join(lives, "asset_id")
-        .join(scope.assets(COMPANY_CATEGORY), "asset_id")
+        .join(scope.assets().filter("weight > 0"), "asset_id")
         .select("asset_number", *KEYS, "life_in_months", "cutoff", "period_open_date", "deprn_reserve")
         .distinct()
     )
@@ -341,14 +366,10 @@ def asset_rollforward(
     calendar = Calendar.read(tables, year, book)
     known = calendar is not None
     calendar = calendar or Calendar(None, None, None, None, None, None)
-    scope = _Scope(tables, calendar, book or "", asset_number, company, major, life_years)
-    branches = [
-        _transactions(scope),
-        _cost_balances(scope),
-        _depreciation(scope),
-        _retired_reserve(scope, retirement_company_category),
-        _reserve_balances(scope),
-    ]
+    scope = _Scope(
+        tables, calendar, book or "", asset_number, company, major, life_years, retirement_company_category
+    )
+    branches = [_movements(scope), _cost_balances(scope), _reserve_balances(scope)]
     totals = zero_pad_union(branches, KEYS, MEASURES).groupBy(*KEYS).agg(*(F.sum(m).alias(m) for m in MEASURES))
     if not known:
         totals = totals.filter(F.lit(False))
