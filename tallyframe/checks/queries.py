@@ -20,7 +20,7 @@ from tallyframe.functions.values import (
     signed,
     zero_if_null,
 )
-from tallyframe.operators.assets import COMPONENTS, adjustment_components, current_books, headers_where
+from tallyframe.operators.assets import adjustment_components, current_books, headers_where
 from tallyframe.operators.calendar import Calendar, fiscal_calendar, quarter_sums
 from tallyframe.operators.combine import left_join_spreading_nulls, zero_pad_union
 from tallyframe.operators.keyed import current_rows, last_before, latest_rows
@@ -146,14 +146,8 @@ def _asof_period(t: TableSet) -> DataFrame:
 
 def _adjustment_components(t: TableSet) -> DataFrame:
     rows = adjustment_components(t, headers_where(t, F.col("transaction_date_entered").isNotNull()))
-    moved = reduce(lambda a, b: a | b, (F.col(c) != 0 for c in COMPONENTS))
-    return rows.filter(moved).select(
-        "asset_id",
-        "distribution_id",
-        "transaction_header_id",
-        date_text(F.col("transaction_date")).alias("entered"),
-        *COMPONENTS,
-    )
+    entered = date_text(F.col("transaction_date")).alias("entered")
+    return rows.select("asset_id", "distribution_id", "transaction_header_id", entered, "component", "value")
 
 
 def _grouped_sum(t: TableSet) -> DataFrame:

@@ -570,13 +570,16 @@ where date_ineffective is null and distribution_id = (
 select asset_id, cutoff, strftime(transaction_date_entered, '%m/%d/%Y') as entered, transaction_header_id from picked""",
     "asof_period": f"""{CALENDAR}, picked as ({_asof_periods()})
 select asset_id, book_type_code, cutoff, strftime(period_open_date, '%m/%d/%Y') as opened from picked""",
-    "adjustment_components": f"""moves as ({_cost_sums()})
-select m.asset_id, m.distribution_id, m.transaction_header_id, strftime(h.entered, '%m/%d/%Y') as entered,
-       m.additions, m.transfers, m.clearings, m.retirements
-from moves m join (
-  select distinct asset_id, transaction_header_id, transaction_date_entered as entered from fa_transaction_headers
-  where transaction_date_entered is not null) h using (asset_id, transaction_header_id)
-where m.additions <> 0 or m.transfers <> 0 or m.clearings <> 0 or m.retirements <> 0""",
+    "adjustment_components": f"""moves as ({_cost_sums()}),
+listed as (
+  select m.asset_id, m.distribution_id, m.transaction_header_id, strftime(h.entered, '%m/%d/%Y') as entered,
+         unnest([0, 1, 2, 3]) as component,
+         unnest([m.additions, m.transfers, m.clearings, m.retirements]) as value
+  from moves m join (
+    select distinct asset_id, transaction_header_id, transaction_date_entered as entered from fa_transaction_headers
+    where transaction_date_entered is not null) h using (asset_id, transaction_header_id)
+)
+select * from listed where value <> 0""",
     "asset_status": f"{STATUS} select * from picked_status",
     "event_accounts": f"{EVENT_ACCOUNTS} select * from event_account",
     "first_line_location": f"""{LOCATION}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.predicates import one_of_or_all
-from tallyframe.functions.values import MONEY, signed
+from tallyframe.functions.values import MONEY
 from tallyframe.operators.keyed import current_rows
 from tallyframe.sources.registry import TableSet
 
@@ -72,44 +72,53 @@ def distribution_stores(
     )
 
 
-def component_amounts() -> dict[str, Column]:
-    """The four cost movements that one adjustment row can carry (NULL where it carries another)."""
-    amount, kind = F.col("adjustment_amount"), F.col("adjustment_type")
-    source, direction, side = F.col("source_type_code"), F.col("source_dest_code"), F.col("debit_credit_flag")
+def cost_component() -> Column:
+    """Number (see :data:`COMPONENTS`) of the cost movement that an adjustment row carries, NULL for none."""
+    kind, source = F.col("adjustment_type"), F.col("source_type_code")
+    direction, side = F.col("source_dest_code"), F.col("debit_credit_flag")
     is_adjustment = source.isin("ADJUSTMENT", "CIP ADJUSTMENT")
-    return {
-        "additions": F.when(source.isin("ADDITION", "CIP ADDITION") & (side == "CR"), amount),
-        "transfers": F.when(
-            is_adjustment & kind.isin("COST", "CIP COST"), signed(amount, direction, plus="DEST", minus="SOURCE")
-        ),
-        "clearings": F.when(
-            is_adjustment & (kind == "COST CLEARING") & direction.isNull(),
-            signed(amount, side, plus="CR", minus="DR"),
-        ),
-        "retirements": F.when(
-            (source == "RETIREMENT") & (kind == "NBV RETIRED"), signed(amount, side, plus="CR", minus="DR")
-        ),
+    has_side = side.isin("CR", "DR")
+    rules = {
+        "additions": source.isin("ADDITION", "CIP ADDITION") & (side == "CR"),
+        "transfers": is_adjustment & kind.isin("COST", "CIP COST") & direction.isin("DEST", "SOURCE"),
+        "clearings": is_adjustment & (kind == "COST CLEARING") & direction.isNull() & has_side,
+        "retirements": (source == "RETIREMENT") & (kind == "NBV RETIRED") & has_side,
     }
+    number = F.lit(None).cast("int")
+    for name in reversed(COMPONENTS):
+        number = F.when(rules[name], F.lit(COMPONENTS.index(name))).otherwise(number)
+    return number
 
 
 def adjustment_components(tables: TableSet, headers: DataFrame) -> DataFrame:
     """Cost movements per (asset, distribution, header), for the transactions in ``headers``.
 
-    ``headers`` has asset_id, transaction_header_id and transaction_date.  One scan of the adjustments
-    serves all four sums; rows that carry no movement are left out before the shuffle.  The join and the
-    grouping share their partitioning by (asset, header).
+    ``headers`` has asset_id, transaction_header_id and transaction_date.  The result has one row per non-zero
+    ``component`` with its ``value``; sums of distinct values are unchanged by zeros, so that is all they need.
+    One scan of the adjustments serves all components, and the join and the grouping share their partitioning
+    by (asset, header).
     """
-    parts = component_amounts()
+    component, amount = F.col("component"), F.col("adjustment_amount")
+    negative = ((component == COMPONENTS.index("transfers")) & (F.col("source_dest_code") == "SOURCE")) | (
+        (component > COMPONENTS.index("transfers")) & (F.col("debit_credit_flag") == "DR")
+    )
     moves = (
         tables["fa_adjustments"]
-        .filter(F.col("source_type_code").isin("ADDITION", "CIP ADDITION", "ADJUSTMENT", "CIP ADJUSTMENT", "RETIREMENT"))
-        .select("asset_id", "transaction_header_id", "distribution_id", *(c.alias(n) for n, c in parts.items()))
-        .filter(F.coalesce(*(F.col(n) for n in COMPONENTS)).isNotNull())
+        .withColumn("component", cost_component())
+        .filter("component is not null")
+        .select(
+            "asset_id",
+            "transaction_header_id",
+            "distribution_id",
+            "component",
+            F.when(negative, -amount).otherwise(amount).alias("value"),
+        )
     )
     return (
         moves.join(headers.distinct(), ["asset_id", "transaction_header_id"])
-        .groupBy("asset_id", "transaction_header_id", "transaction_date", "distribution_id")
-        .agg(*(F.coalesce(F.sum(n), F.lit(0)).cast(MONEY).alias(n) for n in COMPONENTS))
+        .groupBy("asset_id", "transaction_header_id", "transaction_date", "distribution_id", "component")
+        .agg(F.sum("value").cast(MONEY).alias("value"))
+        .filter("value <> 0")
     )
 
 

@@ -58,21 +58,6 @@ def zero_pad_union(frames: Sequence[DataFrame], keys: Sequence[str], measures: S
     return reduce(DataFrame.unionByName, map(padded, frames))
 
 
-def nonzero_components(frame: DataFrame, keys: Sequence[str], components: Sequence[str]) -> DataFrame:
-    """One row per non-zero component: ``keys``, component number and value.
-
-    A sum of distinct values is unchanged by zeros, so this is all that such sums need.
-    """
-    parts = F.array(
-        *(F.struct(F.lit(i).alias("component"), F.col(c).alias("value")) for i, c in enumerate(components))
-    )
-    return (
-        frame.select(*keys, F.explode(parts).alias("p"))
-        .select(*keys, "p.component", "p.value")
-        .filter("value <> 0")
-    )
-
-
 def sum_of_distinct(frame: DataFrame, keys: Sequence[str], total: str) -> DataFrame:
     """Per ``keys``: the distinct values of each component, summed over components.
 

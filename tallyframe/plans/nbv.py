@@ -17,8 +17,6 @@ from tallyframe.operators.assets import (
     distribution_stores,
     headers_where,
 )
-from tallyframe.operators.combine import nonzero_components
-from tallyframe.operators.keyed import last_before
 from tallyframe.sources.registry import TableSet
 
 STORE = ("store_number", "store_location")
@@ -70,13 +68,9 @@ def _cost_variation(
         .join(headers.select("transaction_header_id"), "transaction_header_id", "left_semi")
         .distinct()
     )
-    amounts = nonzero_components(
-        adjustment_components(tables, headers),
-        ["asset_id", "distribution_id", "transaction_header_id", "transaction_date"],
-        COMPONENTS,
-    )
     rows = (
-        amounts.join(adjusted, ["transaction_header_id", "distribution_id"])
+        adjustment_components(tables, headers)
+        .join(adjusted, ["transaction_header_id", "distribution_id"])
         .join(_period_names(tables), "period_counter")
         .join(stores.dropna(subset=STORE), ["asset_id", "distribution_id"])
         .join(_assets(tables, book, keep_bookless=False), "asset_id")
@@ -148,27 +142,20 @@ def _opening_reserves(tables: TableSet, from_date: datetime | None) -> DataFrame
     """Reserve and impairment of each asset at its last period up to ``from_date``.
 
     The last period is sought over every source, and only ``DEPRN`` rows of it are added up, over all books.
-    One aggregation per (asset, period) serves both steps.
     """
-    posted = F.col("deprn_source_code") == "DEPRN"
-    per_period = (
+    last = (
         tables["fa_deprn_summary"]
-        .groupBy("asset_id", "period_counter")
-        .agg(
-            F.coalesce(F.bool_or(F.col("deprn_run_date") <= moment(from_date)), F.lit(False)).alias("reached"),
-            *(
-                F.coalesce(F.sum(F.when(posted, F.col(c))), F.lit(0)).cast(MONEY).alias(c)
-                for c in ("deprn_reserve", "impairment_reserve")
-            ),
-        )
-        .filter(F.col("reached") & F.col("period_counter").isNotNull())
+        .filter(F.col("deprn_run_date") <= moment(from_date))
+        .groupBy("asset_id")
+        .agg(F.max("period_counter").alias("period_counter"))
+    )
+    return (
+        tables["fa_deprn_summary"]
+        .filter(F.col("deprn_source_code") == "DEPRN")
+        .join(last, ["asset_id", "period_counter"])
+        .groupBy("asset_id")
+        .agg(*(F.coalesce(F.sum(c), F.lit(0)).cast(MONEY).alias(c) for c in ("deprn_reserve", "impairment_reserve")))
     )
-    return last_before(
-        per_period,
-        "asset_id",
-        ("period_counter", "deprn_reserve", "impairment_reserve"),
-        {"opening": F.lit(True)},
-    ).select("asset_id", "deprn_reserve", "impairment_reserve")
 
 
 def nbv_summary(
@@ -210,18 +197,16 @@ def nbv_summary(
     )
 
     # An asset's amounts: cost by store; its reserves, and a bare row, in each of its stores.
-    costs = nonzero_components(
-        adjustment_components(
-            tables, headers_where(tables, F.col("transaction_date_entered") <= moment(from_date))
-        ).join(stores, ["asset_id", "distribution_id"]),
-        ["asset_id", *STORE],
-        COMPONENTS,
+    costs = (
+        adjustment_components(tables, headers_where(tables, F.col("transaction_date_entered") <= moment(from_date)))
+        .join(stores, ["asset_id", "distribution_id"])
+        .select("asset_id", *STORE, "component", "value")
     )
     reserve = len(COMPONENTS)
     amount = F.array(
         F.struct(F.lit(None).cast("int").alias("component"), F.lit(None).cast(MONEY).alias("value")),
-        F.struct(F.lit(reserve).alias("component"), (-F.col("deprn_reserve")).cast(MONEY).alias("value")),
-        F.struct(F.lit(reserve + 1).alias("component"), (-F.col("impairment_reserve")).cast(MONEY).alias("value")),
+        F.struct(F.lit(reserve).alias("component"), (-F.col("deprn_reserve")).alias("value")),
+        F.struct(F.lit(reserve + 1).alias("component"), (-F.col("impairment_reserve")).alias("value")),
     )
     places = _asset_stores(stores, tables["fa_additions_b"].select("asset_id").distinct(), locations)
     held = (

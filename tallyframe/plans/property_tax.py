@@ -10,14 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.predicates import one_of, optional_eq, within
 from tallyframe.functions.values import MONEY, date_text
-from tallyframe.operators.assets import (
-    COMPONENTS,
-    adjustment_components,
-    current_books,
-    distribution_stores,
-    headers_where,
-)
-from tallyframe.operators.combine import nonzero_components, sum_of_distinct
+from tallyframe.operators.assets import adjustment_components, current_books, distribution_stores, headers_where
+from tallyframe.operators.combine import sum_of_distinct
 from tallyframe.sources.registry import TableSet
 
 STORE_CATEGORY = "Location COA"
@@ -79,14 +73,13 @@ def _movements(
         .join(assets, "asset_id")
         .select(*GROUP, F.lit(None).cast("int").alias("component"), F.lit(None).cast(MONEY).alias("value"))
     )
-    amounts = nonzero_components(
+    amounts = (
         adjustment_components(tables, headers)
         .withColumnRenamed("transaction_date", "moment")
-        .join(stores.select("asset_id", "distribution_id", "store_location"), ["asset_id", "distribution_id"]),
-        ["asset_id", "moment", "store_location"],
-        COMPONENTS,
+        .join(stores.select("asset_id", "distribution_id", "store_location"), ["asset_id", "distribution_id"])
+        .join(assets, "asset_id")
+        .select(*GROUP, "component", "value")
     )
-    amounts = amounts.join(assets, "asset_id").select(*GROUP, "component", "value")
     return sum_of_distinct(groups.unionByName(amounts), GROUP, "cost")
 
 
