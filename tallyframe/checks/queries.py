@@ -89,7 +89,7 @@ def _quarter_buckets(t: TableSet) -> DataFrame:
     rows = t["fa_deprn_summary"].select(
         "book_type_code", "deprn_amount", calendar.quarter_mask(F.col("deprn_run_date")).alias("quarters")
     )
-    return rows.groupBy("book_type_code").agg(*quarter_sums(F.col("quarters"), F.col("deprn_amount"), "amount"))
+    return rows.groupBy("book_type_code").agg(*quarter_sums("deprn_amount", "amount"))
 
 
 def _current_books(t: TableSet) -> DataFrame:

@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.values import money
 from tallyframe.functions.predicates import moment
+from tallyframe.functions.values import MONEY
 from tallyframe.sources.registry import TableSet
 
 QUARTERS = (1, 2, 3, 4)
@@ -106,10 +106,11 @@ class Calendar:
         return bits[0] + bits[1] + bits[2] + bits[3]
 
 
-def quarter_sums(mask: Column, amount: Column, name: str) -> list[Column]:
-    """Four sums of ``amount``, one per quarter; rows outside the quarter count as zero, not as NULL."""
-    zero = F.lit(0).cast("decimal(1,0)")
+def quarter_sums(amount: str, name: str, mask: str = "quarters") -> list[Column]:
+    """Four sums of the expression ``amount`` by the bits of ``mask``.
+
+    Rows outside the quarter count as zero, not as NULL.
+    """
     return [
-        money(F.sum(F.when(F.getbit(mask, F.lit(q - 1)) == 1, amount).otherwise(zero))).alias(f"q{q}_{name}")
-        for q in QUARTERS
+        F.expr(f"cast(sum(if(getbit({mask}, {q - 1}) = 1, {amount}, 0)) as {MONEY}) as q{q}_{name}") for q in QUARTERS
     ]

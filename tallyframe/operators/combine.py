@@ -47,13 +47,8 @@ def zero_pad_union(frames: Sequence[DataFrame], keys: Sequence[str], measures: S
     """Union of aggregates that each fill some of ``measures``; the others are zero, which sums ignore."""
 
     def padded(frame: DataFrame) -> DataFrame:
-        return frame.select(
-            *keys,
-            *(
-                (F.col(m) if m in frame.columns else F.lit(0)).cast(MONEY).alias(m)
-                for m in measures
-            ),
-        )
+        filled = set(frame.columns)
+        return frame.selectExpr(*keys, *(f"cast({m if m in filled else 0} as {MONEY}) as {m}" for m in measures))
 
     return reduce(DataFrame.unionByName, map(padded, frames))
 

@@ -243,7 +243,6 @@ def cip_rollforward(tables: TableSet, *, year: str, book: str | None, company: s
     calendar = Calendar.read(tables, year, book) or NO_CALENDAR
     when = F.col("prvdr_gl_date")
     cost = F.round("projfunc_raw_cost", 2)
-    none = F.lit(0).cast("decimal(18,2)")
     mask = F.when(calendar.in_year(when), calendar.quarter_mask(when)).otherwise(F.lit(0))
     weight = (F.col("project_weight") * F.col("task_weight")).cast("decimal(12,0)")
 
@@ -268,15 +267,24 @@ def cip_rollforward(tables: TableSet, *, year: str, book: str | None, company: s
     rows = per_item.join(_item_weights(tables), "expenditure_item_id").join(
         asset_status(tables), "expenditure_item_id", "left"
     )
-    amount = F.col("cost") * F.col("item_weight").cast("decimal(12,0)")
-    status = F.col("asset_status")
-    in_progress = F.when(status.isNull() | (status == "Pending"), amount).otherwise(none)
-    capitalised = F.when(status == "Transferred", -amount).otherwise(none)
+    rows = rows.select(
+        "before",
+        "up_to_end",
+        "quarters",
+        "asset_status",
+        (F.col("cost") * F.col("item_weight").cast("decimal(12,0)")).alias("amount"),
+    ).selectExpr(
+        "before",
+        "up_to_end",
+        "quarters",
+        "if(asset_status is null or asset_status = 'Pending', amount, 0) as in_progress",
+        "if(asset_status = 'Transferred', -amount, 0) as capitalised",
+    )
     totals = rows.agg(
-        F.sum(F.when(F.col("before"), in_progress)).alias("beginning_cip"),
-        F.sum(F.when(F.col("up_to_end"), in_progress)).alias("ending_cip"),
-        *quarter_sums(F.col("quarters"), in_progress, "cip"),
-        *quarter_sums(F.col("quarters"), capitalised, "cip_cap"),
+        F.expr("sum(if(before, in_progress, 0)) as beginning_cip"),
+        F.expr("sum(if(up_to_end, in_progress, 0)) as ending_cip"),
+        *quarter_sums("in_progress", "cip"),
+        *quarter_sums("capitalised", "cip_cap"),
     )
     names = ("beginning_cip", "ending_cip", *(f"q{q}_{n}" for n in ("cip", "cip_cap") for q in QUARTERS))
     return totals.select(*(money(zero_if_null(F.col(n))).alias(n) for n in names))

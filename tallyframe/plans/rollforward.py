@@ -276,43 +276,36 @@ def _movements(scope: _Scope) -> DataFrame:
     release = ("retirement_depreciation",)
     measures = (*cost, *charge, *release)
 
-    def rows(frame: DataFrame, weight: str, filled: tuple[str, ...]) -> DataFrame:
-        none = F.lit(0).cast(MONEY)
-        return frame.select(
-            "asset_id",
-            (F.col("cip_only") if "cip_only" in frame.columns else F.lit(False)).alias("cip_only"),
-            "quarters",
-            F.lit(weight).alias("counts_by"),
-            *((F.col(m).cast(MONEY) if m in filled else none).alias(m) for m in measures),
-        )
-
-    moved = (
-        rows(_transactions(scope), "weight", cost)
-        .unionByName(rows(_depreciation(scope), "weight", charge))
-        .unionByName(rows(_retired_reserve(scope), "retirement_weight", release))
+    moved = zero_pad_union(
+        [
+            _transactions(scope).withColumn("released", F.lit(False)),
+            _depreciation(scope).withColumns({"cip_only": F.lit(False), "released": F.lit(False)}),
+            _retired_reserve(scope).withColumns({"cip_only": F.lit(False), "released": F.lit(True)}),
+        ],
+        ("asset_id", "cip_only", "released", "quarters"),
+        measures,
     )
-    times = F.when(F.col("counts_by") == "weight", F.col("weight")).otherwise(F.col("retirement_weight"))
-    sums = [s for m in measures for s in quarter_sums(F.col("quarters"), F.col(m) * F.col("times"), m)]
+    sums = [s for m in measures for s in quarter_sums(f"{m} * times", m)]
     grouped = (
         moved.join(scope.weighted_assets(), "asset_id")
-        .withColumn("times", times)
+        .withColumn("times", F.expr("if(released, retirement_weight, weight)"))
         .filter("times > 0 and (not cip_only or asset_type = 'CIP')")
         .groupBy(*KEYS)
         .agg(*sums)
     )
-    return grouped.select(
+    return grouped.selectExpr(
         *KEYS,
+        *_quarterly("system_depreciation", "addition_depreciation", "retirement_depreciation"),
         *(
             column
             for q in QUARTERS
             for column in (
-                F.col(f"q{q}_addition").alias(f"q{q}_additions"),
+                f"q{q}_addition as q{q}_additions",
+                f"q{q}_adjustment as q{q}_adjustments",
                 # NULL on either side makes the sum NULL, as in the report.
-                (F.col(f"q{q}_retired") + F.col(f"q{q}_reinstated")).alias(f"q{q}_retirements"),
-                F.col(f"q{q}_adjustment").alias(f"q{q}_adjustments"),
+                f"q{q}_retired + q{q}_reinstated as q{q}_retirements",
             )
         ),
-        *_quarterly(*charge, *release),
     )
 
 
@@ -374,29 +367,26 @@ def asset_rollforward(
     if not known:
         totals = totals.filter(F.lit(False))
 
-    def total(quarter: int, *names: str) -> Column:
-        parts = [F.col(f"q{quarter}_{name}") for name in names]
-        return money(parts[0] + parts[1] + parts[2])
+    def stated(*names: str) -> list[str]:
+        return [f"cast({name} as {MONEY}) as {name}" for name in names]
 
-    def stated(*names: str) -> list[Column]:
-        return [money(F.col(name)).alias(name) for name in names]
+    def total(quarter: int, name: str, *parts: str) -> str:
+        return f"cast({' + '.join(f'q{quarter}_{part}' for part in parts)} as {MONEY}) as {name}"
 
-    return totals.select(
+    return totals.selectExpr(
         *KEYS,
         *stated("beginning_balance", "ending_balance"),
         *(
             column
             for q in QUARTERS
             for column in (
-                total(q, "additions", "adjustments", "retirements").alias(f"q{q}"),
+                total(q, f"q{q}", "additions", "adjustments", "retirements"),
                 *stated(f"q{q}_additions", f"q{q}_retirements", f"q{q}_adjustments"),
             )
         ),
         *stated("beginning_depreciation", "ending_depreciation"),
         *(
-            total(q, "system_depreciation", "addition_depreciation", "retirement_depreciation").alias(
-                f"q{q}_depreciation"
-            )
+            total(q, f"q{q}_depreciation", "system_depreciation", "addition_depreciation", "retirement_depreciation")
             for q in QUARTERS
         ),
         *stated(*_quarterly("addition_depreciation"), *_quarterly("retirement_depreciation")),
