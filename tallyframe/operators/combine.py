@@ -10,22 +10,18 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.values import MONEY
 
-SPREAD = 997
-
 
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on ``keys`` for a left side where many keys are NULL.
 
-    Rows without a key match nothing, yet a shuffled join would send them all to one task.  They get a
-    spreading number from their own content as a further key; rows with a key get zero.
+    Rows without a key match nothing, yet a shuffled join would send them all to one task.  They get a hash of
+    their own content as a further key; rows with a key get zero.
     """
     missing = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    spread = F.pmod(F.xxhash64(*(F.col(c) for c in left.columns)), F.lit(SPREAD)).cast("int")
+    spread = F.when(missing, F.xxhash64(*left.columns)).otherwise(F.lit(0).cast("bigint"))
     # Always zero, but computed from the key: a literal would be folded out of the join keys.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
-    joined = left.withColumn("_spread", F.when(missing, spread + 1).otherwise(F.lit(0))).join(
-        right.withColumn("_spread", zero), [*keys, "_spread"], "left"
-    )
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
+    joined = left.withColumn("_spread", spread).join(right.withColumn("_spread", zero), [*keys, "_spread"], "left")
     return joined.drop("_spread")
 
 

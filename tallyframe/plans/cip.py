@@ -43,32 +43,32 @@ def event_accounts(tables: TableSet) -> DataFrame:
     return debits.join(tables["xla_ae_headers"], "ae_header_id").groupBy("event_id").agg(F.min("account").alias("account"))
 
 
-def _with_debit_account(tables: TableSet, rows: DataFrame) -> DataFrame:
-    """Account of the cost line's own event, else of its invoice's events, else its stated account."""
-    events = event_accounts(tables)
-    invoices = (
+def _invoice_accounts(tables: TableSet, events: DataFrame) -> DataFrame:
+    """Debit account of each invoice, over the accounting events of its distributions."""
+    return (
         tables["ap_invoice_distributions_all"]
-        .select("invoice_id", "accounting_event_id")
+        .select("invoice_id", F.col("accounting_event_id").alias("event_id"))
         .distinct()
-        .join(events.withColumnRenamed("event_id", "accounting_event_id"), "accounting_event_id")
-        .groupBy(F.col("invoice_id").alias("original_header_id"))
+        .join(events, "event_id")
+        .groupBy("invoice_id")
         .agg(F.min("account").alias("invoice_account"))
     )
+
+
+def _with_own_accounts(tables: TableSet, lines: DataFrame, events: DataFrame) -> DataFrame:
+    """Cost lines with the account of their own event and the account that they state."""
     combos = tables["gl_code_combinations"]
     stated = (
         combos.select(F.col("code_combination_id").alias("stated_ccid"), account_string(combos).alias("account"))
         .groupBy("stated_ccid")
         .agg(F.min("account").alias("stated_account"))
     )
-    rows = rows.withColumn(
+    lines = lines.withColumn(
         "stated_ccid", F.when(F.col("accounting_status_code") != "RNBNN", F.col("raw_cost_dr_ccid"))
     )
-    rows = left_join_spreading_nulls(
-        rows, events.select(F.col("event_id").alias("acct_event_id"), F.col("account").alias("event_account")), ["acct_event_id"]
-    )
-    rows = left_join_spreading_nulls(rows, invoices, ["original_header_id"])
-    rows = left_join_spreading_nulls(rows, stated, ["stated_ccid"])
-    return rows.withColumn("raw_cost_debit_acct", F.coalesce("event_account", "invoice_account", "stated_account"))
+    own = events.select(F.col("event_id").alias("acct_event_id"), F.col("account").alias("event_account"))
+    lines = left_join_spreading_nulls(lines, own, ["acct_event_id"])
+    return left_join_spreading_nulls(lines, stated, ["stated_ccid"])
 
 
 def window_condition(calendar: Calendar, window: str, column: Column) -> Column:
@@ -91,6 +91,7 @@ def cip_listing(
     """
     calendar = Calendar.read(tables, year, book) or NO_CALENDAR
     lines = tables["pjc_cost_dist_lines_all"].filter(window_condition(calendar, window, F.col("prvdr_gl_date")))
+    events = event_accounts(tables)
 
     projects = optional_eq(tables["pjf_projects_all_vl"], "attribute1", company).select(
         "project_id",
@@ -123,21 +124,24 @@ def cip_listing(
         "service",
     )
 
+    structure = tasks.join(projects, "project_id").join(classes, "project_id")
+
     people = tables["per_person_names_f_v"].select(
         F.col("person_id").alias("incurred_by_person_id"), F.col("display_name").alias("employee")
     )
+    invoices = _invoice_suppliers(tables).join(_invoice_accounts(tables, events), "invoice_id", "left")
     items = left_join_spreading_nulls(tables["pjc_exp_items_all"], people, ["incurred_by_person_id"])
     items = left_join_spreading_nulls(
-        items, _invoice_suppliers(tables).withColumnRenamed("invoice_id", "original_header_id"), ["original_header_id"]
-    )
+        items, invoices.withColumnRenamed("invoice_id", "original_header_id"), ["original_header_id"]
+    ).join(asset_status(tables), "expenditure_item_id", "left")
+
+    # Lookups are attached to the side that owns their key, so that the long rows are joined last and once.
     rows = (
-        lines.join(projects, "project_id")
-        .join(tasks, ["project_id", "task_id"])
-        .join(classes, "project_id")
+        _with_own_accounts(tables, lines, events)
         .join(items, "expenditure_item_id")
-        .join(asset_status(tables), "expenditure_item_id", "left")
+        .join(structure, ["project_id", "task_id"])
+        .withColumn("raw_cost_debit_acct", F.coalesce("event_account", "invoice_account", "stated_account"))
     )
-    rows = _with_debit_account(tables, rows)
     code = F.col("class_code")
     return rows.select(
         "project_id",
@@ -188,8 +192,8 @@ def _project_weights(tables: TableSet, company: str | None) -> DataFrame:
     )
 
 
-def _task_weights(tables: TableSet) -> DataFrame:
-    """Listing rows per task: its names times its service lookups."""
+def _structure_weights(tables: TableSet, company: str | None) -> DataFrame:
+    """Listing rows per task: those of its project times its names and service lookups."""
     names = row_weights(tables["pjf_proj_elements_tl"], "proj_element_id", "names")
     services = row_weights(
         tables["fnd_lookup_values"]
@@ -201,9 +205,12 @@ def _task_weights(tables: TableSet) -> DataFrame:
     tasks = left_join_spreading_nulls(
         tables["pjf_proj_elements_b"].join(names, "proj_element_id"), services, ["service_type_code"]
     )
-    return row_weights(
-        tasks, ["project_id", "proj_element_id"], "task_weight", F.col("names") * at_least_one("services")
-    ).withColumnRenamed("proj_element_id", "task_id")
+    tasks = row_weights(tasks, ["project_id", "proj_element_id"], "tasks", F.col("names") * at_least_one("services"))
+    return tasks.join(_project_weights(tables, company), "project_id").select(
+        "project_id",
+        F.col("proj_element_id").alias("task_id"),
+        (F.col("tasks") * F.col("project_weight")).cast("decimal(12,0)").alias("weight"),
+    )
 
 
 def _item_weights(tables: TableSet) -> DataFrame:
@@ -244,7 +251,6 @@ def cip_rollforward(tables: TableSet, *, year: str, book: str | None, company: s
     when = F.col("prvdr_gl_date")
     cost = F.round("projfunc_raw_cost", 2)
     mask = F.when(calendar.in_year(when), calendar.quarter_mask(when)).otherwise(F.lit(0))
-    weight = (F.col("project_weight") * F.col("task_weight")).cast("decimal(12,0)")
 
     lines = (
         tables["pjc_cost_dist_lines_all"]
@@ -258,11 +264,10 @@ def cip_rollforward(tables: TableSet, *, year: str, book: str | None, company: s
             window_condition(calendar, "ending", when).alias("up_to_end"),
             mask.alias("quarters"),
         )
-        .join(_project_weights(tables, company), "project_id")
-        .join(_task_weights(tables), ["project_id", "task_id"])
+        .join(_structure_weights(tables, company), ["project_id", "task_id"])
     )
     per_item = lines.groupBy("expenditure_item_id", "before", "up_to_end", "quarters").agg(
-        money(F.sum(F.col("cost") * weight)).alias("cost")
+        money(F.sum(F.col("cost") * F.col("weight"))).alias("cost")
     )
     rows = per_item.join(_item_weights(tables), "expenditure_item_id").join(
         asset_status(tables), "expenditure_item_id", "left"

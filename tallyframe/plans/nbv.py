@@ -72,7 +72,7 @@ def _cost_variation(
         adjustment_components(tables, headers)
         .join(adjusted, ["transaction_header_id", "distribution_id"])
         .join(_period_names(tables), "period_counter")
-        .join(stores.dropna(subset=STORE), ["asset_id", "distribution_id"])
+        .join(stores.filter(F.col("store_number").isNotNull() & F.col("store_location").isNotNull()), ["asset_id", "distribution_id"])
         .join(_assets(tables, book, keep_bookless=False), "asset_id")
     )
     # Values are distinct within a transaction date and period counter, then added up over both.

@@ -21,7 +21,7 @@ def first_line_location(tables: TableSet, invoices: DataFrame | None = None) ->
     """
     lines = (
         tables["ap_invoice_distributions_all"]
-        .dropna(subset=("invoice_id", "invoice_line_number"))
+        .filter(F.col("invoice_id").isNotNull() & F.col("invoice_line_number").isNotNull())
         .select("invoice_id", "invoice_line_number", "dist_code_combination_id")
     )
     if invoices is not None:

@@ -133,7 +133,7 @@ def _paid_suppliers(
         tables["iby_payments_all"].filter(within(F.col("payment_date"), from_date, to_date)), "payment_id", "dated"
     )
     checks = row_weights(
-        tables["ap_checks_all"].dropna(subset=("vendor_id", "party_id")),
+        tables["ap_checks_all"].filter(F.col("vendor_id").isNotNull() & F.col("party_id").isNotNull()),
         ["payment_id", "vendor_id", "party_id"],
         "checks",
     )

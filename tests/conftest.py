@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.sql.shuffle.partitions", "1")
         .config("spark.driver.memory", "4g")
         # Many small plans: generating and compiling code for each would take most of the time.
         .config("spark.sql.codegen.wholeStage", "false")

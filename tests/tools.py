@@ -5,22 +5,34 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from tallyframe.sources.registry import TableSet
 from tallyframe.sources.schemas import SCHEMAS
 
 
+class SmallTables(TableSet):
+    """Rows held as local Arrow data, turned into frames when a report asks for them."""
+
+    def __init__(self, spark, rows: dict[str, list[dict]]):
+        super().__init__(spark, {})
+        self._rows = rows
+
+    def _load(self, name: str):
+        schema = self.schema(name)
+        rows = self._rows.get(name, [])
+        for row in rows:
+            assert set(row) <= set(schema.names), (name, row)
+        kinds = {f.name: f.dataType.simpleString() for f in schema}
+        data = [{c: _typed(row.get(c), kind) for c, kind in kinds.items()} for row in rows]
+        return self.spark.createDataFrame(pa.Table.from_pylist(data, schema=to_arrow_schema(schema)), schema)
+
+
 def small_tables(spark, **rows: list[dict]) -> TableSet:
     """A table set with the given rows; columns left out are NULL and tables left out are empty."""
-    frames = {}
-    for name in SCHEMAS:
-        schema = TableSet.schema(name)
-        data = []
-        for row in rows.get(name, []):
-            unknown = set(row) - set(schema.names)
-            assert not unknown, (name, unknown)
-            data.append(tuple(_typed(row.get(f.name), f.dataType.simpleString()) for f in schema))
-        frames[name] = spark.createDataFrame(data, schema)
-    return TableSet.from_frames(spark, frames)
+    assert set(rows) <= set(SCHEMAS), set(rows) - set(SCHEMAS)
+    return SmallTables(spark, rows)
 
 
 def _typed(value, kind: str):
