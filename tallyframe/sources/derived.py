@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -275,15 +276,19 @@ def is_costly(name: str) -> bool:
     return re.search(r"\b(distinct|join|group by)\b", VIEWS[name]) is not None
 
 
+@lru_cache
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyframe-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local session that names none gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tallyframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return local_folder()
 
 
 class DerivedTables(TableSet):
