@@ -43,6 +43,51 @@ def current_books(tables: TableSet, book: str | None, keep_bookless: bool) -> Da
     )
 
 
+def flag_shared_numbers(tables: TableSet, assets: DataFrame) -> DataFrame:
+    """``assets`` with ``shared``: whether another asset has a number and type of theirs."""
+    register = tables["fa_additions_b"].select("asset_id", "asset_number", "asset_type")
+    number, kind = F.col("asset_number"), F.col("asset_type")
+    repeated = (
+        register.groupBy("asset_number", "asset_type")
+        .agg(F.min("asset_id").alias("first"), F.max("asset_id").alias("last"))
+        .filter("first <> last")
+        .select(number.alias("n"), kind.alias("t"))
+    )
+    sharing = (
+        register.join(repeated, number.eqNullSafe(F.col("n")) & kind.eqNullSafe(F.col("t")))
+        .select("asset_id", F.lit(True).alias("sharing"))
+        .distinct()
+    )
+    return assets.join(sharing, "asset_id", "left").withColumn("shared", F.col("sharing").isNotNull()).drop("sharing")
+
+
+def distinct_sums_by_line(
+    amounts: DataFrame, lines: DataFrame, line: Sequence[str], extra: Sequence[str], sums: Sequence[Column]
+) -> DataFrame:
+    """Sums over distinct (component, value) pairs per report line and ``extra`` columns.
+
+    ``amounts`` has asset_id, ``extra``, component and value; ``lines`` maps assets to ``line`` columns and says
+    whether their number is ``shared``.  A line is one asset unless assets share a number, so amounts are made
+    distinct and added up per asset first, under narrow keys, and meet the lines as totals.  Only assets that
+    share a number take on their line columns beforehand, so that equal amounts of theirs still count once.
+    """
+    together = lines.filter("shared").select("asset_id", *line, F.lit(True).alias("together"))
+    alone = lines.filter("not shared").select(
+        F.col("asset_id").alias("own"), F.lit(True).alias("known"), *(F.col(c).alias(f"own_{c}") for c in line)
+    )
+    own = F.when(F.col("together").isNull(), F.col("asset_id"))
+    totals = (
+        amounts.join(together, "asset_id", "left")
+        .select(own.alias("own"), *line, *extra, "component", "value")
+        .distinct()
+        .groupBy("own", *line, *extra)
+        .agg(*sums)
+    )
+    by_line = (F.when(F.col("own").isNull(), F.col(c)).otherwise(F.col(f"own_{c}")).alias(c) for c in line)
+    kept = [c for c in totals.columns if c != "own" and c not in line]
+    return totals.join(alone, "own", "left").filter("own is null or known").select(*by_line, *kept)
+
+
 def distribution_stores(
     tables: TableSet, locations: Sequence[str] | None, category: str | None = None
 ) -> DataFrame:

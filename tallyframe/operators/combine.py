@@ -47,17 +47,3 @@ def zero_pad_union(frames: Sequence[DataFrame], keys: Sequence[str], measures: S
         return frame.selectExpr(*keys, *(f"cast({m if m in filled else 0} as {MONEY}) as {m}" for m in measures))
 
     return reduce(DataFrame.unionByName, map(padded, frames))
-
-
-def sum_of_distinct(frame: DataFrame, keys: Sequence[str], total: str) -> DataFrame:
-    """Per ``keys``: the distinct values of each component, summed over components.
-
-    ``frame`` has ``keys``, ``component`` and ``value``; rows with a NULL value only keep their group alive.
-    Equal values are removed before the sum, in tasks and then across them, so a hot group spreads by value.
-    """
-    return (
-        frame.select(*keys, "component", "value")
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.coalesce(F.sum("value"), F.lit(0)).cast(MONEY).alias(total))
-    )

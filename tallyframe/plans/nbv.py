@@ -14,7 +14,9 @@ from tallyframe.operators.assets import (
     COMPONENTS,
     adjustment_components,
     current_books,
+    distinct_sums_by_line,
     distribution_stores,
+    flag_shared_numbers,
     headers_where,
 )
 from tallyframe.sources.registry import TableSet
@@ -180,19 +182,11 @@ def nbv_summary(
             F.struct("period_counter", "deprn_reserve", "adjusted_cost", "impairment_reserve").alias("row"),
         )
     )
-    shared = (
-        tables["fa_additions_b"]
-        .groupBy("asset_number", "asset_type")
-        .agg(F.min("asset_id").alias("first"), F.max("asset_id").alias("last"))
-        .filter("first <> last")
-        .select(F.col("asset_number").alias("n"), F.col("asset_type").alias("t"), F.lit(True).alias("shared"))
-    )
     # One line per book and asset, or per depreciation row where the number is shared.
     lines = (
-        _assets(tables, book, keep_bookless=False)
-        .join(shared, F.col("asset_number").eqNullSafe(F.col("n")) & F.col("asset_type").eqNullSafe(F.col("t")), "left")
+        flag_shared_numbers(tables, _assets(tables, book, keep_bookless=False))
         .join(charged, "asset_id")
-        .select("asset_id", *ASSET, F.when(F.col("shared"), F.col("row")).alias("row"))
+        .select("asset_id", "shared", *ASSET, F.when(F.col("shared"), F.col("row")).alias("row"))
         .distinct()
     )
 
@@ -215,25 +209,18 @@ def nbv_summary(
         .select("asset_id", *STORE, "a.component", "a.value")
         .filter("component is null or value <> 0")
     )
-    group = [*ASSET, *STORE, "row"]
-    values = costs.unionByName(held).join(lines, "asset_id").select(*group, "component", "value")
     figure = F.col("component")
-    per_line = (
-        values.distinct()
-        .groupBy(*group)
-        .agg(
-            *(
-                F.coalesce(F.sum(F.when(test, F.col("value"))), F.lit(0)).cast(MONEY).alias(name)
-                for name, test in {
-                    "additions": figure == 0,
-                    "adjustments": figure.isin(1, 2),
-                    "retirements": figure == 3,
-                    "reserve": figure == 4,
-                    "impairment": figure == 5,
-                }.items()
-            )
-        )
-    )
+    sums = [
+        money(F.coalesce(F.sum(F.when(test, F.col("value"))), F.lit(0))).alias(name)
+        for name, test in {
+            "additions": figure == 0,
+            "adjustments": figure.isin(1, 2),
+            "retirements": figure == 3,
+            "reserve": figure == 4,
+            "impairment": figure == 5,
+        }.items()
+    ]
+    per_line = distinct_sums_by_line(costs.unionByName(held), lines, (*ASSET, "row"), STORE, sums)
     figures = [F.col(c) for c in ("additions", "adjustments", "retirements", "reserve", "impairment")]
     return (
         per_line.drop("row")

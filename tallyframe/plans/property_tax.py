@@ -9,22 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.predicates import one_of, optional_eq, within
-from tallyframe.functions.values import MONEY, date_text
-from tallyframe.operators.assets import adjustment_components, current_books, distribution_stores, headers_where
-from tallyframe.operators.combine import sum_of_distinct
+from tallyframe.functions.values import MONEY, date_text, money, zero_if_null
+from tallyframe.operators.assets import (
+    adjustment_components,
+    current_books,
+    distinct_sums_by_line,
+    distribution_stores,
+    flag_shared_numbers,
+    headers_where,
+)
 from tallyframe.sources.registry import TableSet
 
 STORE_CATEGORY = "Location COA"
 
-GROUP = (
-    "asset_book",
-    "asset_number",
-    "asset_type",
-    "moment",
-    "major_asset_category",
-    "minor_asset_category",
-    "store_location",
-)
+LINE = ("asset_book", "asset_number", "asset_type", "major_asset_category", "minor_asset_category")
 
 
 def _movements(
@@ -63,24 +61,27 @@ def _movements(
         optional_eq(tables["fa_additions_b"], "asset_type", asset_type)
         .join(categories, "asset_category_id")
         .join(current_books(tables, book, keep_bookless=True), "asset_id")
+        .select("asset_id", *LINE)
+        .distinct()
     )
 
-    moment = F.col("transaction_date") if every_moment else F.lit(None).cast("timestamp_ntz")
+    when = F.col("transaction_date") if every_moment else F.lit(None).cast("timestamp_ntz")
     groups = (
-        headers.select("asset_id", moment.alias("moment"))
+        headers.select("asset_id", when.alias("moment"))
         .distinct()
         .join(stores.select("asset_id", "store_location").distinct(), "asset_id")
-        .join(assets, "asset_id")
-        .select(*GROUP, F.lit(None).cast("int").alias("component"), F.lit(None).cast(MONEY).alias("value"))
+        .withColumns({"component": F.lit(None).cast("int"), "value": F.lit(None).cast(MONEY)})
     )
     amounts = (
         adjustment_components(tables, headers)
         .withColumnRenamed("transaction_date", "moment")
         .join(stores.select("asset_id", "distribution_id", "store_location"), ["asset_id", "distribution_id"])
-        .join(assets, "asset_id")
-        .select(*GROUP, "component", "value")
+        .select("asset_id", "moment", "store_location", "component", "value")
+    )
+    cost = money(zero_if_null(F.sum("value"))).alias("cost")
+    return distinct_sums_by_line(
+        groups.unionByName(amounts), flag_shared_numbers(tables, assets), LINE, ("moment", "store_location"), [cost]
     )
-    return sum_of_distinct(groups.unionByName(amounts), GROUP, "cost")
 
 
 def property_tax_detail(

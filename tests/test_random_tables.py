@@ -126,6 +126,10 @@ def world(seed: int) -> dict[str, list[dict]]:
         ]
         if name in UNIQUE:
             rows = list({row[UNIQUE[name]]: row for row in rows}.values())
+        if name == "fa_additions_b" and seed % 2 == 0:
+            # Every second world has a number per asset, as real registers do.
+            for row in rows:
+                row["asset_number"], row["asset_type"] = f"A{row['asset_id']}", "CIP"
         tables[name] = rows
     for name, base in SAME_ROWS.items():
         tables[name] = tables[base]
