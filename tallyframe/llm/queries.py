@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe
+from tallyframe.llm import bitpack, bpe
 
 
 def vocabulary(name: str) -> str:
@@ -32,8 +32,14 @@ def op4_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    out = bitpack.stored(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_bpe": op4_bpe}
+    return {"op4_bpe": op4_bpe, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:
