@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, mixing
+from tallyframe.llm import bitpack, bpe, jaccard, mixing, sql
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    out = jaccard.linked(docs, width=4, num=85, den=100)
+    return out.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 #: Sources weigh 5, 2, 1 in turn; the mix holds 150 % of all words; no source and no document is taken more than twice.
 MIX = {"weights": (5, 2, 1), "share": 1.5, "cap": 2.0}
 
@@ -49,9 +55,9 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op10_token_ids": op10_token_ids}
+    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return {"op2_ngram_jaccard": sql.NGRAM_JACCARD}
