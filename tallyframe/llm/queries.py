@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, jaccard, mixing, sql
+from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, mixing, sql
 
 
 def vocabulary(name: str) -> str:
@@ -48,6 +48,12 @@ def op4_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op6_line_crf(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    field = crf_quality.trained(docs, _table(spark, directory, "labels"))
+    return crf_quality.judged(docs, field).select("doc_id", *crf_quality.STATISTICS, "base_failed", "kept")
+
+
 def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents").select("doc_id", "text")
     out = bitpack.stored(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
@@ -55,7 +61,7 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op10_token_ids": op10_token_ids}
+    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op6_line_crf": op6_line_crf, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:

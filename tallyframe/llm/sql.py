@@ -17,12 +17,12 @@ WITH RECURSIVE split AS (
 ), exploded AS (
     SELECT doc_id, unnest(items) AS item FROM shingles
 ), common AS (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_common
     FROM exploded x JOIN exploded y ON x.item = y.item AND x.doc_id <> y.doc_id
     GROUP BY ALL
 ), links AS (
     SELECT a, b FROM common o JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b
-    WHERE 100 * both >= 85 * (len(x.items) + len(y.items) - both)
+    WHERE 100 * n_common >= 85 * (len(x.items) + len(y.items) - n_common)
 ), reached AS (
     SELECT doc_id AS a, doc_id AS b FROM documents
     UNION
