@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, mixing, sql
+from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, maxent_lm, mixing, sql
 
 
 def vocabulary(name: str) -> str:
@@ -48,6 +48,15 @@ def op4_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op5_maxent_lm(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    out = maxent_lm.scored(docs, ~held_out)
+    return out.select(
+        F.col("id").alias("doc_id"), (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_line_crf(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents").select("doc_id", "text")
     field = crf_quality.trained(docs, _table(spark, directory, "labels"))
@@ -61,7 +70,7 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op6_line_crf": op6_line_crf, "op10_token_ids": op10_token_ids}
+    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:
