@@ -98,15 +98,20 @@ class Segment:
         ids = _unpack(np.frombuffer(self._payload, "<u8", (end - begin) // 8, begin), self.bits)
         return ids[start - first * self.block :][:n]
 
+    def read_all(self) -> np.ndarray:
+        return self.read(0, self.length)
+
 
 class LibraryEncoder:
-    """Whole-text ids of a byte-level BPE of the tokenizers library, which encodes each stretch only once in a while.
+    """Whole-text ids of a byte-level BPE of the tokenizers library, which sees each stretch only once in a while.
 
-    A byte-level split never joins what stands on either side of a space before a non-space, so stretches are
-    encoded apart and remembered.  Texts with special tokens go to the library whole.
+    A byte-level split never joins what stands on either side of a space before a non-space, so the stretches between
+    spaces are encoded apart and remembered.  Those that a batch brings anew go to the library in one text: every one
+    begins with the only token that starts with a space.  Texts with special tokens or runs of white space do not
+    divide so simply; the former go to the library whole, the latter in the pieces that its split gives.
     """
 
-    def __init__(self, description: str, special: list[str]):
+    def __init__(self, description: str, special: list[str], limit: int = 1 << 18):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -114,32 +119,59 @@ class LibraryEncoder:
         self._library.no_truncation()
         self._library.no_padding()
         self._special = special
-        self._after_space, self._pieces = Remembered(1 << 18), Remembered(1 << 17)
+        self._after_space, self._pieces = Remembered(limit), Remembered(limit // 2)
         self._runs = re.compile(f"{_GAP}{{2}}")
         self._split = re.compile(f" ?[^{WHITE}]+|{_GAP}+(?![^{WHITE}])|{_GAP}+")
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if any(s in text for s in self._special):
-            return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if self._runs.search(text):
-            return b"".join(self._look_up(self._pieces, self._split.findall(text), ""))
-        first, *rest = text.split(" ")
-        return b"".join(self._look_up(self._pieces, [first], "") + self._look_up(self._after_space, rest, " "))
-
-    def _look_up(self, known: Remembered, parts: list[str], before: str) -> list[bytes]:
-        out = list(map(known.recent.get, parts))
-        if None in out:
-            new = {p for p, ids in zip(parts, out) if ids is None}
-            found = {p: ids for p in new if (ids := known.get(p)) is not None}
-            asked = [p for p in new if p not in found]
-            for p, e in zip(asked, self._library.encode_batch([before + p for p in asked], add_special_tokens=False)):
-                found[p] = np.array(e.ids, "<u4").tobytes()
-                if len(p) < LONG and "\n" not in p:
-                    known.put(p, found[p])
-            out = [found[p] if ids is None else ids for p, ids in zip(parts, out)]
+        size = self._library.get_vocab_size()
+        self._begins = np.array([(self._library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
+
+    def _asked(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _stretches(self, new: list[str]) -> list[bytes]:
+        """Ids of each stretch as they are after a space."""
+        ids = np.array(self._library.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (np.flatnonzero(self._begins[ids]) * 4).tolist()
+        if len(cuts) != len(new):
+            return self._asked([" " + s for s in new])
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+
+    @staticmethod
+    def _learn(known: Remembered, parts: set[str], ask) -> list[str]:
+        """Have all ``parts`` in the recent half of ``known``; gives those too long to stay there."""
+        known.turn()
+        new = known.missing(parts)
+        for at in range(0, len(new), 1 << 14):
+            some = new[at : at + (1 << 14)]
+            known.recent.update(zip(some, ask(some)))
+        return [p for p in new if len(p) >= LONG]
+
+    def encode_rows(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes | None] = [None] * len(texts)
+        spaced, split = {}, {}
+        for i, text in enumerate(texts):
+            if any(s in text for s in self._special):
+                out[i] = self._asked([text])[0]
+            elif self._runs.search(text):
+                split[i] = self._split.findall(text)
+            else:
+                spaced[i] = text.split(" ")
+        firsts = {parts[0] for parts in spaced.values()}
+        long_pieces = self._learn(self._pieces, firsts.union(*split.values()), self._asked)
+        long_stretches = self._learn(self._after_space, set().union(*(parts[1:] for parts in spaced.values())), self._stretches)
+        piece, stretch = self._pieces.recent, self._after_space.recent
+        for i, parts in split.items():
+            out[i] = b"".join(map(piece.__getitem__, parts))
+        for i, parts in spaced.items():
+            first = piece[parts[0]]
+            del parts[0]
+            out[i] = first + b"".join(map(stretch.__getitem__, parts))
+        for key in long_pieces:
+            del piece[key]
+        for key in long_stretches:
+            del stretch[key]
         return out
 
 
@@ -193,8 +225,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int, doc_id: str
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    parts.append(encoder.encode(value) + end)
+                for name, value in zip(batch.column(0).to_pylist(), encoder.encode_rows(batch.column(1).to_pylist())):
+                    parts.append(value + end)
                     names.append(name)
                     held += len(parts[-1]) // 4
                     if held >= SEGMENT_IDS:
@@ -224,15 +256,15 @@ def read_documents(spark, folder: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 start, names, lengths, payload = (c[i].as_py() for c in batch.columns)
-                segment, local = Segment(payload), np.cumsum([0, *lengths])
+                local, data = np.cumsum([0, *lengths]) * 4, Segment(payload).read_all().astype("<u4").tobytes()
                 for at in range(0, len(names), 1024):
                     part = range(at, min(at + 1024, len(names)))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(names[at : at + 1024], pa.int64()),
-                            pa.array(local[part.start : part.stop] + start, pa.int64()),
+                            pa.array(local[part.start : part.stop] // 4 + start, pa.int64()),
                             pa.array(lengths[at : at + 1024], pa.int64()),
-                            pa.array([segment.read(int(local[k]), lengths[k]).astype("<u4").tobytes() for k in part], pa.binary()),
+                            pa.array([data[local[k] : local[k + 1]] for k in part], pa.binary()),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )

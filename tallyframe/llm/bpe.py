@@ -77,9 +77,22 @@ class Remembered:
         return found
 
     def put(self, key: str, value: bytes) -> None:
+        self.turn()
+        self.recent[key] = value
+
+    def turn(self) -> None:
         if len(self.recent) >= self.limit:
             self._older, self.recent = self.recent, {}
-        self.recent[key] = value
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Which of ``keys`` are unknown; those set aside come back, without turning."""
+        out = []
+        for key in keys - self.recent.keys():
+            if (found := self._older.get(key)) is None:
+                out.append(key)
+            else:
+                self.recent[key] = found
+        return out
 
 
 class WordBpe:
