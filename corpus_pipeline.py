@@ -1,21 +1,43 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next one."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next one.
+
+Line quality, then near-duplicates, then mixing to source weights, then token ids.  All stages but the last give the
+columns that came in.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import queries
+from tallyframe.llm import bpe, crf_quality, jaccard, mixing
+from tallyframe.llm.queries import MIX, vocabulary
 from tallyframe.llm.store import written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the line labels keep."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    kept = crf_quality.judged(docs, crf_quality.trained(docs, labels)).where("kept")
+    return kept.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at a similarity of 0.8 or more."""
+    return jaccard.deduplicated(docs, width=5, num=80, den=100)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs, **MIX)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, after all columns that came in."""
-    return queries.bpe.encoded(docs, queries.vocabulary("word_bpe_49k.json"))
+    """Token ids (binary, little-endian unsigned 32-bit) of every document, after all columns that came in."""
+    return bpe.encoded(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("encode", encode)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("mix", mix), ("encode", encode)]
 
-#: Tokenizing and sampling are not expressible in SQL; the stages are tested against brute force instead.
+#: Training, sampling and tokenizing are not expressible in SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 

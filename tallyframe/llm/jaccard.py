@@ -4,10 +4,11 @@ A document's set holds the hashes of its distinct word n-grams.  Hashing them in
 whose summed coordinate minima with another point bound the overlap of the two sets from above.
 
 * Documents with equal sets are one *node*.
-* Where two linked sets differ in at most ``d`` elements and the groups are dealt into ``d + 1`` runs, the points agree
-  in at least one whole run.  So every node is listed under each of its runs, and nodes that share a run form clusters;
-  no linked pair lies across two clusters.  Sizes are classed by powers of two, and a set just below a power is listed
-  in the class above as well, so both ends of a link know the same runs.
+* The groups are dealt into runs.  An n-gram that only one of two sets has spoils one run at most, so linked sets,
+  which differ in few n-grams, agree in all counts of some run that has n-grams.  Every node is listed under each of
+  its runs; nodes that share a run, and whose coordinate minima allow the overlap, form clusters.  No linked pair lies
+  across two clusters.  Sizes are classed by powers of two, and a set just below a power is listed in the class above
+  as well, so both ends of a link know the same runs.
 * Within a cluster an R-tree over the points (bulk-loaded by size and the most varied groups) yields the pairs whose
   minima reach the needed overlap, and only these are verified on the sets.  Pairs that are connected already are
   skipped, so a group of copies costs about one verification each and never its square.
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm import text as words
@@ -33,6 +34,8 @@ from tallyframe.llm.store import written
 GROUPS = 64
 #: N-grams that one chunk of a cluster holds, about.
 CHUNK = 1_000_000
+#: Nodes under one run that are compared pair by pair, and in one tree, at most.
+FEW, MANY = 8, 20_000
 _LEAF, _FAN = 32, 16
 
 
@@ -70,23 +73,31 @@ def runs(items: np.ndarray, num: int, den: int) -> np.ndarray:
     classes = [n.bit_length() - 1]
     if n * den >= num << (classes[0] + 1):
         classes.append(classes[0] + 1)
+    spoilt = (n + n * den // num) * (den - num) // (den + num)
+    per_run = 0.88 * num / (den - num)
     out = []
     for level in classes:
-        # Linked sets of sizes that add up to s differ in at most s * (den - num) / (den + num) elements.
-        count = np.uint64(2 * ((2 << level) - 1) * (den - num) // (den + num) + 1)
-        high = items >> np.uint64(32)
-        run = (high * count) >> np.uint64(32)
-        group = (high * count) & np.uint64(0xFFFFFFFF)
-        # One count for each of 2**32 groups in a run: the sum names the run's counts.
+        largest = (2 << level) - 1
+        count = max(int(largest / per_run), 2 * largest * (den - num) // (den + num)) + 1
+        high = (items >> np.uint64(32)) * np.uint64(count)
+        run, group = high >> np.uint64(32), high & np.uint64(0xFFFFFFFF)
+        # One count for each of 2**32 groups in a run: the sum of scrambled group numbers names the run's counts.
         counts = words.mix64(group ^ (run << np.uint64(32)))
-        sums = np.zeros(int(count), np.uint64)
         begin = np.flatnonzero(np.diff(run, prepend=run[:1] + np.uint64(1)))
-        sums[run[begin].astype(np.int64)] = np.add.reduceat(counts, begin)
-        names = np.arange(int(count), dtype=np.uint64) + np.uint64(level << 40)
-        out.append(words.mix64(sums ^ words.mix64(names + np.uint64(0x5851F42D4C957F2D))))
+        used, sums = run[begin], np.add.reduceat(counts, begin)
+        if len(used) <= spoilt:  # too few to be sure of one with n-grams: those without count as well
+            filled = np.zeros(count, np.uint64)
+            filled[used.astype(np.int64)] = sums
+            used, sums = np.arange(count, dtype=np.uint64), filled
+        out.append(words.mix64(sums ^ words.mix64(used + np.uint64((level << 40) + 0x5851F42D4C957F2D))))
     return np.concatenate(out).astype(np.int64)
 
 
+def point(items: np.ndarray) -> np.ndarray:
+    """Counts of a set's items in the groups of the tree."""
+    return np.bincount((items >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+
+
 class CountTree:
     """R-tree over count vectors with the sizes of their sets; boxes keep the largest coordinates and the size range."""
 
@@ -122,30 +133,41 @@ class CountTree:
         return at[bound >= needed(size, self.sizes[at], num, den)]
 
 
-def join_links(sets: list[np.ndarray], label: np.ndarray, asks: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Verified links that connect the rows with flag ``asks`` to rows of other labels, transitively complete."""
-    if not len(sets):
+def tree_links(points: np.ndarray, label: np.ndarray, asks: np.ndarray, num: int, den: int, linked=None) -> list[tuple[int, int]]:
+    """Links from the rows with flag ``asks`` to rows of other labels whose minima reach the needed overlap.
+
+    ``linked`` verifies a pair of rows; without it the bound decides.  Rows that links connect share a label from then
+    on, so the result connects what all links would, and holds no more links than rows.
+    """
+    if not len(points):
         return []
-    sizes = np.array([len(s) for s in sets], np.int64)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    group = (np.concatenate(sets) >> np.uint64(58)).astype(np.int64)
-    points = np.bincount(row * GROUPS + group, minlength=len(sets) * GROUPS).reshape(-1, GROUPS).astype(np.int32)
+    sizes = points.sum(axis=1)
     tree, label, links = CountTree(points, sizes), label.copy(), []
     for q in np.flatnonzero(asks):
         near = tree.order[tree.reach(points[q], int(sizes[q]), num, den)]
         near = near[label[near] != label[q]]
         while len(near):
             p, near = near[0], near[1:]
-            overlap = len(np.intersect1d(sets[q], sets[p], assume_unique=True))
-            if den * overlap >= num * (sizes[q] + sizes[p] - overlap):
+            if linked is None or linked(q, p):
                 links.append((int(q), int(p)))
                 label[label == label[p]] = label[q]
                 near = near[label[near] != label[q]]
     return links
 
 
+def join_links(sets: list[np.ndarray], label: np.ndarray, asks: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """:func:`tree_links` verified on the sets."""
+
+    def linked(q: int, p: int) -> bool:
+        overlap = len(np.intersect1d(sets[q], sets[p], assume_unique=True))
+        return den * overlap >= num * (len(sets[q]) + len(sets[p]) - overlap)
+
+    points = np.stack([point(s) for s in sets]) if sets else np.zeros((0, GROUPS), np.int32)
+    return tree_links(points, label, asks, num, den, linked)
+
+
 def _listed(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int) -> DataFrame:
-    """Per row: its id, a mark of its text, its set's size and node, and once per task and node the runs."""
+    """Per row: its id, a mark of its text, its set's size and node, and once per task and node the runs and the point."""
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("id"),
         F.xxhash64(F.col(f"`{text}`")).alias("mark"),
@@ -157,13 +179,14 @@ def _listed(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                sizes, nodes, listed = [], [], []
+                sizes, nodes, listed, points = [], [], [], []
                 for items in batch_sets(batch.column(2), width):
                     node = fingerprint(items)
                     fresh = len(items) > 0 and node not in seen
                     sizes.append(len(items))
                     nodes.append(node if len(items) else None)
                     listed.append(runs(items, num, den) if fresh else None)
+                    points.append(point(items).tobytes() if fresh else None)
                     if fresh:
                         seen.add(node)
                 ends = np.cumsum([0, *(0 if r is None else len(r) for r in listed)])
@@ -172,37 +195,106 @@ def _listed(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
                     pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64))
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists],
-                    names=["id", "mark", "size", "node", "runs"],
+                    [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists, pa.array(points, pa.binary())],
+                    names=["id", "mark", "size", "node", "runs", "point"],
                 )
 
-    return rows.mapInArrow(run, "id bigint, mark bigint, size bigint, node bigint, runs array<bigint>")
+    return rows.mapInArrow(run, "id bigint, mark bigint, size bigint, node bigint, runs array<bigint>, point binary")
 
 
-def _shared_runs(listed: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` from the first node under a run to each other node under it."""
+def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` between nodes that share a run, connecting at least what the overlap bound does not rule out.
+
+    The nodes under a run are taken by their number.  Up to ``FEW``, each pair is held against the bound; up to
+    ``MANY``, a tree over their points finds the pairs; beyond that, all are linked with the first.
+    """
     rows = listed.where("size(runs) > 0").select("node", F.explode("runs").alias("run"))
     rows = rows.repartition("run").sortWithinPartitions("run", "node").select("run", "node")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_run = last_first = None
+    def batch_of(kind: int, run: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        kinds = pa.array(np.full(len(a), kind, np.int32))
+        return pa.RecordBatch.from_arrays([kinds, pa.array(run), pa.array(a), pa.array(b)], names=["kind", "run", "a", "b"])
+
+    def split(run: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keep = np.ones(len(run), bool)
+        keep[1:] = (run[1:] != run[:-1]) | (node[1:] != node[:-1])
+        run, node = run[keep], node[keep]
+        begin = np.flatnonzero(np.diff(run, prepend=run[:1] ^ 1))
+        sizes = np.diff(np.append(begin, len(run)))
+        size = np.repeat(sizes, sizes)
+        some = (size > 1) & (size <= MANY)
+        run, node, size = run[some], node[some], size[some]
+        if len(run):
+            few = size <= FEW
+            for shift in range(1, FEW):
+                pair = np.flatnonzero(few[:-shift] & (run[shift:] == run[:-shift]))
+                if not len(pair):
+                    break
+                yield batch_of(0, run[pair], node[pair], node[pair + shift])
+            if not few.all():
+                yield batch_of(1, run[~few], node[~few], node[~few])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left_run = left_node = np.zeros(0, np.int64)
+        star = None  # run and first node of a run that is too long to wait for its end
         for batch in batches:
-            if not batch.num_rows:
+            run, node = (np.asarray(c) for c in batch.columns)
+            if star is not None:
+                end = int(np.searchsorted(run, star[0], "right"))
+                other = np.unique(node[:end])
+                yield batch_of(2, np.full(len(other), star[0]), np.full(len(other), star[1]), other)
+                run, node = run[end:], node[end:]
+                if not len(run):
+                    continue
+                star = None
+            run, node = np.concatenate([left_run, run]), np.concatenate([left_node, node])
+            if not len(run):
                 continue
-            name, node = (np.asarray(c) for c in batch.columns)
-            new = np.ones(len(name), bool)
-            new[1:] = name[1:] != name[:-1]
-            begin = np.flatnonzero(new)
-            first = np.repeat(node[begin], np.diff(np.append(begin, len(name))))
-            if last_run is not None and name[0] == last_run:
-                first[: begin[1] if len(begin) > 1 else len(first)] = last_first
-            last_run, last_first = name[-1], first[-1]
-            other = node != first
-            if other.any():
-                pairs = np.unique(np.stack([first[other], node[other]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+            begin = int(np.searchsorted(run, run[-1], "left"))
+            yield from split(run[:begin], node[:begin])
+            for a, b in _long(run[:begin]):
+                yield batch_of(2, run[a:b], np.full(b - a, node[a]), node[a:b])
+            left_run, left_node = run[begin:], node[begin:]
+            if len(left_run) > 2 * MANY:
+                star = (left_run[0], left_node[0])
+                yield batch_of(2, left_run, np.full(len(left_run), star[1]), left_node)
+                left_run = left_node = np.zeros(0, np.int64)
+        if len(left_run):
+            yield from split(left_run, left_node)
+            for a, b in _long(left_run):
+                yield batch_of(2, left_run[a:b], np.full(b - a, left_node[a]), left_node[a:b])
+
+    found = written(rows.mapInArrow(deal, "kind int, run bigint, a bigint, b bigint"), "jaccard-shared")
+    points = written(listed.where("point is not null").select("node", "point").dropDuplicates(["node"]), "jaccard-points")
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.stack([np.frombuffer(v, np.int32) for v in c.to_pylist()]) for c in batch.columns[2:])
+                reach = np.minimum(x, y).sum(axis=1) >= needed(x.sum(axis=1), y.sum(axis=1), num, den)
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(reach))
+
+    def in_tree(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("node").sort_values("node").reset_index(drop=True)
+        x = np.stack([np.frombuffer(v, np.int32) for v in part["point"]])
+        node = part["node"].to_numpy()
+        links = tree_links(x, node, np.ones(len(node), bool), num, den)
+        return pd.DataFrame(np.array([(node[p], node[q]) for q, p in links], np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    pairs = found.where("kind = 0").select("a", "b").distinct()
+    pairs = pairs.join(points.select(F.col("node").alias("a"), F.col("point").alias("x")), "a")
+    pairs = pairs.join(points.select(F.col("node").alias("b"), F.col("point").alias("y")), "b").select("a", "b", "x", "y")
+    groups = found.where("kind = 1").select("run", F.col("a").alias("node")).join(points, "node")
+    stars = found.where("kind = 2").select("a", "b")
+    links = pairs.mapInArrow(bounded, "a bigint, b bigint")
+    return links.unionByName(groups.groupBy("run").applyInPandas(in_tree, "a bigint, b bigint")).unionByName(stars).distinct()
+
+
+def _long(run: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of more than ``MANY`` rows begin and end."""
+    begin = np.flatnonzero(np.diff(run, prepend=run[:1] ^ 1))
+    ends = np.append(begin[1:], len(run))
+    return [(int(a), int(b)) for a, b in zip(begin, ends) if b - a > MANY]
 
 
 def _verified(rows: DataFrame, keys: list[str], width: int, num: int, den: int) -> DataFrame:
@@ -235,7 +327,7 @@ def linked(
     ids never become the smallest one unless there is no other.  An empty table gives an empty result.
     """
     listed = written(_listed(docs, doc_id, text, width, num, den), "jaccard-runs")
-    shared = written(_shared_runs(listed), "jaccard-shared")
+    shared = written(_shared_runs(listed, num, den), "jaccard-bounded")
     clusters = written(components(shared).withColumnRenamed("component", "cluster"), "jaccard-clusters")
     # One document stands for each node of a cluster.
     one = listed.where("node is not null").groupBy("node").agg(F.min(F.struct("mark", "id")).alias("row"), F.first("size").alias("size"))
@@ -292,3 +384,23 @@ def _labelled(listed: DataFrame, found: DataFrame) -> DataFrame:
     filled = listed.where("node is not null").select("id", "mark", "size", "node").join(nodes, "node")
     empty = listed.where("node is null").select("id", "mark", "size", F.col("id").alias("component"))
     return filled.select("id", "mark", "size", F.col("least").alias("component")).unionByName(empty)
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **rule) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one of each group of linked documents stays.
+
+    That is the row with the smallest id (of repeated ids, the one with the smallest hash of its text; of repeated
+    rows, one).  Documents without words belong to no group and all stay.
+    """
+    found = linked(docs, doc_id, text, **rule)
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark")
+    best = found.where("size > 0").groupBy("component").agg(F.min(row).alias("row")).select("row.id", "row.mark")
+    stays = best.withColumn("single", F.lit(True)).unionByName(
+        found.where("size = 0").select("id", "mark").distinct().withColumn("single", F.lit(False))
+    )
+    stays = written(stays.select(F.col("id").alias("__stays_id"), F.col("mark").alias("__stays_mark"), F.col("single").alias("__single")), "jaccard-stays")
+    named = docs.withColumns({"__id": F.col(f"`{doc_id}`").cast("bigint"), "__mark": F.xxhash64(F.col(f"`{text}`"))})
+    same = F.col("__id").eqNullSafe(F.col("__stays_id")) & (F.col("__mark") == F.col("__stays_mark"))
+    turn = F.row_number().over(Window.partitionBy("__mark", "__id").orderBy(F.lit(1)))
+    joined = named.join(stays, same).withColumn("__turn", turn)
+    return joined.where("__turn = 1 or not __single").select(*(F.col(f"`{c}`") for c in docs.columns))
