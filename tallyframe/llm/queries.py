@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, maxent_lm, mixing, sql
+from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, maxent_lm, mixing, sql, topk
 
 
 def vocabulary(name: str) -> str:
@@ -63,6 +63,10 @@ def op6_line_crf(spark: SparkSession, directory: str) -> DataFrame:
     return crf_quality.judged(docs, field).select("doc_id", *crf_quality.STATISTICS, "base_failed", "kept")
 
 
+def op9_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    return topk.top_k(_table(spark, directory, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0, k=5)
+
+
 def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents").select("doc_id", "text")
     out = bitpack.stored(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
@@ -70,9 +74,9 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op10_token_ids": op10_token_ids}
+    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op9_top_k": op9_top_k, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op2_ngram_jaccard": sql.NGRAM_JACCARD}
+    return {"op2_ngram_jaccard": sql.NGRAM_JACCARD, "op9_top_k": sql.TOP_K}
