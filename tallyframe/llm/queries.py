@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, maxent_lm, mixing, sql, topk
+from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, link_graph, maxent_lm, mixing, sql, topk
 
 
 def vocabulary(name: str) -> str:
@@ -63,6 +63,14 @@ def op6_line_crf(spark: SparkSession, directory: str) -> DataFrame:
     return crf_quality.judged(docs, field).select("doc_id", *crf_quality.STATISTICS, "base_failed", "kept")
 
 
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op8_link_graph(spark: SparkSession, directory: str) -> DataFrame:
+    pages = _table(spark, directory, "pages").select("page_id", "url", "html")
+    return link_graph.judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op9_top_k(spark: SparkSession, directory: str) -> DataFrame:
     return topk.top_k(_table(spark, directory, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0, k=5)
 
@@ -74,7 +82,7 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op9_top_k": op9_top_k, "op10_token_ids": op10_token_ids}
+    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op8_link_graph": op8_link_graph, "op9_top_k": op9_top_k, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:
