@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, link_graph, maxent_lm, mixing, sql, topk
+from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, link_graph, maxent_lm, mixing, patience, sql, topk
 
 
 def vocabulary(name: str) -> str:
@@ -63,6 +63,19 @@ def op6_line_crf(spark: SparkSession, directory: str) -> DataFrame:
     return crf_quality.judged(docs, field).select("doc_id", *crf_quality.STATISTICS, "base_failed", "kept")
 
 
+def op7_patience(spark: SparkSession, directory: str) -> DataFrame:
+    docs = patience.scanned(_table(spark, directory, "documents").select("doc_id", "text"))
+    best = F.get("licenses", F.lit(0))
+    return docs.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        best["name"].alias("license"),
+        best["coverage"].alias("coverage"),
+        best["begin"].alias("begin_word"),
+        best["end"].alias("end_word"),
+    )
+
+
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -82,7 +95,7 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op8_link_graph": op8_link_graph, "op9_top_k": op9_top_k, "op10_token_ids": op10_token_ids}
+    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op7_patience": op7_patience, "op8_link_graph": op8_link_graph, "op9_top_k": op9_top_k, "op10_token_ids": op10_token_ids}
 
 
 def statements() -> dict[str, str]:
