@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, crf_quality, jaccard, link_graph, maxent_lm, mixing, patience, sql, topk
+from tallyframe.llm import bitpack, bpe, crf_quality, html_extract, jaccard, link_graph, maxent_lm, mixing, patience, sql, topk
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+def op1_html_lstm(spark: SparkSession, directory: str) -> DataFrame:
+    pages = _table(spark, directory, "pages").select("page_id", "url", "html")
+    out = html_extract.extracted(pages, html_extract.trained(pages))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents").select("doc_id", "text")
     out = jaccard.linked(docs, width=4, num=85, den=100)
@@ -95,9 +101,20 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_jaccard": op2_ngram_jaccard, "op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op5_maxent_lm": op5_maxent_lm, "op6_line_crf": op6_line_crf, "op7_patience": op7_patience, "op8_link_graph": op8_link_graph, "op9_top_k": op9_top_k, "op10_token_ids": op10_token_ids}
+    return {
+        "op1_html_lstm": op1_html_lstm,
+        "op2_ngram_jaccard": op2_ngram_jaccard,
+        "op3_mixing": op3_mixing,
+        "op4_bpe": op4_bpe,
+        "op5_maxent_lm": op5_maxent_lm,
+        "op6_line_crf": op6_line_crf,
+        "op7_patience": op7_patience,
+        "op8_link_graph": op8_link_graph,
+        "op9_top_k": op9_top_k,
+        "op10_token_ids": op10_token_ids,
+    }
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op2_ngram_jaccard": sql.NGRAM_JACCARD, "op9_top_k": sql.TOP_K}
+    return {"op1_html_lstm": op1_html_lstm, "op2_ngram_jaccard": sql.NGRAM_JACCARD, "op9_top_k": sql.TOP_K}
