@@ -208,6 +208,7 @@ def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
     The nodes under a run are taken by their number.  Up to ``FEW``, each pair is held against the bound; up to
     ``MANY``, a tree over their points finds the pairs; beyond that, all are linked with the first.
     """
+    few_nodes, many = FEW, MANY
     rows = listed.where("size(runs) > 0").select("node", F.explode("runs").alias("run"))
     rows = rows.repartition("run").sortWithinPartitions("run", "node").select("run", "node")
 
@@ -222,11 +223,11 @@ def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
         begin = np.flatnonzero(np.diff(run, prepend=run[:1] ^ 1))
         sizes = np.diff(np.append(begin, len(run)))
         size = np.repeat(sizes, sizes)
-        some = (size > 1) & (size <= MANY)
+        some = (size > 1) & (size <= many)
         run, node, size = run[some], node[some], size[some]
         if len(run):
-            few = size <= FEW
-            for shift in range(1, FEW):
+            few = size <= few_nodes
+            for shift in range(1, few_nodes):
                 pair = np.flatnonzero(few[:-shift] & (run[shift:] == run[:-shift]))
                 if not len(pair):
                     break
@@ -252,16 +253,16 @@ def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
                 continue
             begin = int(np.searchsorted(run, run[-1], "left"))
             yield from split(run[:begin], node[:begin])
-            for a, b in _long(run[:begin]):
+            for a, b in _long(run[:begin], many):
                 yield batch_of(2, run[a:b], np.full(b - a, node[a]), node[a:b])
             left_run, left_node = run[begin:], node[begin:]
-            if len(left_run) > 2 * MANY:
+            if len(left_run) > 2 * many:
                 star = (left_run[0], left_node[0])
                 yield batch_of(2, left_run, np.full(len(left_run), star[1]), left_node)
                 left_run = left_node = np.zeros(0, np.int64)
         if len(left_run):
             yield from split(left_run, left_node)
-            for a, b in _long(left_run):
+            for a, b in _long(left_run, many):
                 yield batch_of(2, left_run[a:b], np.full(b - a, left_node[a]), left_node[a:b])
 
     found = written(rows.mapInArrow(deal, "kind int, run bigint, a bigint, b bigint"), "jaccard-shared")
@@ -290,11 +291,11 @@ def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
     return links.unionByName(groups.groupBy("run").applyInPandas(in_tree, "a bigint, b bigint")).unionByName(stars).distinct()
 
 
-def _long(run: np.ndarray) -> list[tuple[int, int]]:
-    """Where runs of more than ``MANY`` rows begin and end."""
+def _long(run: np.ndarray, many: int) -> list[tuple[int, int]]:
+    """Where runs of more than ``many`` rows begin and end."""
     begin = np.flatnonzero(np.diff(run, prepend=run[:1] ^ 1))
     ends = np.append(begin[1:], len(run))
-    return [(int(a), int(b)) for a, b in zip(begin, ends) if b - a > MANY]
+    return [(int(a), int(b)) for a, b in zip(begin, ends) if b - a > many]
 
 
 def _verified(rows: DataFrame, keys: list[str], width: int, num: int, den: int) -> DataFrame:
@@ -326,6 +327,11 @@ def linked(
     id as component.  Ids may be null or repeat: rows are told apart by their sets, equal sets always link, and null
     ids never become the smallest one unless there is no other.  An empty table gives an empty result.
     """
+    return _grouped(docs, doc_id, text, width, num, den, chunk).select("id", "mark", "size", "component")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, chunk: int) -> DataFrame:
+    """:func:`linked` with the column ``group``, which tells groups apart even where ids repeat."""
     listed = written(_listed(docs, doc_id, text, width, num, den), "jaccard-runs")
     shared = written(_shared_runs(listed, num, den), "jaccard-bounded")
     clusters = written(components(shared).withColumnRenamed("component", "cluster"), "jaccard-clusters")
@@ -378,23 +384,25 @@ def _across_chunks(large: DataFrame, links: DataFrame, with_text, width: int, nu
 
 def _labelled(listed: DataFrame, found: DataFrame) -> DataFrame:
     nodes = listed.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
-    nodes = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = nodes.groupBy("component").agg(F.min("least").alias("least"))
-    nodes = nodes.select("node", "component").join(least, "component").select("node", "least")
+    nodes = nodes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    least = nodes.groupBy("group").agg(F.min("least").alias("component"))
+    nodes = nodes.select("node", "group").join(least, "group")
     filled = listed.where("node is not null").select("id", "mark", "size", "node").join(nodes, "node")
-    empty = listed.where("node is null").select("id", "mark", "size", F.col("id").alias("component"))
-    return filled.select("id", "mark", "size", F.col("least").alias("component")).unionByName(empty)
+    empty = listed.where("node is null").select("id", "mark", "size", F.col("id").alias("component"), F.lit(None).cast("bigint").alias("group"))
+    return filled.select("id", "mark", "size", "component", "group").unionByName(empty)
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **rule) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, num: int = 80, den: int = 100, chunk: int = CHUNK
+) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one of each group of linked documents stays.
 
     That is the row with the smallest id (of repeated ids, the one with the smallest hash of its text; of repeated
     rows, one).  Documents without words belong to no group and all stay.
     """
-    found = linked(docs, doc_id, text, **rule)
+    found = written(_grouped(docs, doc_id, text, width, num, den, chunk), "jaccard-groups")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark")
-    best = found.where("size > 0").groupBy("component").agg(F.min(row).alias("row")).select("row.id", "row.mark")
+    best = found.where("size > 0").groupBy("group").agg(F.min(row).alias("row")).select("row.id", "row.mark")
     stays = best.withColumn("single", F.lit(True)).unionByName(
         found.where("size = 0").select("id", "mark").distinct().withColumn("single", F.lit(False))
     )
