@@ -30,8 +30,9 @@ from tallyframe.llm import text as words
 from tallyframe.llm.components import components
 from tallyframe.llm.store import written
 
-#: Groups of the points in the R-tree.
-GROUPS = 64
+#: Groups of the points by size of the set: so many below the given size.  Each divides the next, so that points of
+#: different sizes are compared in the coarser groups.
+GROUPS = ((512, 64), (4096, 256), (1 << 62, 1024))
 #: N-grams that one chunk of a cluster holds, about.
 CHUNK = 1_000_000
 #: Nodes under one run that are compared pair by pair, and in one tree, at most.
@@ -93,9 +94,17 @@ def runs(items: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out).astype(np.int64)
 
 
-def point(items: np.ndarray) -> np.ndarray:
+def point(items: np.ndarray, groups: int | None = None) -> np.ndarray:
     """Counts of a set's items in the groups of the tree."""
-    return np.bincount((items >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    groups = groups or next(g for size, g in GROUPS if len(items) < size)
+    return np.bincount(((items >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def alike(packed: list[bytes]) -> np.ndarray:
+    """Packed points as rows in the coarsest groups among them."""
+    points = [np.frombuffer(p, np.int32) for p in packed]
+    groups = min(map(len, points))
+    return np.stack([p.reshape(groups, -1).sum(axis=1, dtype=np.int32) for p in points])
 
 
 class CountTree:
@@ -162,7 +171,8 @@ def join_links(sets: list[np.ndarray], label: np.ndarray, asks: np.ndarray, num:
         overlap = len(np.intersect1d(sets[q], sets[p], assume_unique=True))
         return den * overlap >= num * (len(sets[q]) + len(sets[p]) - overlap)
 
-    points = np.stack([point(s) for s in sets]) if sets else np.zeros((0, GROUPS), np.int32)
+    groups = max((len(point(s)) for s in sets), default=1)
+    points = np.stack([point(s, groups) for s in sets]) if sets else np.zeros((0, groups), np.int32)
     return tree_links(points, label, asks, num, den, linked)
 
 
@@ -271,15 +281,16 @@ def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.stack([np.frombuffer(v, np.int32) for v in c.to_pylist()]) for c in batch.columns[2:])
-                reach = np.minimum(x, y).sum(axis=1) >= needed(x.sum(axis=1), y.sum(axis=1), num, den)
+                reach = []
+                for pair in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                    x, y = alike(list(pair))
+                    reach.append(int(np.minimum(x, y).sum()) >= needed(int(x.sum()), int(y.sum()), num, den))
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(reach))
 
     def in_tree(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("node").sort_values("node").reset_index(drop=True)
-        x = np.stack([np.frombuffer(v, np.int32) for v in part["point"]])
         node = part["node"].to_numpy()
-        links = tree_links(x, node, np.ones(len(node), bool), num, den)
+        links = tree_links(alike(part["point"].to_list()), node, np.ones(len(node), bool), num, den)
         return pd.DataFrame(np.array([(node[p], node[q]) for q, p in links], np.int64).reshape(-1, 2), columns=["a", "b"])
 
     pairs = found.where("kind = 0").select("a", "b").distinct()
