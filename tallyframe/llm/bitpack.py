@@ -111,7 +111,7 @@ class LibraryEncoder:
     divide so simply; the former go to the library whole, the latter in the pieces that its split gives.
     """
 
-    def __init__(self, description: str, special: list[str], limit: int = 1 << 18):
+    def __init__(self, description: str, special: list[str], limit: int = 1 << 19):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -119,7 +119,7 @@ class LibraryEncoder:
         self._library.no_truncation()
         self._library.no_padding()
         self._special = special
-        self._after_space, self._pieces = Remembered(limit), Remembered(limit // 2)
+        self._after_space, self._pieces = Remembered(limit), Remembered(limit // 4)
         self._runs = re.compile(f"{_GAP}{{2}}")
         self._split = re.compile(f" ?[^{WHITE}]+|{_GAP}+(?![^{WHITE}])|{_GAP}+")
         size = self._library.get_vocab_size()
@@ -151,23 +151,31 @@ class LibraryEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes | None] = [None] * len(texts)
         spaced, split = {}, {}
+        piece_of, stretch_of = self._pieces.recent.get, self._after_space.recent.get
+        new_pieces, new_stretches = set(), set()
         for i, text in enumerate(texts):
             if any(s in text for s in self._special):
                 out[i] = self._asked([text])[0]
             elif self._runs.search(text):
                 split[i] = self._split.findall(text)
+                new_pieces.update(split[i])
             else:
-                spaced[i] = text.split(" ")
-        firsts = {parts[0] for parts in spaced.values()}
-        long_pieces = self._learn(self._pieces, firsts.union(*split.values()), self._asked)
-        long_stretches = self._learn(self._after_space, set().union(*(parts[1:] for parts in spaced.values())), self._stretches)
+                first, *rest = text.split(" ")
+                ids = [piece_of(first), *map(stretch_of, rest)]
+                if None in ids:
+                    spaced[i] = (first, rest)
+                    new_pieces.add(first)
+                    new_stretches.update([p for p, known in zip(rest, ids[1:]) if known is None])
+                else:
+                    out[i] = b"".join(ids)
+        keep = set().union(*(rest for _, rest in spaced.values())) if self._after_space.full() else new_stretches
+        long_pieces = self._learn(self._pieces, new_pieces, self._asked)
+        long_stretches = self._learn(self._after_space, keep, self._stretches)
         piece, stretch = self._pieces.recent, self._after_space.recent
         for i, parts in split.items():
             out[i] = b"".join(map(piece.__getitem__, parts))
-        for i, parts in spaced.items():
-            first = piece[parts[0]]
-            del parts[0]
-            out[i] = first + b"".join(map(stretch.__getitem__, parts))
+        for i, (first, rest) in spaced.items():
+            out[i] = piece[first] + b"".join(map(stretch.__getitem__, rest))
         for key in long_pieces:
             del piece[key]
         for key in long_stretches:

@@ -80,8 +80,11 @@ class Remembered:
         self.turn()
         self.recent[key] = value
 
+    def full(self) -> bool:
+        return len(self.recent) >= self.limit
+
     def turn(self) -> None:
-        if len(self.recent) >= self.limit:
+        if self.full():
             self._older, self.recent = self.recent, {}
 
     def missing(self, keys: set[str]) -> list[str]:
