@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.predicates import one_of_or_all
 from tallyframe.functions.values import MONEY
+from tallyframe.operators.combine import left_join_spreading_nulls
 from tallyframe.operators.keyed import current_rows
 from tallyframe.sources.registry import TableSet
 
@@ -85,7 +86,9 @@ def distinct_sums_by_line(
     )
     by_line = (F.when(F.col("own").isNull(), F.col(c)).otherwise(F.col(f"own_{c}")).alias(c) for c in line)
     kept = [c for c in totals.columns if c != "own" and c not in line]
-    return totals.join(alone, "own", "left").filter("own is null or known").select(*by_line, *kept)
+    # Totals of shared numbers have their line and no asset: they spread by their content.
+    placed = left_join_spreading_nulls(totals, alone, ["own"])
+    return placed.filter("own is null or known").select(*by_line, *kept)
 
 
 def distribution_stores(
@@ -104,11 +107,12 @@ def distribution_stores(
         F.col("flex_value").alias("store_number"),
         F.col("description").alias("store_location"),
     ).distinct()
-    placed = (
-        tables["fa_distribution_history"]
-        .select("asset_id", "distribution_id", "code_combination_id")
-        .join(tables["gl_code_combinations"].select("code_combination_id", "segment2"), "code_combination_id", "left")
-        .join(stores, "segment2", "left")
+    # Accounts meet the stores first, so the long side is dealt by account once and never by store.
+    accounts = tables["gl_code_combinations"].select("code_combination_id", "segment2").join(stores, "segment2", "left")
+    placed = left_join_spreading_nulls(
+        tables["fa_distribution_history"].select("asset_id", "distribution_id", "code_combination_id"),
+        accounts.drop("segment2"),
+        ["code_combination_id"],
     )
     return (
         one_of_or_all(placed, "store_number", locations)

@@ -129,11 +129,12 @@ def cip_listing(
     people = tables["per_person_names_f_v"].select(
         F.col("person_id").alias("incurred_by_person_id"), F.col("display_name").alias("employee")
     )
-    invoices = _invoice_suppliers(tables).join(_invoice_accounts(tables, events), "invoice_id", "left")
     items = left_join_spreading_nulls(tables["pjc_exp_items_all"], people, ["incurred_by_person_id"])
-    items = left_join_spreading_nulls(
-        items, invoices.withColumnRenamed("invoice_id", "original_header_id"), ["original_header_id"]
-    ).join(asset_status(tables), "expenditure_item_id", "left")
+    # The account comes from the distributions, also where the invoice itself is missing.
+    for lookup in (_invoice_suppliers(tables), _invoice_accounts(tables, events)):
+        lookup = lookup.withColumnRenamed("invoice_id", "original_header_id")
+        items = left_join_spreading_nulls(items, lookup, ["original_header_id"])
+    items = items.join(asset_status(tables), "expenditure_item_id", "left")
 
     # Lookups are attached to the side that owns their key, so that the long rows are joined last and once.
     rows = (
@@ -209,7 +210,7 @@ def _structure_weights(tables: TableSet, company: str | None) -> DataFrame:
     return tasks.join(_project_weights(tables, company), "project_id").select(
         "project_id",
         F.col("proj_element_id").alias("task_id"),
-        (F.col("tasks") * F.col("project_weight")).cast("decimal(12,0)").alias("weight"),
+        (F.col("tasks") * F.col("project_weight")).cast("decimal(20,0)").alias("weight"),
     )
 
 
@@ -277,7 +278,7 @@ def cip_rollforward(tables: TableSet, *, year: str, book: str | None, company: s
         "up_to_end",
         "quarters",
         "asset_status",
-        (F.col("cost") * F.col("item_weight").cast("decimal(12,0)")).alias("amount"),
+        (F.col("cost") * F.col("item_weight").cast("decimal(20,0)")).alias("amount"),
     ).selectExpr(
         "before",
         "up_to_end",

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.predicates import one_of
+from tallyframe.functions.predicates import one_of, one_of_or_all
 from tallyframe.functions.values import date_text, money, zero_if_null
 from tallyframe.operators.combine import left_join_spreading_nulls
 from tallyframe.sources.registry import TableSet
@@ -29,17 +29,13 @@ def first_line_location(tables: TableSet, invoices: DataFrame | None = None) ->
     accounts = tables["gl_code_combinations"].select(
         F.col("code_combination_id").alias("dist_code_combination_id"), "segment2", F.lit(0).alias("unknown")
     )
-    best = F.min(
-        F.struct(
-            "invoice_line_number",
-            F.coalesce("unknown", F.lit(1)).alias("unknown"),
-            "dist_code_combination_id",
-            "segment2",
-        )
-    )
-    # Line and account repeat within an invoice: drop the repeats before the accounts are looked up.
+    best = F.min(F.struct(F.coalesce("unknown", F.lit(1)).alias("unknown"), "dist_code_combination_id", "segment2"))
+    # Only the lowest line of an invoice goes on to the accounts, without its repeats.
+    lowest = Window.partitionBy("invoice_id").orderBy("invoice_line_number")
+    first = lines.withColumn("_rank", F.rank().over(lowest)).filter("_rank = 1")
+    first = first.select("invoice_id", "dist_code_combination_id").distinct()
     return (
-        left_join_spreading_nulls(lines.distinct(), accounts, ["dist_code_combination_id"])
+        left_join_spreading_nulls(first, accounts, ["dist_code_combination_id"])
         .groupBy("invoice_id")
         .agg(best.alias("first"))
         .select("invoice_id", F.col("first.segment2").alias("location"))
@@ -49,16 +45,17 @@ def first_line_location(tables: TableSet, invoices: DataFrame | None = None) ->
 def payment_details(
     tables: TableSet, *, checkruns: Sequence[str] | None, suppliers: Sequence[str] | None = None
 ) -> DataFrame:
-    """Invoices that are cleared to be paid in the named payment runs; no supplier list means all suppliers."""
+    """Invoices that are cleared to be paid in the named payment runs.
+
+    No supplier list, an empty one and one that holds None mean all suppliers, those without a name included.
+    """
     runs = (
         tables["ap_inv_selection_criteria_all"]
         .filter(one_of(F.col("checkrun_name"), checkruns))
         .select("checkrun_id", "checkrun_name", "check_date", F.col("status").alias("batch_status"))
     )
     selected = tables["ap_selected_invoices_all"].filter(F.col("ok_to_pay_flag") == "Y")
-    if suppliers is not None:
-        selected = selected.filter(one_of(F.col("vendor_name"), suppliers))
-    selected = selected.join(runs, "checkrun_id")
+    selected = one_of_or_all(selected, "vendor_name", suppliers).join(runs, "checkrun_id")
 
     invoices = tables["ap_invoices_all"].select(
         "invoice_id",

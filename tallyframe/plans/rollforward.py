@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.predicates import optional_eq
 from tallyframe.functions.values import MONEY, life_in_years, money, signed, zero_if_null
 from tallyframe.operators.calendar import QUARTERS, Calendar, quarter_sums
-from tallyframe.operators.combine import zero_pad_union
+from tallyframe.operators.combine import left_join_spreading_nulls, zero_pad_union
 from tallyframe.operators.keyed import current_rows, last_before, latest_rows
 from tallyframe.sources.registry import TableSet
 
@@ -89,9 +89,11 @@ class _Scope:
         placed = (
             latest_rows(current_rows(t["fa_distribution_history"]), "asset_id", "distribution_id")
             .select("asset_id", "code_combination_id")
-            .join(t["gl_code_combinations"].select("code_combination_id", "segment1"), "code_combination_id", "left")
-            .join(companies, "segment1", "left")
-            .select("asset_id", *(F.greatest(F.coalesce(w, F.lit(0)), fewest).alias(w) for w in WEIGHTS))
+        )
+        # Accounts meet the companies first: the assets are never dealt by company.
+        accounts = t["gl_code_combinations"].select("code_combination_id", "segment1").join(companies, "segment1")
+        placed = left_join_spreading_nulls(placed, accounts.drop("segment1"), ["code_combination_id"]).select(
+            "asset_id", *(F.greatest(F.coalesce(w, F.lit(0)), fewest).alias(w) for w in WEIGHTS)
         )
         return (
             optional_eq(t["fa_additions_b"], "asset_number", self.asset_number)
@@ -114,7 +116,7 @@ class _Scope:
             self.assets()
             .join(lives, "asset_id")
             .groupBy("asset_id", "asset_type", *KEYS)
-            .agg(*(F.sum(w).cast("decimal(12,0)").alias(w) for w in WEIGHTS))
+            .agg(*(F.sum(w).cast("decimal(20,0)").alias(w) for w in WEIGHTS))
         )
 
     def year_headers(self) -> DataFrame:
@@ -213,7 +215,7 @@ def _cost_balances(scope: _Scope) -> DataFrame:
         .select("asset_id", "transaction_header_id_in", "life_in_years", "cost")
         .join(last, ["asset_id", "transaction_header_id_in"])
         .join(scope.assets().filter("weight > 0"), "asset_id"),
-        zero_if_null(F.col("cost")) * F.col("weight").cast("decimal(12,0)"),
+        zero_if_null(F.col("cost")) * F.col("weight").cast("decimal(20,0)"),
         "balance",
     )
 

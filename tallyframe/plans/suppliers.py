@@ -56,7 +56,8 @@ def _supplier_rows(tables: TableSet, status: str | None) -> DataFrame:
     )
     # A parent is looked up as a supplier first and named through its own party.
     parents = left_join_spreading_nulls(
-        tables["poz_suppliers"].select("party_id"),
+        # One without a party can be nobody's parent.
+        tables["poz_suppliers"].select("party_id").filter("party_id is not null"),
         parties.select("party_id", F.col("party_name").alias("parent_supplier")),
         ["party_id"],
     ).withColumnRenamed("party_id", "parent_party_id")
@@ -200,7 +201,7 @@ def _invoiced(
     times = F.col("distributions") * at_least_one("order_lines") * at_least_one("orders")
     return rows.groupBy("vendor_id", *INVOICE_COLUMNS).agg(
         F.count_distinct("invoice_id").alias("total_invoice_count"),
-        F.sum(F.col("invoice_amount") * times.cast("decimal(12,0)")).alias("invoice_amount"),
+        F.sum(F.col("invoice_amount") * times.cast("decimal(20,0)")).alias("invoice_amount"),
         F.count_distinct("order_number").alias("total_po_count"),
     )
 
@@ -225,7 +226,7 @@ def supplier_directory(
         *INVOICE_COLUMNS,
         *SUPPLIER_COLUMNS,
         "total_invoice_count",
-        money(F.col("invoice_amount") * F.col("payment_rows").cast("decimal(12,0)")).alias("total_invoice_amount"),
+        money(F.col("invoice_amount") * F.col("payment_rows").cast("decimal(20,0)")).alias("total_invoice_amount"),
         "no_of_payments",
         "total_po_count",
     )

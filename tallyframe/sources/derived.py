@@ -12,9 +12,7 @@ like any stored table: with pruned columns and pushed filters, and without its l
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +29,8 @@ SAME_ROWS = {
 
 VIEWS: dict[str, str] = {
     "fa_additions_b": """
-        select p_partkey asset_id, concat('A', lpad(cast(p_partkey as varchar(10)),6,'0')) asset_number, case when
+        select p_partkey asset_id, concat('A', case when p_partkey<100000 then
+        lpad(cast(p_partkey as varchar(20)),6,'0') else cast(p_partkey as varchar(20)) end) asset_number, case when
         p_partkey%5=0 then 'CIP' else 'CAPITALIZED' end asset_type, p_size%10 asset_category_id from {part}
     """,
     "fa_categories_b": """
@@ -68,7 +67,8 @@ VIEWS: dict[str, str] = {
     """,
     "fnd_flex_values_vl": """
         select cast(n_nationkey as varchar(5)) flex_value, n_name description, 'Location COA' value_category from
-        {nation} union all select cast(r_regionkey as varchar(5)), r_name, 'Company COA' from {region}
+        {nation} union all select cast(r_regionkey as varchar(5)), r_name, 'Company COA' from {region} union all select
+        cast(r_regionkey as varchar(5)), r_name, 'Company Northgate COA' from {region} where r_regionkey%2=1
     """,
     "fa_adjustments": """
         select th.asset_id, d.distribution_id, th.transaction_header_id, case l_linenumber when 1 then 'ADDITION'
@@ -276,19 +276,16 @@ def is_costly(name: str) -> bool:
     return re.search(r"\b(distinct|join|group by)\b", VIEWS[name]) is not None
 
 
-@lru_cache
-def local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyframe-")
+def new_folder(spark: SparkSession) -> str:
+    """A folder of this application inside the one in spark.checkpoint.dir, which goes when the application ends.
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local session that names none gets one of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return local_folder()
+    Where that is unset it lies in the warehouse, which executors share as well.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    path = f"{shared.rstrip('/')}/tallyframe-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 class DerivedTables(TableSet):
@@ -320,7 +317,7 @@ class DerivedTables(TableSet):
     def _stored(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self._directory)
         if key not in self._folders:
-            self._folders[key] = f"{shared_folder(self.spark)}/tallyframe-{uuid.uuid4().hex}"
+            self._folders[key] = new_folder(self.spark)
         path = f"{self._folders[key]}/{name}"
         if path not in self._written:
             self.conform(name, self._view(name)).write.mode("overwrite").parquet(path)
