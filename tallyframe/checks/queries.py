@@ -38,6 +38,9 @@ LOCATIONS = [str(i) for i in range(25)]
 TWO_STORES = ["1", "2"]
 CHECKRUNS = ["RUN 1-URGENT", "RUN 5-LOW"]
 NO_BOOK = "NO SUCH BOOK"
+ONE_MAJOR, ASSET_TYPE, LIFE, ASSET_NUMBER = "MAJ1", "CAPITALIZED", "0.9", "A000012"
+VENDORS = ["Supplier#000000003", "Supplier#000000014", "Supplier#000000028"]
+STATUS, UNIT = "A", 2
 
 PROPERTY_TAX = dict(majors=MAJORS, minors=MINORS, locations=LOCATIONS, from_date=FROM, to_date=TO)
 RANGE = dict(from_date=FROM, to_date=TO)
@@ -232,6 +235,21 @@ BUILDS: dict[str, Build] = {
     "property_tax_detail": lambda t: plans.property_tax_detail(t, **PROPERTY_TAX),
     "property_tax_by_location": lambda t: plans.property_tax_by_location(t, **PROPERTY_TAX),
     "property_tax_summary": lambda t: plans.property_tax_summary(t, **PROPERTY_TAX),
+    "property_tax_detail_filtered": lambda t: plans.property_tax_detail(
+        t, **PROPERTY_TAX | dict(majors=[ONE_MAJOR]), book=BOOK, asset_type=ASSET_TYPE
+    ),
+    "asset_rollforward_filtered": lambda t: plans.asset_rollforward(t, **YEAR_BOOK, major=ONE_MAJOR, life_years=LIFE),
+    "asset_rollforward_asset": lambda t: plans.asset_rollforward(t, **YEAR_BOOK, asset_number=ASSET_NUMBER),
+    "asset_rollforward_no_calendar": lambda t: plans.asset_rollforward(t, year=YEAR, book=NO_BOOK),
+    "cip_rollforward_no_calendar": lambda t: plans.cip_rollforward(t, year=YEAR, book=NO_BOOK),
+    "nbv_detail_book": lambda t: plans.nbv_detail(t, **RANGE, book=BOOK),
+    "nbv_summary_book": lambda t: plans.nbv_summary(t, **RANGE, book=BOOK),
+    "payment_details_suppliers": lambda t: plans.payment_details(t, checkruns=CHECKRUNS, suppliers=VENDORS),
+    "payment_details_all_suppliers": lambda t: plans.payment_details(t, checkruns=CHECKRUNS, suppliers=[*VENDORS, None]),
+    "supplier_directory_filtered": lambda t: plans.supplier_directory(
+        t, from_date=FROM, to_date=SUPPLIERS_TO, status=STATUS, business_unit=UNIT
+    ),
+    "supplier_directory_reversed": lambda t: plans.supplier_directory(t, from_date=SUPPLIERS_TO, to_date=FROM),
     "asset_rollforward": lambda t: plans.asset_rollforward(t, **YEAR_BOOK),
     "asset_rollforward_company": lambda t: plans.asset_rollforward(t, **YEAR_BOOK, company=COMPANY),
     "cip_rollforward": lambda t: plans.cip_rollforward(t, **YEAR_BOOK),

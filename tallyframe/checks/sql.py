@@ -9,17 +9,24 @@ from __future__ import annotations
 import re
 
 from tallyframe.checks.queries import (
+    ASSET_NUMBER,
+    ASSET_TYPE,
     BOOK,
     CHECKRUNS,
     COMPANY,
     FROM,
+    LIFE,
     LOCATIONS,
     MAJORS,
     MINORS,
     NO_BOOK,
+    ONE_MAJOR,
+    STATUS as PARTY_STATUS,
     SUPPLIERS_TO,
     TO,
     TWO_STORES,
+    UNIT,
+    VENDORS,
     YEAR,
 )
 from tallyframe.plans.rollforward import RETIREMENT_COMPANY_CATEGORY, TRANSACTION_TYPES
@@ -72,46 +79,62 @@ DISTINCT_COST = " + ".join(
     f"sum(distinct coalesce(moves.{c}, 0))" for c in ("additions", "transfers", "clearings", "retirements")
 )
 
-PROPERTY_TAX_DETAIL = f"""
+def _movement_lines(majors=MAJORS, book: str | None = None, asset_type: str | None = None) -> str:
+    """Scope of assets, their stores and moments, then the amounts that belong to each combination."""
+    return f"""
 moves as ({_cost_sums()}),
+scope as (
+  select asset_id, asset_number, asset_type, segment1 as major_asset_category, segment2 as minor_asset_category
+  from fa_additions_b join fa_categories_b on category_id = asset_category_id
+  where segment1 in {_texts(majors)} and segment2 in {_texts(MINORS)} {f"and asset_type = '{asset_type}'" if asset_type else ""}
+),
+open_books as (
+  select s.asset_id, b.book_type_code as asset_book from scope s left join fa_books b on b.asset_id = s.asset_id
+  where b.date_ineffective is null {f"and b.book_type_code = '{book}'" if book else ""}
+),
+places as (
+  select d.asset_id, d.distribution_id, v.description as store_location
+  from fa_distribution_history d, gl_code_combinations g, fnd_flex_values_vl v
+  where g.code_combination_id = d.code_combination_id and v.flex_value = g.segment2
+    and v.value_category = 'Location COA' and v.flex_value in {_texts(LOCATIONS)}
+),
+moments as (
+  select asset_id, transaction_header_id, transaction_date_entered as entered from fa_transaction_headers
+  where {_between('transaction_date_entered')}
+),
 detail as (
-  select b.book_type_code as asset_book, a.asset_number, a.asset_type, h.transaction_date_entered as entered,
-         c.segment1 as major_asset_category, c.segment2 as minor_asset_category,
-         s.description as store_location, cast({DISTINCT_COST} as {M}) as cost
-  from fa_additions_b a
-  left join fa_books b using (asset_id)
-  left join fa_transaction_headers h on h.asset_id = a.asset_id
-  left join fa_categories_b c on c.category_id = a.asset_category_id
-  left join fa_distribution_history d on d.asset_id = a.asset_id
-  left join gl_code_combinations g on g.code_combination_id = d.code_combination_id
-  left join fnd_flex_values_vl s on s.flex_value = g.segment2
-  left join moves on moves.asset_id = a.asset_id and moves.distribution_id = d.distribution_id
-       and moves.transaction_header_id = h.transaction_header_id
-  where b.date_ineffective is null and s.value_category = 'Location COA'
-    and c.segment1 in {_texts(MAJORS)} and c.segment2 in {_texts(MINORS)}
-    and s.flex_value in {_texts(LOCATIONS)} and {_between('h.transaction_date_entered')}
+  select k.asset_book, s.asset_number, s.asset_type, m.entered, s.major_asset_category, s.minor_asset_category,
+         p.store_location, cast({DISTINCT_COST} as {M}) as cost
+  from scope s natural join open_books k natural join places p natural join moments m
+  left join moves using (asset_id, distribution_id, transaction_header_id)
   group by all
 )
 """
 
 
+PRINTED_LINES = """
+select asset_book, asset_number, asset_type, strftime(entered, '%m/%d/%Y') as transaction_date,
+       major_asset_category, minor_asset_category, store_location, cost from detail
+"""
+
+
 def _property_tax_summary(keys: str) -> str:
-    return f"""{PROPERTY_TAX_DETAIL}
+    return f"""{_movement_lines()}
 select {keys}, cast(sum(cost) as {M}) as total_cost
 from (select distinct {keys}, cost from detail) group by {keys}
 """
 
 
 PROPERTY_TAX = {
-    "property_tax_detail": f"""{PROPERTY_TAX_DETAIL}
-select asset_book, asset_number, asset_type, strftime(entered, '%m/%d/%Y') as transaction_date,
-       major_asset_category, minor_asset_category, store_location, cost from detail
-""",
+    "property_tax_detail": _movement_lines() + PRINTED_LINES,
+    "property_tax_detail_filtered": _movement_lines([ONE_MAJOR], BOOK, ASSET_TYPE) + PRINTED_LINES,
     "property_tax_by_location": _property_tax_summary("major_asset_category, minor_asset_category, store_location"),
     "property_tax_summary": _property_tax_summary("major_asset_category, minor_asset_category"),
 }
 
-CALENDAR = f"""
+
+def _calendar(book: str = BOOK) -> str:
+    return f"""
 calendar as (
   select max(start_date) filter (where period_num = 1) as start_date,
          max(end_date) filter (where period_num = 12) as end_date,
@@ -121,10 +144,13 @@ calendar as (
          max(start_date) filter (where period_num = 10) as q4_start_date
   from fa_calendar_periods join fa_calendar_types using (calendar_type)
   join fa_book_controls using (fiscal_year_name)
-  where book_type_code = '{BOOK}' and period_name like '%{YEAR[2:]}%'
+  where book_type_code = '{book}' and period_name like '%{YEAR[2:]}%'
 )
 """
 
+
+CALENDAR = _calendar()
+
 DATES = {q: f"(select q{q}_start_date from calendar)" for q in (1, 2, 3, 4)} | {5: "(select end_date from calendar)"}
 START, END = "(select start_date from calendar)", DATES[5]
 
@@ -164,7 +190,7 @@ def _asof_periods() -> str:
     return one("beginning", f"< {START}") + " union all " + one("ending", f"<= {END}")
 
 
-def _rollforward(company: str | None) -> str:
+def _rollforward(company: str | None, assets: str = "true", lives: str = "true", book: str = BOOK) -> str:
     def scope(category: str) -> str:
         return f"""
   select a.asset_id, a.asset_number, a.asset_type, c.segment1 as major_asset_category
@@ -175,7 +201,7 @@ def _rollforward(company: str | None) -> str:
           where x.asset_id = d.asset_id and x.date_ineffective is null)) d on d.asset_id = a.asset_id
   left join gl_code_combinations g on g.code_combination_id = d.code_combination_id
   left join fnd_flex_values_vl f on f.flex_value = g.segment1 and f.value_category = '{category}'
-  {f"where f.flex_value = '{company}'" if company else ""}"""
+  where {assets} {f"and f.flex_value = '{company}'" if company else ""}"""
 
     cost = [f"q{q}_{n}" for q in (1, 2, 3, 4) for n in ("additions", "retirements", "adjustments")]
     sys_, add, ret = ([f"q{q}_{n}" for q in (1, 2, 3, 4)] for n in ("sys", "add", "ret"))
@@ -200,12 +226,12 @@ def _rollforward(company: str | None) -> str:
     final += [f"q{q}_ret as q{q}_retirement_depreciation" for q in (1, 2, 3, 4)]
     final = [f"cast({f.split(' as ')[0]} as {M}) as {f.split(' as ')[-1]}" for f in final]
 
-    return f"""{CALENDAR},
+    return f"""{_calendar(book)},
 scope as ({scope('Company COA')}),
 retirement_scope as ({scope(RETIREMENT_COMPANY_CATEGORY)}),
 books as (
   select b.*, m.life_in_months, cast(round(m.life_in_months / 12.0, 1) as decimal(12,1)) as life_in_years
-  from fa_books b join fa_methods m using (method_id) where b.book_type_code = '{BOOK}'
+  from fa_books b join fa_methods m using (method_id) where b.book_type_code = '{book}' and {lives}
 ),
 movement as (
   select s.major_asset_category, b.life_in_years, h.transaction_date_entered as d,
@@ -306,8 +332,8 @@ event_account as (
 """
 
 
-def _listing(where: str, company: str | None) -> str:
-    return f"""{CALENDAR}, {STATUS}, {EVENT_ACCOUNTS},
+def _listing(where: str, company: str | None, book: str = BOOK) -> str:
+    return f"""{_calendar(book)}, {STATUS}, {EVENT_ACCOUNTS},
 invoice_account as (
   select i.invoice_id, min(e.account) as account
   from ap_invoice_distributions_all i join event_account e on e.event_id = i.accounting_event_id group by i.invoice_id
@@ -344,7 +370,7 @@ listing as (
 """
 
 
-def _cip_rollforward(company: str | None) -> str:
+def _cip_rollforward(company: str | None, book: str = BOOK) -> str:
     d = "provider_acc_date"
     in_progress = "(asset_status is null or asset_status = 'Pending')"
 
@@ -358,11 +384,12 @@ def _cip_rollforward(company: str | None) -> str:
     for name, test, sign in (("cip", in_progress, ""), ("cip_cap", "asset_status = 'Transferred'", "-")):
         for q in (1, 2, 3, 4):
             columns.append(f"{amount(f'{test} and {d} >= {DATES[q]} and {d} < {DATES[q + 1]}', sign)} as q{q}_{name}")
-    return _listing("true", company) + f"select {', '.join(columns)} from listing"
+    return _listing("true", company, book) + f"select {', '.join(columns)} from listing"
 
 
-def _nbv_detail(locations) -> str:
+def _nbv_detail(locations, book: str | None = None) -> str:
     chosen = f"and s.flex_value in {_texts(locations)}" if locations else ""
+    chosen += f" and b.book_type_code = '{book}'" if book else ""
     keys = "asset_book, asset_number, asset_type, store_number, store_location"
     return f"""
 moves as ({_cost_sums()}),
@@ -404,8 +431,9 @@ group by all
 """
 
 
-def _nbv_summary(locations) -> str:
+def _nbv_summary(locations, book: str | None = None) -> str:
     chosen = f"and s.flex_value in {_texts(locations)}" if locations else ""
+    chosen += f" and b.book_type_code = '{book}'" if book else ""
 
     def opening(column: str) -> str:
         return f"""(
@@ -491,7 +519,11 @@ def _spaced(*names: str) -> str:
     return " || ' ' || ".join(f"coalesce({n}, '')" for n in names)
 
 
-SUPPLIER_DIRECTORY = f"""
+def _supplier_directory(start=FROM, end=SUPPLIERS_TO, more: str = "h.status is not null") -> str:
+    def between(column: str) -> str:
+        return f"{column} between {_ts(start)} and {_ts(end)}"
+
+    return f"""
 named as (
   select u.bu_name as business_unit, m.payment_method_name as method_of_payment, t.description as payment_terms,
          v.meaning as pay_group, s.segment1 as supplier_number, h.party_name as supplier_name,
@@ -526,7 +558,7 @@ named as (
   left join poz_suppliers_pii pii on pii.vendor_id = s.vendor_id
   left join poz_suppliers_v sv on sv.vendor_id = s.vendor_id
   left join poz_supplier_address_v ad on ad.vendor_id = s.vendor_id and ad.party_id = h.party_id
-  where {_between('d.accounting_date', SUPPLIERS_TO)} and {_between('pay.payment_date', SUPPLIERS_TO)} and h.status is not null
+  where {between('d.accounting_date')} and {between('pay.payment_date')} and {more}
 )
 select * exclude (vendor_id) from (
 select * exclude (invoice_id, invoice_amount, payment_id, order_number),
@@ -626,6 +658,10 @@ BODIES: dict[str, str] = {
     **PROPERTY_TAX,
     "asset_rollforward": _rollforward(None),
     "asset_rollforward_company": _rollforward(COMPANY),
+    "asset_rollforward_filtered": _rollforward(None, f"c.segment1 = '{ONE_MAJOR}'", f"life_in_years = {LIFE}"),
+    "asset_rollforward_asset": _rollforward(None, f"a.asset_number = '{ASSET_NUMBER}'"),
+    "asset_rollforward_no_calendar": _rollforward(None, book=NO_BOOK),
+    "cip_rollforward_no_calendar": _cip_rollforward(None, NO_BOOK),
     "cip_rollforward": _cip_rollforward(None),
     "cip_rollforward_company": _cip_rollforward(COMPANY),
     "cip_listing_beginning": _listing(f"c.prvdr_gl_date < {START}", None) + "select * from listing",
@@ -634,10 +670,16 @@ BODIES: dict[str, str] = {
     "cip_listing_ending": _listing(f"c.prvdr_gl_date < {END}", None) + "select * from listing",
     "nbv_detail": _nbv_detail(None),
     "nbv_detail_locations": _nbv_detail(TWO_STORES),
+    "nbv_detail_book": _nbv_detail(None, BOOK),
+    "nbv_summary_book": _nbv_summary(None, BOOK),
     "nbv_summary": _nbv_summary(None),
     "nbv_summary_locations": _nbv_summary(TWO_STORES),
     "payment_details": PAYMENT_DETAILS,
-    "supplier_directory": SUPPLIER_DIRECTORY,
+    "payment_details_suppliers": f"{PAYMENT_DETAILS} and s.vendor_name in {_texts(VENDORS)}",
+    "payment_details_all_suppliers": PAYMENT_DETAILS,
+    "supplier_directory": _supplier_directory(),
+    "supplier_directory_filtered": _supplier_directory(more=f"h.status = '{PARTY_STATUS}' and u.bu_id = {UNIT}"),
+    "supplier_directory_reversed": _supplier_directory(SUPPLIERS_TO, FROM),
     **OPERATORS,
 }
 

@@ -125,6 +125,7 @@ VIEWS: dict[str, str] = {
         'P' then cast(100 as decimal(18,2)) else null end amount_paid, o_custkey%100 vendor_id, o_custkey%5 org_id,
         o_orderkey%4 terms_id, concat('M',cast(o_orderkey%4 as varchar(5))) payment_method_code, o_orderpriority
         pay_group_lookup_code, case when o_orderkey%7=0 then null else 'goods' end description from {orders}
+        where o_orderkey%13<>0
     """,
     "ap_invoice_distributions_all": """
         select l_orderkey invoice_id, l_linenumber invoice_line_number, l_suppkey dist_code_combination_id,
