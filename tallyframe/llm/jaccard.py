@@ -36,7 +36,9 @@ GROUPS = ((512, 64), (4096, 256), (1 << 62, 1024))
 #: N-grams that one chunk of a cluster holds, about.
 CHUNK = 1_000_000
 #: Nodes under one run that are compared pair by pair, and in one tree, at most.
-FEW, MANY = 8, 20_000
+FEW, MANY = 16, 20_000
+#: Clustered documents that are sent to the tasks which read texts, at most (about 100 bytes each); more are joined.
+SENT = 1 << 18
 _LEAF, _FAN = 32, 16
 
 
@@ -241,7 +243,8 @@ def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
                 pair = np.flatnonzero(few[:-shift] & (run[shift:] == run[:-shift]))
                 if not len(pair):
                     break
-                yield batch_of(0, run[pair], node[pair], node[pair + shift])
+                a, b = np.unique(np.stack([node[pair], node[pair + shift]]), axis=1)
+                yield batch_of(0, np.zeros(len(a), np.int64), a, b)
             if not few.all():
                 yield batch_of(1, run[~few], node[~few], node[~few])
 
@@ -356,9 +359,11 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
         F.col(f"`{doc_id}`").cast("bigint").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("doc_mark"), F.col(f"`{text}`").cast("string").alias("text")
     )
 
+    few = members.count() <= SENT
+
     def with_text(rows: DataFrame) -> DataFrame:
         same = (F.col("mark") == F.col("doc_mark")) & F.col("id").eqNullSafe(F.col("doc"))
-        return rows.join(named, same).drop("doc", "doc_mark", "mark", "id")
+        return named.join(F.broadcast(rows) if few else rows, same).drop("doc", "doc_mark", "mark", "id")
 
     own = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")))
     everywhere = F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)
