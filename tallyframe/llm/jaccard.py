@@ -359,9 +359,8 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
         F.col(f"`{doc_id}`").cast("bigint").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("doc_mark"), F.col(f"`{text}`").cast("string").alias("text")
     )
 
-    few = members.count() <= SENT
 
-    def with_text(rows: DataFrame) -> DataFrame:
+    def with_text(rows: DataFrame, few: bool = False) -> DataFrame:
         same = (F.col("mark") == F.col("doc_mark")) & F.col("id").eqNullSafe(F.col("doc"))
         return named.join(F.broadcast(rows) if few else rows, same).drop("doc", "doc_mark", "mark", "id")
 
@@ -369,7 +368,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
     everywhere = F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)
     places = F.when(F.col("node") == F.col("cluster"), everywhere).otherwise(own)
     first = members.withColumn("label", F.col("node")).withColumn("asks", F.lit(True))
-    first = with_text(first).withColumn("place", F.explode(places))
+    first = with_text(first, few=members.count() <= SENT).withColumn("place", F.explode(places))
     links = written(_verified(first, ["cluster", "place"], width, num, den), "jaccard-links")
 
     large = members.where("chunks > 1")
