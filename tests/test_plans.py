@@ -125,3 +125,18 @@ def test_hot_and_missing_keys_spread(spark, stored):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_missing_keys_of_equal_rows_spread(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for key, value in zip(kept, ("16", "-1", "false")):
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(0, 4000, 1, 8).selectExpr("cast(null as bigint) as k", "'same' as v")
+        right = spark.range(5).selectExpr("id as k", "id as w")
+        out = left_join_spreading_nulls(left, right, ["k"])
+        per_task = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert sum(per_task) == 4000 and max(per_task) <= 2000

@@ -451,3 +451,57 @@ def test_values(spark):
         dash="a-", nothing=None, trimmed="x", p="P01", q=None, r=None, nine=Decimal("0.8"), ten=Decimal("0.8"),
         day="02/01/1998", half="-2.35", unsigned=None,
     )
+
+
+def test_supplier_list_that_means_all(spark):
+    nameless = [dict(r, vendor_name=None) if r["invoice_id"] == 2 else r for r in PAYABLES["ap_selected_invoices_all"]]
+    tables = small_tables(spark, **{**PAYABLES, "ap_selected_invoices_all": nameless})
+    for suppliers in (None, [], ["W", None]):
+        assert len(records(plans.payment_details(tables, checkruns=["RUN"], suppliers=suppliers))) == 2
+    assert len(records(plans.payment_details(tables, checkruns=["RUN"], suppliers=["V"]))) == 1
+
+
+@pytest.mark.parametrize("invoices", [[], [dict(invoice_id=70, vendor_id=1)]])
+def test_account_of_an_invoice_that_may_be_missing(spark, invoices):
+    tables = small_tables(
+        spark,
+        **CALENDAR,
+        pjf_projects_all_vl=[dict(project_id=1)],
+        pjf_proj_elements_b=[dict(proj_element_id=2, project_id=1)],
+        pjf_proj_elements_tl=[dict(proj_element_id=2, name="T")],
+        pjf_project_classes=[dict(project_id=1, class_code_id=4)],
+        pjf_class_codes_b=[dict(class_code_id=4)],
+        pjf_class_codes_tl=[dict(class_code_id=4, class_code="Class")],
+        pjc_exp_items_all=[dict(expenditure_item_id=1, original_header_id=70)],
+        pjc_cost_dist_lines_all=[
+            dict(project_id=1, task_id=2, expenditure_item_id=1, projfunc_raw_cost=1, prvdr_gl_date=day("1998-02-01"))
+        ],
+        ap_invoices_all=invoices,
+        ap_invoice_distributions_all=[dict(invoice_id=70, accounting_event_id=9)],
+        xla_ae_headers=[dict(ae_header_id=3, event_id=9)],
+        xla_ae_lines=[dict(ae_header_id=3, accounted_dr=1, code_combination_id=5)],
+        gl_code_combinations=[dict(code_combination_id=5, segment1="01", segment2="02")],
+    )
+    (row,) = records(plans.cip_listing(tables, year="1998", book="BOOK0"))
+    assert row["raw_cost_debit_acct"] == "01-02-----"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_weights_beyond_twelve_digits(spark, ansi):
+    kept = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = spark.createDataFrame([(Decimal("0.25"), 10**12)], "amount decimal(18,2), n bigint")
+        product = rows.select((F.col("amount") * F.col("n").cast("decimal(20,0)")).alias("x")).first().x
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", kept)
+    assert product == 250_000_000_000
+
+
+def test_asset_numbers_of_large_keys_stay_apart(spark, tmp_path):
+    from tallyframe.sources import DerivedTables
+
+    keys = [7, 123456, 1234567, 12345678, 99999, 100000]
+    spark.createDataFrame([(k, 1) for k in keys], "p_partkey bigint, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    numbers = {r.asset_id: r.asset_number for r in DerivedTables(spark, str(tmp_path))["fa_additions_b"].collect()}
+    assert numbers == {7: "A000007", 123456: "A123456", 1234567: "A1234567", 12345678: "A12345678", 99999: "A099999", 100000: "A100000"}
