@@ -45,9 +45,6 @@ def _movements(
     Summaries do not need the moments at which nothing was booked: without ``every_moment`` one row of zero
     cost stands for all of an asset and store.
     """
-    headers = headers_where(tables, within(F.col("transaction_date_entered"), from_date, to_date))
-    stores = distribution_stores(tables, None, STORE_CATEGORY).filter(one_of(F.col("store_number"), locations))
-
     categories = (
         tables["fa_categories_b"]
         .filter(one_of(F.col("segment1"), majors) & one_of(F.col("segment2"), minors))
@@ -64,6 +61,12 @@ def _movements(
         .select("asset_id", *LINE)
         .distinct()
     )
+    # Transactions and places of other assets stay out of everything that follows.
+    scope = assets.select("asset_id").distinct()
+    headers = headers_where(tables, within(F.col("transaction_date_entered"), from_date, to_date))
+    headers = headers.join(scope, "asset_id", "left_semi")
+    stores = distribution_stores(tables, None, STORE_CATEGORY).filter(one_of(F.col("store_number"), locations))
+    stores = stores.join(scope, "asset_id", "left_semi")
 
     when = F.col("transaction_date") if every_moment else F.lit(None).cast("timestamp_ntz")
     groups = (
