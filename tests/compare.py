@@ -1,4 +1,4 @@
-"""Run the registered queries and their SQL side by side: ``python tests/compare.py DIRECTORY [name ...]``."""
+"""Run the registered queries that have SQL side by side with it: ``python tests/compare.py DIRECTORY [name ...]``."""
 
 from __future__ import annotations
 
@@ -13,12 +13,12 @@ from pyspark.sql import SparkSession
 
 import __spark_entry__ as entry_points
 
-STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings")
 
 
 def connect(directory: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
-    for name in STAR:
+    for name in TABLES:
         connection.execute(f"create view {name} as select * from '{directory}/{name}.parquet'")
     return connection
 
@@ -51,7 +51,7 @@ def main(directory: str, names: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(directory)
     bad = 0
-    for name in names or entry_points.queries():
+    for name in names or entry_points.oracle_sql():
         try:
             start = time.time()
             left = spark_rows(spark, name, directory)
