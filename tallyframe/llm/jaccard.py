@@ -178,50 +178,66 @@ def join_links(sets: list[np.ndarray], label: np.ndarray, asks: np.ndarray, num:
     return tree_links(points, label, asks, num, den, linked)
 
 
-def _listed(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int) -> DataFrame:
-    """Per row: its id, a mark of its text, its set's size and node, and once per task and node the runs and the point."""
-    rows = docs.select(
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("id"),
         F.xxhash64(F.col(f"`{text}`")).alias("mark"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
 
+
+def _fresh(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches with the set, the node and, once per task and node, a true flag for each row."""
+    seen: set[int] = set()
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch, rows = whole.slice(at, 1024), []
+            for items in batch_sets(batch.column(column), width):
+                node = fingerprint(items) if len(items) else None
+                rows.append((items, node, node is not None and node not in seen))
+                seen.add(node)
+            yield batch, rows
+
+
+def _listed(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """Per row: its id, a mark of its text, its set's size and node, and once per task and node the point."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, rows in _fresh(batches, 2, width):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:2],
+                    pa.array([len(items) for items, _, _ in rows], pa.int64()),
+                    pa.array([node for _, node, _ in rows], pa.int64()),
+                    pa.array([point(items).tobytes() if fresh else None for items, _, fresh in rows], pa.binary()),
+                ],
+                names=["id", "mark", "size", "node", "point"],
+            )
+
+    return _texts(docs, doc_id, text).mapInArrow(run, "id bigint, mark bigint, size bigint, node bigint, point binary")
+
+
+def _run_rows(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int) -> DataFrame:
+    """``run``, ``node``: the runs of every node, once per task.  They are many, so they are not written but dealt."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                sizes, nodes, listed, points = [], [], [], []
-                for items in batch_sets(batch.column(2), width):
-                    node = fingerprint(items)
-                    fresh = len(items) > 0 and node not in seen
-                    sizes.append(len(items))
-                    nodes.append(node if len(items) else None)
-                    listed.append(runs(items, num, den) if fresh else None)
-                    points.append(point(items).tobytes() if fresh else None)
-                    if fresh:
-                        seen.add(node)
-                ends = np.cumsum([0, *(0 if r is None else len(r) for r in listed)])
-                flat = [r for r in listed if r is not None]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists, pa.array(points, pa.binary())],
-                    names=["id", "mark", "size", "node", "runs", "point"],
-                )
-
-    return rows.mapInArrow(run, "id bigint, mark bigint, size bigint, node bigint, runs array<bigint>, point binary")
-
-
-def _shared_runs(listed: DataFrame, num: int, den: int) -> DataFrame:
+        for _, rows in _fresh(batches, 0, width):
+            found = [(runs(items, num, den), node) for items, node, fresh in rows if fresh]
+            for at in range(0, len(found), 64):
+                part = found[at : at + 64]
+                names = np.repeat(np.array([node for _, node in part], np.int64), [len(r) for r, _ in part])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([r for r, _ in part])), pa.array(names)], names=["run", "node"])
+
+    return _texts(docs, doc_id, text).select("text").mapInArrow(run, "run bigint, node bigint")
+
+
+def _shared_runs(rows: DataFrame, listed: DataFrame, num: int, den: int) -> DataFrame:
     """Links ``(a, b)`` between nodes that share a run, connecting at least what the overlap bound does not rule out.
 
     The nodes under a run are taken by their number.  Up to ``FEW``, each pair is held against the bound; up to
     ``MANY``, a tree over their points finds the pairs; beyond that, all are linked with the first.
     """
     few_nodes, many = FEW, MANY
-    rows = listed.where("size(runs) > 0").select("node", F.explode("runs").alias("run"))
     rows = rows.repartition("run").sortWithinPartitions("run", "node").select("run", "node")
 
     def batch_of(kind: int, run: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -346,8 +362,9 @@ def linked(
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, chunk: int) -> DataFrame:
     """:func:`linked` with the column ``group``, which tells groups apart even where ids repeat."""
-    listed = written(_listed(docs, doc_id, text, width, num, den), "jaccard-runs")
-    shared = written(_shared_runs(listed, num, den), "jaccard-bounded")
+    listed = written(_listed(docs, doc_id, text, width), "jaccard-sets")
+    rows = _run_rows(docs, doc_id, text, width, num, den)
+    shared = written(_shared_runs(rows, listed, num, den), "jaccard-bounded")
     clusters = written(components(shared).withColumnRenamed("component", "cluster"), "jaccard-clusters")
     # One document stands for each node of a cluster.
     one = listed.where("node is not null").groupBy("node").agg(F.min(F.struct("mark", "id")).alias("row"), F.first("size").alias("size"))
