@@ -206,16 +206,19 @@ def copies(
 
 def mixed(docs: DataFrame, weights: Sequence[float], share: float, cap: float, doc_id: str = "doc_id", text: str = "text", source: str = "source", **more) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as :func:`copies` says, with the same columns."""
-    decided = copies(docs, weights, share, cap, doc_id, text, source, **more).select("id", "mark", "copies")
-    turn = Window.partitionBy("__id", "__mark").orderBy("__id")
-    left = decided.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("copies").alias("__copies"))
-    left = left.withColumn("__turn", F.row_number().over(turn.orderBy("__copies")))
-    right = docs.withColumn("__id", F.col(f"`{doc_id}`")).withColumn("__mark", F.xxhash64(F.col(f"`{text}`")))
-    right = right.withColumn("__turn", F.row_number().over(turn))
-    names = ["__id", "__mark", "__turn"]
-    left = left.select(*(F.col(n).alias(f"{n}_l") for n in names), "__copies").where("__copies > 0")
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"{n}_l"))
-    joined = right.join(left, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    decided = copies(docs, weights, share, cap, doc_id, text, source, **more)
+    kind = decided.schema["id"].dataType
+    keys = ["__id", "__none", "__mark"]
+
+    def keyed(frame: DataFrame, name: str, mark) -> DataFrame:
+        # Plain keys that null ids have as well, so that the join and the numbering deal the texts out only once.
+        id_ = F.coalesce(F.col(f"`{name}`"), F.lit("0").cast(kind))
+        return frame.withColumns({"__none": F.col(f"`{name}`").isNull(), "__mark": mark, "__id": id_})
+
+    left = keyed(decided, "id", F.col("mark")).groupBy(*keys).agg(F.sort_array(F.collect_list("copies")).alias("__copies"))
+    left = left.where(F.exists("__copies", lambda n: n > 0))
+    joined = keyed(docs, doc_id, F.xxhash64(F.col(f"`{text}`"))).join(left, keys)
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    joined = joined.withColumn("__turn", turn).withColumn("__copies", F.element_at("__copies", F.col("__turn")))
+    joined = joined.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
