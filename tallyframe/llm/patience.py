@@ -4,18 +4,21 @@ Text and template are compared as words (letters and digits, lower case).  Words
 the longest increasing run of pairs gives anchors, and the gaps between anchors are aligned the same way, after equal
 words at their ends are matched.  Coverage is the share of the template's words that are matched.
 
-A template is aligned only where its rarest words stand in the document, in windows of its own length and some slack,
-so cost follows the document's length and repeated notices do not hide each other.  Documents that lack too many of a
-template's words to reach the wanted coverage are passed over; that bound loses nothing.
+A template is sought in the windows that begin at any word of the document, as long as the density allows a match to be,
+so repeated notices do not hide each other.  The words that window and template share, counted with repeats, bound what
+can be matched there.  Windows are aligned from the highest bound on, until no other can be better; windows and whole
+documents whose bound is below the wanted coverage are passed over.  These bounds lose nothing.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,6 +133,31 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def shared(counts: Mapping[str, int], places: Mapping[str, np.ndarray], n: int, window: int) -> np.ndarray:
+    """For each of ``n`` words of a text: how many words the window that begins there shares with a template.
+
+    Words count as often as they stand in both, by ``counts`` of the template and ``places`` in the text.
+    """
+    steps = np.zeros(n + 1, np.int64)
+    for w, k in counts.items():
+        if w in places:
+            at = places[w]
+            # A place is among a window's first k if the window begins after the k-th place before it.
+            after = np.concatenate([np.full(min(k, len(at)), -1), at[:-k]])
+            np.add.at(steps, np.maximum(np.maximum(after, at - window) + 1, 0), 1)
+            np.add.at(steps, at + 1, -1)
+    return np.cumsum(steps[:-1])
+
+
+def dense(matched: list[tuple[int, int]], least: int, density: float) -> list[tuple[int, int]]:
+    """The longest run of at least ``least`` matches, the first one on a tie, that is dense enough in its span."""
+    for n in range(len(matched), least - 1, -1):
+        for s in range(len(matched) - n + 1):
+            if n >= density * (matched[s + n - 1][1] + 1 - matched[s][1]) - 1e-9:
+                return matched[s : s + n]
+    return []
+
+
 class Scanner:
     """Finds the templates in a text."""
 
@@ -137,6 +165,8 @@ class Scanner:
         self.coverage, self.density = coverage, density
         self.templates = {n: w for n, t in sorted(templates.items()) if (w := words_of(t))}
         self.counts = {n: Counter(w) for n, w in self.templates.items()}
+        self.least = {n: max(1, math.ceil(coverage * len(w) - 1e-9)) for n, w in self.templates.items()}
+        self.windows = {n: math.floor(len(w) / max(density, 1e-6) + 1e-9) for n, w in self.templates.items()}
         self.vocabulary = {w for words in self.templates.values() for w in words}
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
@@ -145,7 +175,7 @@ class Scanner:
         present = self.vocabulary.intersection(words)
         able = [
             n for n, c in self.counts.items()
-            if sum(k for w, k in c.items() if w in present) >= self.coverage * len(self.templates[n])
+            if sum(k for w, k in c.items() if w in present) >= self.least[n]
         ]
         if not able:
             return []
@@ -153,24 +183,31 @@ class Scanner:
         for i, w in enumerate(words):
             if w in present:
                 places.setdefault(w, []).append(i)
-        return [found for n in able if (found := self._best(n, words, places))]
+        arrays = {w: np.array(p) for w, p in places.items()}
+        return [found for n in able if (found := self._best(n, words, arrays))]
 
-    def _best(self, name: str, words: list[str], places: dict[str, list[int]]) -> tuple[str, float, int, int] | None:
+    def _best(self, name: str, words: list[str], places: dict[str, np.ndarray]) -> tuple[str, float, int, int] | None:
         template = self.templates[name]
-        slack = max(3, len(template) // 4)
-        rarest = sorted((w for w in self.counts[name] if w in places), key=lambda w: (len(places[w]), template.index(w)))[:3]
-        begins = sorted({max(0, p - template.index(w) - slack) for w in rarest for p in places[w]})
-        best = None
-        for begin in begins:
-            matched = align(template, words[begin : begin + len(template) + 2 * slack])
-            if len(matched) < self.coverage * len(template):
+        window, least = self.windows[name], self.least[name]
+        bounds = shared(self.counts[name], places, len(words), window)
+        begins = np.flatnonzero(bounds >= least)
+        best, most, last = None, 0, -1
+        for begin in begins[np.argsort(-bounds[begins], kind="stable")].tolist():
+            if bounds[begin] < most:
+                break
+            # A window that can only draw level counts if its first match is earlier.
+            if bounds[begin] == most and begin > last:
+                continue
+            matched = dense(align(template, words[begin : begin + window]), least, self.density)
+            if not matched:
                 continue
             first, end = begin + matched[0][1], begin + matched[-1][1] + 1
-            if len(matched) >= self.density * (end - first):
-                rank = (len(matched), -first)
-                if best is None or rank > best[0]:
-                    best = (rank, (name, len(matched) / len(template), first, end))
-        return best[1] if best else None
+            if best is None or (len(matched), -first) > (most, -best[2]):
+                best, most = (name, len(matched) / len(template), first, end), len(matched)
+                heads = set(template[: len(template) - most + 1])
+                before = ((at := places[w])[: np.searchsorted(at, first)] for w in heads if w in places)
+                last = max((int(at[-1]) for at in before if len(at)), default=-1)
+        return best
 
 
 def scanned(

@@ -278,3 +278,46 @@ def test_licenses(spark):
     assert span == patience.words_of(mit)
     assert patience.scanned(docs.limit(0)).count() == 0
     assert [r.licenses for r in patience.scanned(docs, templates={}).collect()] == [[]] * len(texts)
+
+
+def full_slide(template, words):
+    """Windows at every word, all of them aligned."""
+    best = None
+    for begin in range(len(words)):
+        pairs = patience.align(template, words[begin : begin + int(len(template) / patience.DENSITY)])
+        for n in range(len(pairs), 0, -1):
+            runs = [pairs[s : s + n] for s in range(len(pairs) - n + 1)]
+            run = next((r for r in runs if n >= patience.DENSITY * (r[-1][1] + 1 - r[0][1])), None)
+            if run:
+                rank = (n, -begin - run[0][1], begin + run[-1][1] + 1)
+                best = rank if n >= patience.COVERAGE * len(template) and (best is None or rank[:2] > best[:2]) else best
+                break
+    return best and (best[0] / len(template), -best[1], best[2])
+
+
+def test_licenses_equal_a_full_slide():
+    pick = random.Random(9)
+    template = patience.words_of(patience.TEMPLATES["Apache-2.0 header"])[:40]
+    scanner = patience.Scanner({"t": " ".join(template)}, patience.COVERAGE, patience.DENSITY)
+    hits = 0
+    for _ in range(60):
+        text = []
+        for _ in range(pick.randint(1, 3)):
+            text += pick.choices([*template, "x", "y", "z"], k=pick.randint(0, 60))
+            lost, more = pick.choice((0, 0.1, 0.2)), pick.choice((0, 0.2, 0.5))
+            for w in template:
+                text += [w] * (pick.random() >= lost) + ["filler"] * (pick.random() < more)
+        expected, found = full_slide(template, text), scanner.scan(" ".join(text))
+        assert [f[1:3] for f in found] == ([expected[:2]] if expected else [])
+        hits += len(found)
+    assert hits > 20
+
+
+def test_license_without_its_rarest_words():
+    words = [w for w in patience.words_of(patience.TEMPLATES["MIT"]) if w not in ("hereby", "granted", "free")]
+    text = " ".join(["hereby granted free", "filler " * 1000, *words])
+    found = {f[0]: f for f in patience.Scanner(patience.TEMPLATES, patience.COVERAGE, patience.DENSITY).scan(text)}
+    assert found["MIT"][1] > 0.95 and found["MIT"][2:] == (1003, 1003 + len(words))
+    # As many words put in as the density allows.
+    text = " ".join(w + " filler" * (i % 3 == 0) for i, w in enumerate(patience.words_of(patience.TEMPLATES["MIT"])))
+    assert patience.Scanner(patience.TEMPLATES, patience.COVERAGE, patience.DENSITY).scan(text)[0][0] == "MIT"
