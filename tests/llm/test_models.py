@@ -156,6 +156,27 @@ def test_language_model_without_training(spark):
     assert maxent_lm.scored(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_model_classes_by_count_alone(spark, monkeypatch):
+    pick = random.Random(8)
+    rows = [(i, " ".join(f"w{int(pick.paretovariate(0.35)) % 1500}" for _ in range(60))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    counts = Counter(w for i, t in rows if i % 5 for w in t.split())
+    words = counts.most_common()
+    assert sum(c >= maxent_lm.LEAST_COUNT for _, c in words) > 1.5 * maxent_lm.SINGLES
+    results = []
+    for held in (0, 90, 1 << 16):
+        monkeypatch.setattr(maxent_lm, "HELD", held)
+        vocabulary = maxent_lm.Vocabulary.of(maxent_lm.word_counts(frame.where("doc_id % 5 > 0").select("text")), 96)
+        assert len(vocabulary.names) <= max(held, maxent_lm.SINGLES)
+        results.append(sorted((r.id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in maxent_lm.scored(frame, F.col("doc_id") % 5 > 0).collect()))
+    assert results[0] == results[1] == results[2]
+    # Every word with the least count has a class by its frequency, and words of the same count share it.
+    names = np.arange(len(words)) * 8
+    kinds = vocabulary.by_count(names, np.array([c for _, c in words]))
+    assert all((k > maxent_lm.FORMS) == (c >= maxent_lm.LEAST_COUNT) for k, (_, c) in zip(kinds, words))
+    assert len({(k, c) for k, (_, c) in zip(kinds, words)}) == len({c for _, c in words})
+
+
 def test_word_counts_flush(spark):
     frame = spark.createDataFrame([("a b A",), ("b b\tc",), (None,)], "text string")
     assert sorted(r.c for r in maxent_lm.word_counts(frame).collect()) == [1, 2, 3]
