@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.llm import crf_quality, html_extract, maxent_lm, patience
+from tallyframe.llm import crf_quality, html_extract, maxent_lm, patience, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYLLABLES = {"en": ["the", "ti", "er", "an", "sh"], "fr": ["é", "ou", "que", "eaux", "le"]}
@@ -104,6 +104,19 @@ def test_extraction(spark, model):
     assert html_extract.extracted(frame, None).count() == 5
 
 
+def test_extraction_query(spark, tmp_path):
+    pick = random.Random(12)
+    pages = [(i, f"http://h/{i}", page(pick, i % 3 == 0)) for i in range(60)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = {r.page_id: r for r in queries.op1_html_lstm(spark, str(tmp_path)).collect()}
+    right = 0
+    for i, url, html in pages:
+        expected = "\n\n".join(b.text for b in html_extract.blocks(html) if html_extract.landmark(b))
+        assert (out[i].url, out[i].n_chars) == (url, len(out[i].text))
+        right += out[i].text == expected
+    assert len(out) == 60 and right >= 57
+
+
 # Language model
 
 

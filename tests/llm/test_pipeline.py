@@ -94,3 +94,7 @@ def test_registered_names_and_folder(spark):
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
     assert set(queries.statements()) <= set(names)
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_statements_are_sql():
+    assert all(isinstance(sql, str) for sql in queries.statements().values())
