@@ -378,10 +378,31 @@ def fitted(htmls: list[str], epochs: int = 10, width: int = 64) -> Model | None:
 
 
 def trained(pages: DataFrame, html: str = "html", limit: int = TRAINING_PAGES) -> Model | None:
-    """The model for ``pages``, from at most ``limit`` of those with at most ``TRAINING_CHARS`` characters."""
+    """The model for ``pages``, from at most ``limit`` different ones with at most ``TRAINING_CHARS`` characters.
+
+    If no page of the sample has an article, it is drawn from the pages that have one.
+    """
     rows = pages.select(F.col(f"`{html}`").cast("string").alias("html"))
-    rows = rows.where(F.length("html").between(1, TRAINING_CHARS)).withColumn("h", F.xxhash64("html"))
-    return fitted([r.html for r in rows.orderBy("h", "html").limit(limit).collect()])
+    rows = rows.where(F.length("html").between(1, TRAINING_CHARS))
+    model = fitted(sampled(rows, limit))
+    return fitted(sampled(rows.mapInArrow(_with_article, rows.schema), limit)) if model is None else model
+
+
+def sampled(rows: DataFrame, limit: int) -> list[str]:
+    """At most ``limit`` different values of the only column of ``rows``, by the least hashes, in their order."""
+    rows = rows.toDF("html").withColumn("h", F.xxhash64("html"))
+    # Only hashes are dealt out to leave copies out, and then the few pages that have one of the least.
+    least = [r.h for r in rows.select("h").distinct().orderBy("h").limit(limit).collect()]
+    if not least:
+        return []
+    return [r.html for r in rows.where(F.col("h").isin(least)).distinct().orderBy("h", "html").limit(limit).collect()]
+
+
+def _with_article(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            yield part.filter(pa.array([any(map(landmark, blocks(h))) for h in part.column(0).to_pylist()], pa.bool_()))
 
 
 def labelled(pages: list[list[Block]], model: Model | None, features: Features) -> list[np.ndarray]:

@@ -104,6 +104,25 @@ def test_extraction(spark, model):
     assert html_extract.extracted(frame, None).count() == 5
 
 
+def test_training_pages_differ_and_have_articles(spark, monkeypatch):
+    samples = []
+
+    def fitted(pages):
+        samples.append(pages)
+        return "model" if any(html_extract.landmark(b) for p in pages for b in html_extract.blocks(p)) else None
+
+    monkeypatch.setattr(html_extract, "fitted", fitted)
+    pick = random.Random(14)
+    pages = [page(pick) for _ in range(10)]
+    rows = [(h,) for p in pages for h in [p] * 30] + [("",), (None,)]
+    assert html_extract.trained(spark.createDataFrame(rows, "html string"), limit=10) == "model"
+    assert sorted(samples.pop()) == sorted(pages)
+    menus = [(f"<html><body><nav><ul><li>{i} {prose(pick, 3)}</li></ul></nav></body></html>",) for i in range(200)]
+    assert html_extract.trained(spark.createDataFrame([*menus, (pages[0],)], "html string"), limit=3) == "model"
+    assert samples[-1] == [pages[0]]
+    assert html_extract.trained(spark.createDataFrame(menus, "html string"), limit=3) is None
+
+
 def test_extraction_query(spark, tmp_path):
     pick = random.Random(12)
     pages = [(i, f"http://h/{i}", page(pick, i % 3 == 0)) for i in range(60)]
