@@ -8,6 +8,7 @@ with joins and aggregations; a host is blocked when its distrust outweighs its t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from tallyframe.llm.store import written
 
 #: Share of a host's rank that its links pass on.
 DAMPING = 0.85
-#: Rounds at most, and the total change that ends them earlier.
-ROUNDS, SETTLED = 30, 1e-6
+#: Change of every host's rank, as a share of it, below which the rounds end.
+SETTLED = 1e-6
 #: Share of distrust in a host's trust and distrust above which it is blocked.
 DISTRUST_SHARE = 0.5
 # An attribute that names another host, with or without quotes and scheme.
@@ -58,11 +59,12 @@ def host_edges(pages: DataFrame, url: str, html: str) -> DataFrame:
     return rows.groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 
-def ranks(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+def ranks(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, settled: float = SETTLED) -> DataFrame:
     """``host``, ``rank``: personalised PageRank along ``edges`` (a, b, w) from ``seeds`` (host, weight > 0).
 
     Ranks add up to 1; what hosts without links hold goes back to the seeds.  Hosts out of reach have no row, and
-    without seeds there are none.  Each round is written, so a lost executor costs no more than one.
+    without seeds there are none.  Rounds go on until no host is newly reached and no rank changes by more than the share
+    ``settled`` of it, or end after ``rounds``.  Each is written, so a lost executor costs no more than one.
     """
     total = seeds.agg(F.sum("weight")).first()[0]
     if not total:
@@ -72,16 +74,19 @@ def ranks(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     shares = written(edges.join(out, "a").select("a", "b", (F.col("w") / F.col("out")).alias("share")), "edges")
     linking = out.select(F.col("a").alias("host"), F.lit(True).alias("links"))
     now = start
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         passed = now.join(shares, now.host == shares.a).groupBy("b").agg(F.sum(F.col("rank") * F.col("share")).alias("moved"))
         held = now.join(linking, "host", "left").where("links is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
         back = start.select("host", (F.col("rank") * (1 - damping + damping * held)).alias("rank"))
         after = back.unionByName(passed.select(F.col("b").alias("host"), (F.col("moved") * damping).alias("rank")))
         after = written(after.groupBy("host").agg(F.sum("rank").alias("rank")), "rank")
-        both = now.select("host", (-F.col("rank")).alias("rank")).unionByName(after)
-        change = both.groupBy("host").agg(F.abs(F.sum("rank")).alias("change")).agg(F.sum("change")).first()[0]
+        # Verdicts compare ranks of one host, so small ranks have to settle as well; a new host's changes by all of it.
+        both = now.select("host", (-F.col("rank")).alias("change"), F.lit(0.0).alias("rank"))
+        both = both.unionByName(after.select("host", F.col("rank").alias("change"), "rank"))
+        both = both.groupBy("host").agg(F.abs(F.sum("change")).alias("change"), F.sum("rank").alias("rank"))
+        moving = both.where(F.col("change") > F.lit(settled) * F.col("rank")).limit(1).count()
         now = after
-        if (change or 0.0) < settled:
+        if not moving:
             break
     return now
 

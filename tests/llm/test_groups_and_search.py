@@ -189,6 +189,16 @@ def test_ranks_equal_brute_force(spark):
     assert all(abs(got[n] - expected[n]) < 1e-6 for n in got)
 
 
+def test_ranks_reach_hosts_far_from_seeds(spark):
+    edges = [(f"h{i:02}", f"h{i + 1:02}", 1.0) for i in range(34)]
+    out = link_graph.ranks(
+        spark.createDataFrame(edges, "a string, b string, w double"), spark.createDataFrame([("h00", 1.0)], "host string, weight double"), settled=0.1
+    )
+    got = {r.host: r["rank"] for r in out.collect()}
+    assert len(got) == 35
+    assert all(abs(got[f"h{i + 1:02}"] / got[f"h{i:02}"] - 0.85) < 0.1 for i in range(33))
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 PAGES = "page_id bigint, url string, html string, host string, trust string"
 
