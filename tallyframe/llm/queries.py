@@ -7,7 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, crf_quality, html_extract, jaccard, link_graph, maxent_lm, mixing, patience, sql, topk
+from tallyframe.llm import (
+    bitpack,
+    bpe,
+    byte_cnn,
+    crf_quality,
+    html_extract,
+    jaccard,
+    link_graph,
+    maxent_lm,
+    mixing,
+    patience,
+    prefix_trie,
+    spelling,
+    sql,
+    topk,
+)
+from tallyframe.llm.store import written
 
 
 def vocabulary(name: str) -> str:
@@ -100,6 +116,24 @@ def op10_token_ids(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_byte_cnn(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    network = byte_cnn.trained(docs, _table(spark, directory, "labels").where(fold != 0))
+    out = byte_cnn.scored(docs, network).withColumn("held_out", fold == 0)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_spelling(spark: SparkSession, directory: str) -> DataFrame:
+    words = spelling.counted(_table(spark, directory, "documents").select("doc_id", "text"))
+    out = spelling.grouped(written(words, "vocabulary"))
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_prefix_trie(spark: SparkSession, directory: str) -> DataFrame:
+    return prefix_trie.nodes(_table(spark, directory, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_lstm": op1_html_lstm,
@@ -112,6 +146,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_link_graph": op8_link_graph,
         "op9_top_k": op9_top_k,
         "op10_token_ids": op10_token_ids,
+        "op11_byte_cnn": op11_byte_cnn,
+        "op12_spelling": op12_spelling,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
