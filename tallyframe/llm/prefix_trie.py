@@ -395,7 +395,7 @@ def nodes(
     """
     spark = conversations.sparkSession
     pieces = _pieces(conversations, conv_id, turn, role, text, block, heads)
-    prefixes = _prefixes(pieces, heads)
+    prefixes = written(_prefixes(pieces, heads), "prefixes")
     same = ["depth", "p1", "p2", "chars"]
     found = prefixes.groupBy("d1", "d2").agg(
         F.min("conv_id").alias("conv_id"),
