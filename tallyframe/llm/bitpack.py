@@ -13,6 +13,7 @@ of blocks (u32), then for each block its offset from the end of the header (u64)
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import struct
@@ -20,12 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.bpe import LONG, WHITE, Remembered
+from tallyframe.llm.bpe import WHITE
 from tallyframe.llm.store import new_folder
+from tallyframe.llm.text import column_bytes, row_groups
 
 BLOCK = 4096
 #: A segment is closed once it holds this many ids; it always holds whole documents.
@@ -105,10 +108,12 @@ class Segment:
 class LibraryEncoder:
     """Whole-text ids of a byte-level BPE of the tokenizers library, which sees each stretch only once in a while.
 
-    A byte-level split never joins what stands on either side of a space before a non-space, so the stretches between
-    spaces are encoded apart and remembered.  Those that a batch brings anew go to the library in one text: every one
-    begins with the only token that starts with a space.  Texts with special tokens or runs of white space do not
-    divide so simply; the former go to the library whole, the latter in the pieces that its split gives.
+    A byte-level split never joins what stands on either side of a space before a non-space, so a text is the stretch
+    before its first space and then stretches that begin with one.  Arrow splits a whole column and numbers its distinct
+    stretches; only those that are unknown go to the library, new ones with a space in one text, since each begins with
+    the only token that starts with a space.  The ids of known stretches lie one after the other in one array, from which
+    the column's ids are gathered.  Texts with special tokens or runs of white space do not divide so simply; the former
+    go to the library whole, the latter in the pieces that its split gives.
     """
 
     def __init__(self, description: str, special: list[str], limit: int = 1 << 19):
@@ -119,68 +124,107 @@ class LibraryEncoder:
         self._library.no_truncation()
         self._library.no_padding()
         self._special = special
-        self._after_space, self._pieces = Remembered(limit), Remembered(limit // 4)
-        self._runs = re.compile(f"{_GAP}{{2}}")
+        self._runs = f"{_GAP}{{2}}"
         self._split = re.compile(f" ?[^{WHITE}]+|{_GAP}+(?![^{WHITE}])|{_GAP}+")
         size = self._library.get_vocab_size()
         self._begins = np.array([(self._library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
-
-    def _asked(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _stretches(self, new: list[str]) -> list[bytes]:
-        """Ids of each stretch as they are after a space."""
-        ids = np.array(self._library.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = (np.flatnonzero(self._begins[ids]) * 4).tolist()
+        self._limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._store, self._end = np.zeros(1 << 16, np.uint32), 0
+        self._at, self._n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._entries = 0
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Add runs of ids to the store and return the number of the first of them."""
+        for name, end, more in (("_store", self._end, len(ids)), ("_at", self._entries, len(lengths)), ("_n", self._entries, len(lengths))):
+            if end + more > len(getattr(self, name)):
+                bigger = np.zeros(2 * (end + more), getattr(self, name).dtype)
+                bigger[:end] = getattr(self, name)[:end]
+                setattr(self, name, bigger)
+        first, last = self._entries, self._entries + len(lengths)
+        self._store[self._end : self._end + len(ids)] = ids
+        self._n[first:last] = lengths
+        self._at[first:last] = self._end + np.cumsum(lengths) - lengths
+        self._entries, self._end = last, self._end + len(ids)
+        return first
+
+    def _asked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def _stretches(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches that begin with a space and hold no other, and how many each has."""
+        ids = np.array(self._library.encode_batch_fast(["".join(new)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(self._begins[ids])
         if len(cuts) != len(new):
-            return self._asked([" " + s for s in new])
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
-
-    @staticmethod
-    def _learn(known: Remembered, parts: set[str], ask) -> list[str]:
-        """Have all ``parts`` in the recent half of ``known``; gives those too long to stay there."""
-        known.turn()
-        new = known.missing(parts)
-        for at in range(0, len(new), 1 << 14):
-            some = new[at : at + (1 << 14)]
-            known.recent.update(zip(some, ask(some)))
-        return [p for p in new if len(p) >= LONG]
-
-    def encode_rows(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [None] * len(texts)
-        spaced, split = {}, {}
-        piece_of, stretch_of = self._pieces.recent.get, self._after_space.recent.get
-        new_pieces, new_stretches = set(), set()
-        for i, text in enumerate(texts):
-            if any(s in text for s in self._special):
-                out[i] = self._asked([text])[0]
-            elif self._runs.search(text):
-                split[i] = self._split.findall(text)
-                new_pieces.update(split[i])
-            else:
-                first, *rest = text.split(" ")
-                ids = [piece_of(first), *map(stretch_of, rest)]
-                if None in ids:
-                    spaced[i] = (first, rest)
-                    new_pieces.add(first)
-                    new_stretches.update([p for p, known in zip(rest, ids[1:]) if known is None])
-                else:
-                    out[i] = b"".join(ids)
-        keep = set().union(*(rest for _, rest in spaced.values())) if self._after_space.full() else new_stretches
-        long_pieces = self._learn(self._pieces, new_pieces, self._asked)
-        long_stretches = self._learn(self._after_space, keep, self._stretches)
-        piece, stretch = self._pieces.recent, self._after_space.recent
-        for i, parts in split.items():
-            out[i] = b"".join(map(piece.__getitem__, parts))
-        for i, (first, rest) in spaced.items():
-            out[i] = piece[first] + b"".join(map(stretch.__getitem__, rest))
-        for key in long_pieces:
-            del piece[key]
-        for key in long_stretches:
-            del stretch[key]
-        return out
+            return self._asked(new)
+        return ids, np.diff(np.append(cuts, len(ids)))
+
+    def _numbers(self, keys: list[str], ask) -> np.ndarray:
+        """The number of each key in the store, unknown ones being asked for."""
+        known = self._known
+        found = list(map(known.get, keys))
+        if None in found:
+            new = list(dict.fromkeys([k for k, f in zip(keys, found) if f is None]))
+            for at in range(0, len(new), 1 << 14):
+                some = new[at : at + (1 << 14)]
+                first = self._keep(*ask(some))
+                known.update(zip(some, range(first, first + len(some))))
+            found = list(map(known.__getitem__, keys))
+        return np.array(found, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the n + 1 places between the texts; no text may be null."""
+        if self._entries > self._limit or self._end > 16 * self._limit:
+            self._forget()
+        whole = np.zeros(len(texts), bool)
+        for token in self._special:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        gaps = pc.match_substring_regex(texts, self._runs).to_numpy(zero_copy_only=False) & ~whole
+        numbers: list[np.ndarray] = [_NOTHING] * len(texts)
+        plain = np.flatnonzero(~whole & ~gaps)
+        if len(plain):
+            parts = pc.split_pattern(texts.take(pa.array(plain)), " ")
+            ends = parts.offsets.to_numpy().astype(np.int64)
+            ends = ends - ends[0]
+            coded = parts.flatten().dictionary_encode()
+            codes = coded.indices.to_numpy()
+            after = np.ones(len(codes), bool)
+            after[ends[:-1]] = False  # a text always has a first stretch, if only an empty one
+            used = np.zeros(len(coded.dictionary), bool)
+            used[codes[after]] = True
+            names = coded.dictionary.filter(pa.array(used)).to_pylist()
+            table = np.zeros(len(used), np.int64)
+            table[used] = self._numbers([" " + s for s in names], self._stretches)
+            flat = table[codes]
+            flat[~after] = self._numbers(coded.dictionary.take(pa.array(codes[~after])).to_pylist(), self._asked)
+            for row, i, j in zip(plain.tolist(), ends[:-1].tolist(), ends[1:].tolist()):
+                numbers[row] = flat[i:j]
+        for row in np.flatnonzero(gaps).tolist():
+            numbers[row] = self._numbers(self._split.findall(texts[row].as_py()), self._asked)
+        for row in np.flatnonzero(whole).tolist():
+            numbers[row] = np.array([self._keep(*self._asked([texts[row].as_py()]))])
+        every = np.concatenate(numbers) if numbers else _NOTHING
+        lengths = self._n[every]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self._store[np.repeat(self._at[every] - total[:-1], lengths) + np.arange(total[-1])]
+        return ids, total[np.concatenate([[0], np.cumsum([len(n) for n in numbers], dtype=np.int64)])]
+
+
+_NOTHING = np.zeros(0, np.int64)
+#: Encoders of this Python worker by vocabulary: what one task has learned serves the next; their size is bounded.
+_ENCODERS: dict[str, LibraryEncoder] = {}
+
+
+def _encoder(description: str, special: list[str]) -> LibraryEncoder:
+    key = hashlib.sha256(description.encode()).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = LibraryEncoder(description, special)
+    return _ENCODERS[key]
 
 
 SEGMENTS = "shard int, segment int, first bigint, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint, payload binary"
@@ -191,7 +235,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int, doc_id: str
 
     ``path`` is the vocabulary file (a few MB, read on the driver).  Null text counts as empty; rows with a null id
     come first; rows that repeat an id are ordered by their text.  An empty table gives an empty folder of segments.
-    The rows are dealt by ranges of ``doc_id``, so shard numbers follow the order; other columns are not read.
+    The rows are dealt by ranges of ``doc_id`` and of the beginning of the text, so shard numbers follow the order and
+    many rows without an id, or with one, spread; other columns are not read.
     """
     import json
 
@@ -207,39 +252,45 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int, doc_id: str
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    end = np.array([end_id], "<u4").tobytes()
+    begins = F.substring("text", 1, 64)
+    ordered = rows.repartitionByRange(shards, "doc_id", begins).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number = LibraryEncoder(description.value, special), TaskContext.get().partitionId(), 0
-        names, parts, held, first = [], [], 0, 0
+        encoder, shard, number = _encoder(description.value, special), TaskContext.get().partitionId(), 0
+        names, lengths, parts, held, first = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            lengths = [len(p) // 4 for p in parts]
+            ids = np.concatenate(parts)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()),
                     pa.array([number], pa.int32()),
                     pa.array([first], pa.int64()),
-                    pa.array([names], pa.list_(pa.int64())),
-                    pa.array([lengths], pa.list_(pa.int64())),
+                    pa.array([sum(names, [])], pa.list_(pa.int64())),
+                    pa.array([np.concatenate(lengths)], pa.list_(pa.int64())),
                     pa.array([len(ids)], pa.int64()),
                     pa.array([write_segment(ids, bits)], pa.binary()),
                 ],
                 names=["shard", "segment", "first", "doc_ids", "lengths", "n_ids", "payload"],
             )
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                for name, value in zip(batch.column(0).to_pylist(), encoder.encode_rows(batch.column(1).to_pylist())):
-                    parts.append(value + end)
-                    names.append(name)
-                    held += len(parts[-1]) // 4
-                    if held >= SEGMENT_IDS:
-                        yield close()
-                        names, parts, held, first, number = [], [], 0, first + held, number + 1
+        for batch in batches:
+            _, offsets = column_bytes(batch.column(1))
+            for i, j in row_groups(offsets):
+                ids, places = encoder.encode(batch.column(1).slice(i, j - i))
+                # Every text is followed by the end id.
+                sizes = np.diff(places) + 1
+                ended = np.full(len(ids) + j - i, end_id, np.uint32)
+                inner = np.ones(len(ended), bool)
+                inner[np.cumsum(sizes) - 1] = False
+                ended[inner] = ids
+                names.append(batch.column(0).slice(i, j - i).to_pylist())
+                lengths.append(sizes)
+                parts.append(ended)
+                held += len(ended)
+                if held >= SEGMENT_IDS:
+                    yield close()
+                    names, lengths, parts, held, first, number = [], [], [], 0, first + held, number + 1
         if parts:
             yield close()
 
