@@ -10,56 +10,74 @@ from pyspark.sql import functions as F
 from tallyframe.functions.predicates import one_of_or_all
 from tallyframe.functions.values import MONEY
 from tallyframe.operators.combine import left_join_spreading_nulls
-from tallyframe.operators.keyed import current_rows
 from tallyframe.sources.registry import TableSet
 
 COMPONENTS = ("additions", "transfers", "clearings", "retirements")
 
 
+def book_states(tables: TableSet, book: str | None) -> DataFrame:
+    """Distinct (asset, is_open, book) of the book rows; closed history shrinks to one marker row per asset."""
+    books = tables["fa_books"]
+    if book is not None:
+        books = books.filter(F.col("book_type_code") == book)
+    is_open = F.col("date_ineffective").isNull()
+    return books.select(
+        "asset_id", is_open.alias("is_open"), F.when(is_open, F.col("book_type_code")).alias("asset_book")
+    ).distinct()
+
+
 def current_books(tables: TableSet, book: str | None, keep_bookless: bool) -> DataFrame:
     """Distinct (asset, book) pairs of open book rows.
 
     With ``keep_bookless`` an asset that never had a book row keeps a NULL book, as an outer join filtered on
     "not closed" would; an asset with closed rows only is dropped either way.
     """
-    books = tables["fa_books"]
     if book is not None or not keep_bookless:
-        open_rows = current_rows(books)
-        if book is not None:
-            open_rows = open_rows.filter(F.col("book_type_code") == book)
-        return open_rows.select("asset_id", F.col("book_type_code").alias("asset_book")).distinct()
-
-    # Closed history shrinks to one marker row per asset before the join.
-    is_open = F.col("date_ineffective").isNull()
-    states = books.select(
-        "asset_id", is_open.alias("is_open"), F.when(is_open, F.col("book_type_code")).alias("asset_book")
-    ).distinct()
+        return book_states(tables, book).filter("is_open").select("asset_id", "asset_book")
     return (
         tables["fa_additions_b"]
         .select("asset_id")
         .distinct()
-        .join(states, "asset_id", "left")
+        .join(book_states(tables, None), "asset_id", "left")
         .filter("is_open is null or is_open")
         .select("asset_id", "asset_book")
     )
 
 
-def flag_shared_numbers(tables: TableSet, assets: DataFrame) -> DataFrame:
-    """``assets`` with ``shared``: whether another asset has a number and type of theirs."""
-    register = tables["fa_additions_b"].select("asset_id", "asset_number", "asset_type")
+def asset_lines(tables: TableSet, register: DataFrame, line: Sequence[str], book: str | None, keep_bookless: bool) -> DataFrame:
+    """Distinct (asset, ``line`` columns, ``shared``) of the assets in ``register`` that have an open book row.
+
+    ``register`` has rows of the asset register with asset_id, asset_number, asset_type and whatever else ``line`` names;
+    ``shared`` tells whether another asset, in scope or not, has the number and type.  A report writes this scope once,
+    and its transactions, places and charges are limited to it before they are joined or added up.
+    """
     number, kind = F.col("asset_number"), F.col("asset_type")
     repeated = (
-        register.groupBy("asset_number", "asset_type")
+        tables["fa_additions_b"]
+        .groupBy("asset_number", "asset_type")
         .agg(F.min("asset_id").alias("first"), F.max("asset_id").alias("last"))
         .filter("first <> last")
-        .select(number.alias("n"), kind.alias("t"))
+        .select(number.alias("n"), kind.alias("t"), F.lit(True).alias("repeated"))
     )
-    sharing = (
-        register.join(repeated, number.eqNullSafe(F.col("n")) & kind.eqNullSafe(F.col("t")))
-        .select("asset_id", F.lit(True).alias("sharing"))
-        .distinct()
+    flagged = register.join(repeated, number.eqNullSafe(F.col("n")) & kind.eqNullSafe(F.col("t")), "left")
+    flagged = flagged.withColumn("shared", F.col("repeated").isNotNull())
+    states = book_states(tables, book)
+    if book is not None or not keep_bookless:
+        placed = flagged.join(states.filter("is_open").select("asset_id", "asset_book"), "asset_id")
+    else:
+        placed = flagged.join(states, "asset_id", "left").filter("is_open is null or is_open")
+    return placed.select("asset_id", *line, "shared").distinct()
+
+
+def owners(lines: DataFrame, line: Sequence[str]) -> DataFrame:
+    """For whom the amounts of each asset are added up: ``own``, the asset, or its ``line`` where it shares a number.
+
+    Rows may repeat; :func:`distinct_sums_by_line` does not mind.
+    """
+    shared = F.col("shared")
+    return lines.select(
+        "asset_id", F.when(~shared, F.col("asset_id")).alias("own"), *(F.when(shared, F.col(c)).alias(c) for c in line)
     )
-    return assets.join(sharing, "asset_id", "left").withColumn("shared", F.col("sharing").isNotNull()).drop("sharing")
 
 
 def distinct_sums_by_line(
@@ -67,23 +85,15 @@ def distinct_sums_by_line(
 ) -> DataFrame:
     """Sums over distinct (component, value) pairs per report line and ``extra`` columns.
 
-    ``amounts`` has asset_id, ``extra``, component and value; ``lines`` maps assets to ``line`` columns and says
-    whether their number is ``shared``.  A line is one asset unless assets share a number, so amounts are made
-    distinct and added up per asset first, under narrow keys, and meet the lines as totals.  Only assets that
-    share a number take on their line columns beforehand, so that equal amounts of theirs still count once.
+    ``amounts`` has the columns of :func:`owners` but the asset, ``extra``, component and value; ``lines`` maps assets to
+    ``line`` columns and says whether their number is ``shared``.  A line is one asset unless assets share a number, so
+    amounts are made distinct and added up per asset first, under narrow keys, and meet the lines as totals.  Only assets
+    that share a number have line columns beforehand, so that equal amounts of theirs still count once.
     """
-    together = lines.filter("shared").select("asset_id", *line, F.lit(True).alias("together"))
     alone = lines.filter("not shared").select(
         F.col("asset_id").alias("own"), F.lit(True).alias("known"), *(F.col(c).alias(f"own_{c}") for c in line)
     )
-    own = F.when(F.col("together").isNull(), F.col("asset_id"))
-    totals = (
-        amounts.join(together, "asset_id", "left")
-        .select(own.alias("own"), *line, *extra, "component", "value")
-        .distinct()
-        .groupBy("own", *line, *extra)
-        .agg(*sums)
-    )
+    totals = amounts.select("own", *line, *extra, "component", "value").distinct().groupBy("own", *line, *extra).agg(*sums)
     by_line = (F.when(F.col("own").isNull(), F.col(c)).otherwise(F.col(f"own_{c}")).alias(c) for c in line)
     kept = [c for c in totals.columns if c != "own" and c not in line]
     # Totals of shared numbers have their line and no asset: they spread by their content.
@@ -106,7 +116,7 @@ def distribution_stores(
         F.col("flex_value").alias("segment2"),
         F.col("flex_value").alias("store_number"),
         F.col("description").alias("store_location"),
-    ).distinct()
+    )
     # Accounts meet the stores first, so the long side is dealt by account once and never by store.
     accounts = tables["gl_code_combinations"].select("code_combination_id", "segment2").join(stores, "segment2", "left")
     placed = left_join_spreading_nulls(
@@ -142,7 +152,7 @@ def cost_component() -> Column:
 def adjustment_components(tables: TableSet, headers: DataFrame) -> DataFrame:
     """Cost movements per (asset, distribution, header), for the transactions in ``headers``.
 
-    ``headers`` has asset_id, transaction_header_id and transaction_date.  The result has one row per non-zero
+    ``headers`` has distinct rows of asset_id, transaction_header_id and transaction_date.  The result has one row per non-zero
     ``component`` with its ``value``; sums of distinct values are unchanged by zeros, so that is all they need.
     One scan of the adjustments serves all components, and the join and the grouping share their partitioning
     by (asset, header).
@@ -164,17 +174,21 @@ def adjustment_components(tables: TableSet, headers: DataFrame) -> DataFrame:
         )
     )
     return (
-        moves.join(headers.distinct(), ["asset_id", "transaction_header_id"])
+        moves.join(headers, ["asset_id", "transaction_header_id"])
         .groupBy("asset_id", "transaction_header_id", "transaction_date", "distribution_id", "component")
         .agg(F.sum("value").cast(MONEY).alias("value"))
         .filter("value <> 0")
     )
 
 
-def headers_where(tables: TableSet, condition: Column) -> DataFrame:
-    """Transactions by date condition (written on ``transaction_date_entered``)."""
-    return (
+def headers_where(tables: TableSet, condition: Column, scope: DataFrame | None = None) -> DataFrame:
+    """Distinct transactions by date condition (written on ``transaction_date_entered``), of the assets in ``scope``.
+
+    They are made distinct behind the shuffle that limits them to the scope.
+    """
+    headers = (
         tables["fa_transaction_headers"]
         .filter(condition)
         .select("asset_id", "transaction_header_id", F.col("transaction_date_entered").alias("transaction_date"))
     )
+    return (headers if scope is None else headers.join(scope, "asset_id", "left_semi")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.predicates import optional_eq
@@ -11,48 +11,53 @@ from tallyframe.operators.calendar import QUARTERS, Calendar, quarter_sums
 from tallyframe.operators.combine import at_least_one, left_join_spreading_nulls, row_weights
 from tallyframe.operators.keyed import pick_first
 from tallyframe.sources.registry import TableSet
+from tallyframe.sources.scratch import stored
 
 NO_CALENDAR = Calendar(None, None, None, None, None, None)
 
 
-def asset_status(tables: TableSet) -> DataFrame:
-    """Transfer status of each expenditure item, by its lowest asset line detail; NULL meanings are kept."""
+def asset_status(tables: TableSet, items: DataFrame | None = None) -> DataFrame:
+    """Transfer status of each expenditure item, by its lowest asset line detail; NULL meanings are kept.
+
+    ``items`` (expenditure_item_id) limits the work.  Only the lowest detail of an item goes on to the meanings, and only
+    a task's best goes on to the shuffle.
+    """
     meanings = (
         tables["fnd_lookup_values"]
         .filter(F.col("lookup_type") == "PJC_TRANSFER_STATUS")
         .select(F.col("lookup_code").alias("transfer_status_code"), F.col("meaning").alias("asset_status"))
     )
-    lines = left_join_spreading_nulls(tables["pjc_prj_asset_lns_all"], meanings, ["transfer_status_code"])
-    details = tables["pjc_prj_asset_ln_dets"].join(lines, "project_asset_line_detail_id")
-    return pick_first(details, "expenditure_item_id", ("project_asset_line_detail_id", "asset_status")).select(
+    details = tables["pjc_prj_asset_ln_dets"]
+    if items is not None:
+        details = details.join(items, "expenditure_item_id", "left_semi")
+    lowest = Window.partitionBy("expenditure_item_id").orderBy(F.col("project_asset_line_detail_id"))
+    coded = details.join(tables["pjc_prj_asset_lns_all"], "project_asset_line_detail_id")
+    first = coded.withColumn("_rank", F.rank().over(lowest)).filter("_rank = 1").drop("_rank").distinct()
+    first = left_join_spreading_nulls(first, meanings, ["transfer_status_code"])
+    return pick_first(first, "expenditure_item_id", ("project_asset_line_detail_id", "asset_status")).select(
         "expenditure_item_id", "asset_status"
     )
 
 
-def event_accounts(tables: TableSet) -> DataFrame:
-    """Debit account of each accounting event: the lowest account string among its plain debit lines."""
+def event_accounts(tables: TableSet, events: DataFrame | None = None) -> DataFrame:
+    """Debit account of each accounting event: the lowest account string among its plain debit lines.
+
+    ``events`` (event_id) limits the work: their headers are found first, and only the lines of those are read on.
+    """
     accounts = tables["gl_code_combinations"]
     accounts = accounts.select("code_combination_id", account_string(accounts).alias("account"))
+    headers = tables["xla_ae_headers"]
+    if events is not None:
+        headers = headers.join(events, "event_id", "left_semi")
     debits = (
         tables["xla_ae_lines"]
         .filter(F.col("accounted_dr").isNotNull() & F.col("override_reason").isNull())
         .select("ae_header_id", "code_combination_id")
+        .join(headers, "ae_header_id")
+        .select("event_id", "code_combination_id")
         .distinct()
-        .join(accounts, "code_combination_id")
-    )
-    return debits.join(tables["xla_ae_headers"], "ae_header_id").groupBy("event_id").agg(F.min("account").alias("account"))
-
-
-def _invoice_accounts(tables: TableSet, events: DataFrame) -> DataFrame:
-    """Debit account of each invoice, over the accounting events of its distributions."""
-    return (
-        tables["ap_invoice_distributions_all"]
-        .select("invoice_id", F.col("accounting_event_id").alias("event_id"))
-        .distinct()
-        .join(events, "event_id")
-        .groupBy("invoice_id")
-        .agg(F.min("account").alias("invoice_account"))
     )
+    return debits.join(accounts, "code_combination_id").groupBy("event_id").agg(F.min("account").alias("account"))
 
 
 def _with_own_accounts(tables: TableSet, lines: DataFrame, events: DataFrame) -> DataFrame:
@@ -90,8 +95,6 @@ def cip_listing(
     ``window`` is ``beginning``, ``in_range`` or ``ending``.
     """
     calendar = Calendar.read(tables, year, book) or NO_CALENDAR
-    lines = tables["pjc_cost_dist_lines_all"].filter(window_condition(calendar, window, F.col("prvdr_gl_date")))
-    events = event_accounts(tables)
 
     projects = optional_eq(tables["pjf_projects_all_vl"], "attribute1", company).select(
         "project_id",
@@ -126,20 +129,37 @@ def cip_listing(
 
     structure = tasks.join(projects, "project_id").join(classes, "project_id")
 
+    # What the window asks for is known first: its lines, their items, the invoices of those, and all their events.  Each
+    # lookup is limited to these keys before it is grouped or joined.
+    lines = tables["pjc_cost_dist_lines_all"].filter(window_condition(calendar, window, F.col("prvdr_gl_date")))
+    lines = stored(lines.join(structure, ["project_id", "task_id"], "left_semi"), "lines")
+    items = stored(tables["pjc_exp_items_all"].join(lines, "expenditure_item_id", "left_semi"), "items")
+    asked = items.select(F.col("original_header_id").alias("invoice_id"))
+    charged = (
+        tables["ap_invoice_distributions_all"]
+        .select("invoice_id", F.col("accounting_event_id").alias("event_id"))
+        .join(asked, "invoice_id", "left_semi")
+        .distinct()
+    )
+    charged = stored(charged, "invoice-events")
+    keys = charged.select("event_id").union(lines.select("acct_event_id")).filter("event_id is not null")
+    events = stored(event_accounts(tables, keys), "accounts")
+    invoice_accounts = charged.join(events, "event_id").groupBy("invoice_id").agg(F.min("account").alias("invoice_account"))
+
     people = tables["per_person_names_f_v"].select(
         F.col("person_id").alias("incurred_by_person_id"), F.col("display_name").alias("employee")
     )
-    items = left_join_spreading_nulls(tables["pjc_exp_items_all"], people, ["incurred_by_person_id"])
+    attached = left_join_spreading_nulls(items, people, ["incurred_by_person_id"])
     # The account comes from the distributions, also where the invoice itself is missing.
-    for lookup in (_invoice_suppliers(tables), _invoice_accounts(tables, events)):
+    for lookup in (_invoice_suppliers(tables, asked), invoice_accounts):
         lookup = lookup.withColumnRenamed("invoice_id", "original_header_id")
-        items = left_join_spreading_nulls(items, lookup, ["original_header_id"])
-    items = items.join(asset_status(tables), "expenditure_item_id", "left")
+        attached = left_join_spreading_nulls(attached, lookup, ["original_header_id"])
+    attached = attached.join(asset_status(tables, items), "expenditure_item_id", "left")
 
     # Lookups are attached to the side that owns their key, so that the long rows are joined last and once.
     rows = (
         _with_own_accounts(tables, lines, events)
-        .join(items, "expenditure_item_id")
+        .join(attached, "expenditure_item_id")
         .join(structure, ["project_id", "task_id"])
         .withColumn("raw_cost_debit_acct", F.coalesce("event_account", "invoice_account", "stated_account"))
     )
@@ -166,15 +186,14 @@ def cip_listing(
     )
 
 
-def _invoice_suppliers(tables: TableSet) -> DataFrame:
-    """Supplier names by invoice, one row per (invoice, supplier, party) match and at least one per invoice."""
+def _invoice_suppliers(tables: TableSet, asked: DataFrame) -> DataFrame:
+    """Supplier names by invoice asked for, one row per (invoice, supplier, party) match and at least one per invoice."""
     parties = tables["hz_parties"].select("party_id", F.col("party_name").alias("supplier"))
     suppliers = left_join_spreading_nulls(
         tables["poz_suppliers"].select("vendor_id", "party_id"), parties, ["party_id"]
     ).select("vendor_id", "supplier")
-    return left_join_spreading_nulls(
-        tables["ap_invoices_all"].select("invoice_id", "vendor_id"), suppliers, ["vendor_id"]
-    ).select("invoice_id", "supplier")
+    invoices = tables["ap_invoices_all"].select("invoice_id", "vendor_id").join(asked, "invoice_id", "left_semi")
+    return left_join_spreading_nulls(invoices, suppliers, ["vendor_id"]).select("invoice_id", "supplier")
 
 
 def _project_weights(tables: TableSet, company: str | None) -> DataFrame:
@@ -214,8 +233,8 @@ def _structure_weights(tables: TableSet, company: str | None) -> DataFrame:
     )
 
 
-def _item_weights(tables: TableSet) -> DataFrame:
-    """Listing rows per expenditure item: its person names times its invoice, supplier and party rows."""
+def _item_weights(tables: TableSet, asked: DataFrame) -> DataFrame:
+    """Listing rows per expenditure item asked for: its person names times its invoice, supplier and party rows."""
     people = row_weights(
         tables["per_person_names_f_v"].select(F.col("person_id").alias("incurred_by_person_id")),
         "incurred_by_person_id",
@@ -235,6 +254,7 @@ def _item_weights(tables: TableSet) -> DataFrame:
         at_least_one("suppliers"),
     ).withColumnRenamed("invoice_id", "original_header_id")
     items = tables["pjc_exp_items_all"].select("expenditure_item_id", "incurred_by_person_id", "original_header_id")
+    items = items.join(asked, "expenditure_item_id", "left_semi")
     items = left_join_spreading_nulls(items, people, ["incurred_by_person_id"])
     items = left_join_spreading_nulls(items, invoices, ["original_header_id"])
     return row_weights(
@@ -270,8 +290,9 @@ def cip_rollforward(tables: TableSet, *, year: str, book: str | None, company: s
     per_item = lines.groupBy("expenditure_item_id", "before", "up_to_end", "quarters").agg(
         money(F.sum(F.col("cost") * F.col("weight"))).alias("cost")
     )
-    rows = per_item.join(_item_weights(tables), "expenditure_item_id").join(
-        asset_status(tables), "expenditure_item_id", "left"
+    per_item = stored(per_item, "items")
+    rows = per_item.join(_item_weights(tables, per_item), "expenditure_item_id").join(
+        asset_status(tables, per_item), "expenditure_item_id", "left"
     )
     rows = rows.select(
         "before",

@@ -12,13 +12,14 @@ from tallyframe.functions.predicates import one_of, optional_eq, within
 from tallyframe.functions.values import MONEY, date_text, money, zero_if_null
 from tallyframe.operators.assets import (
     adjustment_components,
-    current_books,
+    asset_lines,
     distinct_sums_by_line,
     distribution_stores,
-    flag_shared_numbers,
     headers_where,
+    owners,
 )
 from tallyframe.sources.registry import TableSet
+from tallyframe.sources.scratch import stored
 
 STORE_CATEGORY = "Location COA"
 
@@ -40,7 +41,8 @@ def _movements(
 
     The report pairs every transaction of an asset with every distribution of it and adds up distinct sums.
     A pair without adjustments adds zero, so only the distinct (asset, moment) and (asset, store) pairs are
-    combined to find the groups, while the amounts come from the adjustments alone.
+    combined to find the groups, while the amounts come from the adjustments alone.  The assets in scope, their
+    transactions and their places are written once and read by both.
 
     Summaries do not need the moments at which nothing was booked: without ``every_moment`` one row of zero
     cost stands for all of an asset and store.
@@ -54,36 +56,30 @@ def _movements(
             F.col("segment2").alias("minor_asset_category"),
         )
     )
-    assets = (
-        optional_eq(tables["fa_additions_b"], "asset_type", asset_type)
-        .join(categories, "asset_category_id")
-        .join(current_books(tables, book, keep_bookless=True), "asset_id")
-        .select("asset_id", *LINE)
-        .distinct()
-    )
+    register = optional_eq(tables["fa_additions_b"], "asset_type", asset_type).join(categories, "asset_category_id")
+    assets = stored(asset_lines(tables, register, LINE, book, keep_bookless=True), "scope")
     # Transactions and places of other assets stay out of everything that follows.
-    scope = assets.select("asset_id").distinct()
-    headers = headers_where(tables, within(F.col("transaction_date_entered"), from_date, to_date))
-    headers = headers.join(scope, "asset_id", "left_semi")
+    in_range = within(F.col("transaction_date_entered"), from_date, to_date)
+    headers = stored(headers_where(tables, in_range, assets), "headers")
     stores = distribution_stores(tables, None, STORE_CATEGORY).filter(one_of(F.col("store_number"), locations))
-    stores = stores.join(scope, "asset_id", "left_semi")
+    stores = stored(stores.join(owners(assets, LINE), "asset_id").drop("store_number").distinct(), "stores")
 
     when = F.col("transaction_date") if every_moment else F.lit(None).cast("timestamp_ntz")
     groups = (
         headers.select("asset_id", when.alias("moment"))
         .distinct()
-        .join(stores.select("asset_id", "store_location").distinct(), "asset_id")
+        .join(stores.drop("distribution_id").distinct(), "asset_id")
         .withColumns({"component": F.lit(None).cast("int"), "value": F.lit(None).cast(MONEY)})
     )
     amounts = (
         adjustment_components(tables, headers)
         .withColumnRenamed("transaction_date", "moment")
-        .join(stores.select("asset_id", "distribution_id", "store_location"), ["asset_id", "distribution_id"])
-        .select("asset_id", "moment", "store_location", "component", "value")
+        .join(stores, ["asset_id", "distribution_id"])
+        .select(*groups.columns)
     )
     cost = money(zero_if_null(F.sum("value"))).alias("cost")
     return distinct_sums_by_line(
-        groups.unionByName(amounts), flag_shared_numbers(tables, assets), LINE, ("moment", "store_location"), [cost]
+        groups.unionByName(amounts), assets, LINE, ("moment", "store_location"), [cost]
     )
 
 

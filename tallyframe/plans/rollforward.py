@@ -13,6 +13,7 @@ from tallyframe.operators.calendar import QUARTERS, Calendar, quarter_sums
 from tallyframe.operators.combine import left_join_spreading_nulls, zero_pad_union
 from tallyframe.operators.keyed import current_rows, last_before, latest_rows
 from tallyframe.sources.registry import TableSet
+from tallyframe.sources.scratch import stored
 
 # Fixed values that the results depend on.
 TRANSACTION_TYPES = (
@@ -64,8 +65,16 @@ class _Scope:
         self.retirement_category = retirement_category
         self.asset_number, self.company, self.major = asset_number, company, major
         self.life_years = None if life_years is None else Decimal(str(life_years))
+        # Written once: every branch is limited to these assets and reads these rows.
+        self.assets = stored(self._assets(), "scope")
+        self.books = stored(self._books(), "books")
+        self.year_headers = stored(self._year_headers(), "headers")
+        self.charges = stored(self._charges(), "charges")
 
-    def assets(self) -> DataFrame:
+    def in_scope(self, frame: DataFrame) -> DataFrame:
+        return frame.join(self.assets, "asset_id", "left_semi")
+
+    def _assets(self) -> DataFrame:
         """Assets in scope with their major category, placed by their latest open distribution.
 
         ``weight`` counts the company rows an asset joins, and ``retirement_weight`` does the same in the value
@@ -103,49 +112,59 @@ class _Scope:
             .select("asset_id", "asset_number", "asset_type", "major_asset_category", *WEIGHTS)
         )
 
-    def books(self) -> DataFrame:
+    def _books(self) -> DataFrame:
         """All rows of the book, past ones included, with the life of their method."""
         lives = self.tables["fa_methods"].withColumn("life_in_years", life_in_years(F.col("life_in_months")))
         lives = optional_eq(lives, "life_in_years", self.life_years)
-        return self.tables["fa_books"].filter(F.col("book_type_code") == self.book).join(lives, "method_id")
+        rows = self.in_scope(self.tables["fa_books"].filter(F.col("book_type_code") == self.book))
+        return rows.join(lives, "method_id").select(
+            "asset_id", "date_ineffective", "transaction_header_id_in", "cost", "life_in_months", "life_in_years"
+        )
 
     def weighted_assets(self) -> DataFrame:
         """Assets by life of their open book rows, and how often each movement of theirs counts."""
-        lives = current_rows(self.books()).select("asset_id", "life_in_years")
+        lives = current_rows(self.books).select("asset_id", "life_in_years")
         return (
-            self.assets()
-            .join(lives, "asset_id")
+            self.assets.join(lives, "asset_id")
             .groupBy("asset_id", "asset_type", *KEYS)
             .agg(*(F.sum(w).cast("decimal(20,0)").alias(w) for w in WEIGHTS))
         )
 
-    def year_headers(self) -> DataFrame:
+    def _year_headers(self) -> DataFrame:
         when = F.col("transaction_date_entered")
-        return (
-            self.tables["fa_transaction_headers"]
-            .filter(self.calendar.in_year(when))
-            .select(
-                "asset_id",
-                "transaction_header_id",
-                "transaction_type_code",
-                self.calendar.quarter_mask(when).alias("quarters"),
-            )
+        return self.in_scope(self.tables["fa_transaction_headers"].filter(self.calendar.in_year(when))).select(
+            "asset_id",
+            "transaction_header_id",
+            "transaction_type_code",
+            self.calendar.quarter_mask(when).alias("quarters"),
         )
 
-    def periods(self, condition: Column) -> DataFrame:
-        return (
+    def _charges(self) -> DataFrame:
+        """Depreciation rows of the book up to the end of the year, as one row per asset, period and reserve.
+
+        ``system`` and ``added`` are their sums; an asset's periods and reserves are few, however many its rows.
+        """
+        opened = F.col("period_open_date")
+        periods = (
             self.tables["fa_deprn_periods"]
-            .filter((F.col("book_type_code") == self.book) & condition)
+            .filter(F.col("book_type_code") == self.book)
+            .filter((opened < self.calendar.start) | (opened <= self.calendar.end))
             .select("period_counter", "period_open_date")
         )
-
-    def depreciation(self) -> DataFrame:
-        return self.tables["fa_deprn_summary"].filter(F.col("book_type_code") == self.book)
+        source = F.col("deprn_source_code")
+        booked = F.when(source == "BOOKS", F.col("deprn_reserve")).otherwise(F.col("system_deprn_amount"))
+        added = F.when(source == "DEPRN", F.col("deprn_adjustment_amount")).otherwise(F.lit(0).cast("decimal(18,2)"))
+        rows = self.in_scope(self.tables["fa_deprn_summary"].filter(F.col("book_type_code") == self.book))
+        return (
+            rows.join(periods, "period_counter")
+            .groupBy("asset_id", "period_open_date", "deprn_reserve")
+            .agg(F.sum(booked).alias("system"), F.sum(added).alias("added"))
+        )
 
 
 def _transactions(scope: _Scope) -> DataFrame:
     """Additions, adjustments and retirements of the year per asset and quarter."""
-    headers = scope.year_headers().filter(F.col("transaction_type_code").isin(*TRANSACTION_TYPES))
+    headers = scope.year_headers.filter(F.col("transaction_type_code").isin(*TRANSACTION_TYPES))
 
     source, kind = F.col("source_type_code"), F.col("adjustment_type")
     direction, side = F.col("source_dest_code"), F.col("debit_credit_flag")
@@ -202,7 +221,7 @@ def _cost_balances(scope: _Scope) -> DataFrame:
     """
     when = F.col("transaction_date_entered")
     last = last_before(
-        scope.tables["fa_transaction_headers"].filter(
+        scope.in_scope(scope.tables["fa_transaction_headers"]).filter(
             F.col("transaction_type_code").isin(*TRANSACTION_TYPES)
             & ((when < scope.calendar.start) | (when <= scope.calendar.end))
         ),
@@ -211,10 +230,9 @@ def _cost_balances(scope: _Scope) -> DataFrame:
         {"beginning": when < scope.calendar.start, "ending": when <= scope.calendar.end},
     ).select("asset_id", F.col("transaction_header_id").alias("transaction_header_id_in"), "cutoff")
     return _balances(
-        scope.books()
-        .select("asset_id", "transaction_header_id_in", "life_in_years", "cost")
+        scope.books.select("asset_id", "transaction_header_id_in", "life_in_years", "cost")
         .join(last, ["asset_id", "transaction_header_id_in"])
-        .join(scope.assets().filter("weight > 0"), "asset_id"),
+        .join(scope.assets.filter("weight > 0"), "asset_id"),
         zero_if_null(F.col("cost")) * F.col("weight").cast("decimal(20,0)"),
         "balance",
     )
@@ -232,15 +250,11 @@ def _balances(rows: DataFrame, amount: Column, suffix: str) -> DataFrame:
 
 def _depreciation(scope: _Scope) -> DataFrame:
     """Depreciation of the year per asset and quarter of its period."""
-    source = F.col("deprn_source_code")
     opened = F.col("period_open_date")
-    booked = F.when(source == "BOOKS", F.col("deprn_reserve")).otherwise(F.col("system_deprn_amount"))
-    added = F.when(source == "DEPRN", F.col("deprn_adjustment_amount")).otherwise(F.lit(0).cast("decimal(18,2)"))
     return (
-        scope.depreciation()
-        .join(scope.periods(scope.calendar.in_year(opened)), "period_counter")
+        scope.charges.filter(scope.calendar.in_year(opened))
         .groupBy("asset_id", scope.calendar.quarter_mask(opened).alias("quarters"))
-        .agg(F.sum(-booked).alias("system_depreciation"), F.sum(-added).alias("addition_depreciation"))
+        .agg(F.sum(-F.col("system")).alias("system_depreciation"), F.sum(-F.col("added")).alias("addition_depreciation"))
     )
 
 
@@ -258,7 +272,7 @@ def _retired_reserve(scope: _Scope) -> DataFrame:
         .select(*keys, "adjustment_amount")
     )
     return (
-        scope.year_headers()
+        scope.year_headers
         .select(*keys, "quarters")
         .join(retirements, keys)
         .join(reserves, keys)
@@ -317,26 +331,18 @@ def _reserve_balances(scope: _Scope) -> DataFrame:
     Every life that the asset ever had in the book counts once.
     """
     opened = F.col("period_open_date")
-    reserves = (
-        scope.depreciation()
-        .join(
-            scope.periods((opened < scope.calendar.start) | (opened <= scope.calendar.end)),
-            "period_counter",
-        )
-        .select("asset_id", "period_open_date", "deprn_reserve")
-    )
+    reserves = scope.charges.select("asset_id", "period_open_date", "deprn_reserve")
     last = last_before(
         reserves,
         "asset_id",
         ("period_open_date",),
         {"beginning": opened < scope.calendar.start, "ending": opened <= scope.calendar.end},
     )
-    lives = scope.books().select("asset_id", "life_in_months", "life_in_years").distinct()
+    lives = scope.books.select("asset_id", "life_in_months", "life_in_years").distinct()
     rows = (
         reserves.join(last, ["asset_id", "period_open_date"])
-        .distinct()
         .join(lives, "asset_id")
-        .join(scope.assets().filter("weight > 0"), "asset_id")
+        .join(scope.assets.filter("weight > 0"), "asset_id")
         .select("asset_number", *KEYS, "life_in_months", "cutoff", "period_open_date", "deprn_reserve")
         .distinct()
     )

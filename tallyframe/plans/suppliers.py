@@ -11,6 +11,7 @@ from tallyframe.functions.predicates import eq_or_present, within
 from tallyframe.functions.values import blank_to_null, date_text, money, null_concat, zero_if_null
 from tallyframe.operators.combine import at_least_one, left_join_spreading_nulls, row_weights
 from tallyframe.sources.registry import TableSet
+from tallyframe.sources.scratch import stored
 
 # Printed for each supplier, in report order.
 SUPPLIER_COLUMNS = (
@@ -31,8 +32,8 @@ SUPPLIER_COLUMNS = (
 INVOICE_COLUMNS = ("business_unit", "method_of_payment", "payment_terms", "pay_group")
 
 
-def _supplier_rows(tables: TableSet, status: str | None) -> DataFrame:
-    """Supplier master rows with everything that is printed about them, keyed by vendor and party."""
+def _supplier_rows(tables: TableSet, status: str | None, paid: DataFrame) -> DataFrame:
+    """Master rows of suppliers in ``paid`` (vendor, party) with everything that is printed about them."""
     parties = tables["hz_parties"]
     own = parties.filter(eq_or_present(F.col("status"), status)).select(
         "party_id",
@@ -67,6 +68,7 @@ def _supplier_rows(tables: TableSet, status: str | None) -> DataFrame:
 
     rows = (
         tables["poz_suppliers"]
+        .join(paid, ["vendor_id", "party_id"], "left_semi")
         .withColumnsRenamed(
             {
                 "segment1": "supplier_number",
@@ -129,7 +131,11 @@ def _supplier_rows(tables: TableSet, status: str | None) -> DataFrame:
 def _paid_suppliers(
     tables: TableSet, status: str | None, from_date: datetime | None, to_date: datetime | None
 ) -> DataFrame:
-    """Suppliers paid in the range, per printed line: their payment rows and distinct payments."""
+    """Suppliers paid in the range, per printed line: their payment rows and distinct payments.
+
+    Payments are found first, and only suppliers that have one are looked up.  Printed lines are numbered once, with the
+    parties they stand for; payments are counted under that number alone.
+    """
     dated = row_weights(
         tables["iby_payments_all"].filter(within(F.col("payment_date"), from_date, to_date)), "payment_id", "dated"
     )
@@ -141,11 +147,17 @@ def _paid_suppliers(
     payments = checks.join(dated, "payment_id").select(
         "vendor_id", "party_id", "payment_id", (F.col("checks") * F.col("dated")).alias("rows")
     )
-    return (
-        payments.join(_supplier_rows(tables, status), ["vendor_id", "party_id"])
-        .groupBy("vendor_id", *SUPPLIER_COLUMNS)
-        .agg(F.sum("rows").alias("payment_rows"), F.count_distinct("payment_id").alias("no_of_payments"))
-    )
+    payments = stored(payments, "payments")
+    per_party = row_weights(_supplier_rows(tables, status, payments), ["vendor_id", "party_id", *SUPPLIER_COLUMNS], "times")
+    lines = per_party.groupBy("vendor_id", *SUPPLIER_COLUMNS).agg(F.collect_list(F.struct("party_id", "times")).alias("parties"))
+    lines = stored(lines.withColumn("line", F.monotonically_increasing_id()), "suppliers")
+    parties = lines.select("line", "vendor_id", F.inline("parties"))
+    counted = (
+        payments.join(parties, ["vendor_id", "party_id"])
+        .groupBy("line")
+        .agg(F.sum(F.col("rows") * F.col("times")).alias("payment_rows"), F.count_distinct("payment_id").alias("no_of_payments"))
+    )
+    return lines.drop("parties").join(counted, "line").drop("line")
 
 
 def _invoiced(

@@ -12,11 +12,11 @@ like any stored table: with pruned columns and pushed filters, and without its l
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.sources.registry import TableSet
+from tallyframe.sources.scratch import new_folder
 
 STAR_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem")
 
@@ -277,18 +277,6 @@ def is_costly(name: str) -> bool:
     return re.search(r"\b(distinct|join|group by)\b", VIEWS[name]) is not None
 
 
-def new_folder(spark: SparkSession) -> str:
-    """A folder of this application inside the one in spark.checkpoint.dir, which goes when the application ends.
-
-    Where that is unset it lies in the warehouse, which executors share as well.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-    path = f"{shared.rstrip('/')}/tallyframe-{uuid.uuid4().hex}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
-
-
 class DerivedTables(TableSet):
     """A :class:`TableSet` whose tables are views over the star-schema files in ``directory``."""
 
@@ -318,7 +306,7 @@ class DerivedTables(TableSet):
     def _stored(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self._directory)
         if key not in self._folders:
-            self._folders[key] = new_folder(self.spark)
+            self._folders[key] = new_folder(self.spark, "tallyframe")
         path = f"{self._folders[key]}/{name}"
         if path not in self._written:
             self.conform(name, self._view(name)).write.mode("overwrite").parquet(path)

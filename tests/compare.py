@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 import __spark_entry__ as entry_points
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "conversations")
 
 
 def connect(directory: str) -> duckdb.DuckDBPyConnection:

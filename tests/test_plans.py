@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.checks.queries import BUILDS
 from tallyframe.operators.combine import left_join_spreading_nulls
-from tallyframe.sources import DerivedTables, TableSet
+from tallyframe.plans import cip, nbv, property_tax, rollforward, suppliers
+from tallyframe.sources import DerivedTables, TableSet, scratch
 
 REPORTS = [name for name in BUILDS if list(BUILDS).index(name) < list(BUILDS).index("fiscal_calendar")]
 
@@ -44,29 +45,118 @@ def scans(plan: str) -> Counter:
     return Counter(re.findall(r"FileScan parquet .*?/erp\d*/(\w+)\]", plan))
 
 
+@pytest.fixture
+def every_plan(stored, monkeypatch):
+    """Builds a report and gives the plans of all that it writes on the way, by name, and its own under ""."""
+
+    def build(name: str) -> dict[str, str]:
+        found: dict[str, str] = {}
+
+        def recorded(frame, label):
+            found[label] = physical(frame)
+            return scratch.stored(frame, label)
+
+        for module in (cip, nbv, property_tax, rollforward, suppliers):
+            monkeypatch.setattr(module, "stored", recorded)
+        found[""] = physical(BUILDS[name](stored))
+        return found
+
+    return build
+
+
+def exchanges(plans) -> int:
+    return sum(len(re.findall(r"\bExchange ", plan)) for plan in plans)
+
+
 @pytest.mark.parametrize("name", REPORTS)
-def test_no_cross_joins_and_no_python(stored, name):
-    plan = physical(BUILDS[name](stored))
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas"):
-        assert word not in plan
+def test_no_cross_joins_and_no_python(every_plan, name):
+    for plan in every_plan(name).values():
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas"):
+            assert word not in plan
+
+
+@pytest.mark.parametrize(
+    "name, tables",
+    [
+        ("property_tax_detail", {"fa_adjustments": 1, "fa_transaction_headers": 1, "fa_books": 1, "fa_distribution_history": 1, "fa_additions_b": 2}),
+        ("property_tax_summary", {"fa_adjustments": 1, "fa_transaction_headers": 1, "fa_books": 1, "fa_distribution_history": 1, "fa_additions_b": 2}),
+        ("nbv_summary", {"fa_adjustments": 1, "fa_transaction_headers": 1, "fa_distribution_history": 1, "fa_deprn_summary": 2}),
+        ("nbv_detail", {"fa_adjustments": 2, "fa_distribution_history": 1, "fa_deprn_summary": 1}),
+        ("asset_rollforward", {"fa_adjustments": 2, "fa_transaction_headers": 2, "fa_deprn_summary": 1, "fa_books": 1, "fa_distribution_history": 1}),
+        ("cip_rollforward", {"pjc_cost_dist_lines_all": 1, "pjc_exp_items_all": 1, "pjc_prj_asset_ln_dets": 1}),
+        (
+            "cip_listing_in_range",
+            {"pjc_cost_dist_lines_all": 1, "pjc_exp_items_all": 1, "xla_ae_lines": 1, "xla_ae_headers": 1, "ap_invoice_distributions_all": 1},
+        ),
+        ("supplier_directory", {"ap_invoice_distributions_all": 1, "ap_invoices_all": 1, "ap_checks_all": 1, "iby_payments_all": 1}),
+    ],
+)
+def test_how_often_facts_are_scanned(every_plan, name, tables):
+    found = sum((scans(plan) for plan in every_plan(name).values()), Counter())
+    assert {table: found[table] for table in tables} == tables
 
 
 @pytest.mark.parametrize(
-    "name, table, times",
+    "name, most",
     [
-        ("property_tax_detail", "fa_adjustments", 1),
-        ("property_tax_summary", "fa_adjustments", 1),
-        ("nbv_summary", "fa_adjustments", 1),
-        ("nbv_detail", "fa_adjustments", 2),
-        ("asset_rollforward", "fa_adjustments", 2),
-        ("cip_rollforward", "pjc_cost_dist_lines_all", 1),
-        ("cip_listing_in_range", "pjc_cost_dist_lines_all", 1),
-        ("supplier_directory", "ap_invoice_distributions_all", 1),
-        ("supplier_directory", "ap_invoices_all", 1),
+        ("property_tax_detail", 30),
+        ("property_tax_by_location", 32),
+        ("property_tax_summary", 32),
+        ("asset_rollforward", 49),
+        ("nbv_detail", 52),
+        ("nbv_summary", 35),
     ],
 )
-def test_facts_are_scanned_once(stored, name, table, times):
-    assert scans(physical(BUILDS[name](stored)))[table] == times
+def test_exchanges(every_plan, name, most):
+    """In all plans of a report together, without any broadcast."""
+    assert exchanges(every_plan(name).values()) <= most
+
+
+def below(plan: str, table: str) -> list[str]:
+    """The operators above the scan of ``table`` up to its first exchange, from below."""
+    lines = plan.splitlines()
+    out = []
+    for at, line in enumerate(lines):
+        if f"/{table}]" in line:
+            depth = line.index("FileScan")
+            for above in reversed(lines[:at]):
+                place = re.search(r"[A-Z]", above)
+                if place and place.start() < depth:
+                    depth = place.start()
+                    out.append(above[depth:].split()[0])
+            break
+    return out
+
+
+@pytest.mark.parametrize(
+    "name, part, table",
+    [
+        ("cip_listing_in_range", "items", "pjc_exp_items_all"),
+        ("cip_listing_in_range", "invoice-events", "ap_invoice_distributions_all"),
+        ("cip_listing_in_range", "accounts", "xla_ae_headers"),
+        ("cip_listing_in_range", "", "pjc_prj_asset_ln_dets"),
+        ("cip_listing_in_range", "", "ap_invoices_all"),
+        ("cip_rollforward", "", "pjc_prj_asset_ln_dets"),
+        ("cip_rollforward", "", "pjc_exp_items_all"),
+        ("property_tax_detail", "headers", "fa_transaction_headers"),
+        ("property_tax_detail", "stores", "fa_distribution_history"),
+        ("asset_rollforward", "charges", "fa_deprn_summary"),
+        ("nbv_detail", "", "fa_deprn_summary"),
+        ("nbv_summary", "", "fa_deprn_summary"),
+    ],
+)
+def test_lookups_are_limited_to_keys_before_they_are_grouped(every_plan, name, part, table):
+    plan = every_plan(name)[part]
+    above = below(plan, table)
+    semi = next(i for i, op in enumerate(above) if op == "SortMergeJoin")
+    assert "LeftSemi" in plan and not any("Aggregate" in op for op in above[:semi]), above
+
+
+def test_payments_are_counted_without_text(every_plan):
+    plan = every_plan("supplier_directory")[""]
+    count = next(line for line in plan.splitlines() if "distinct payment_id" in line or "count(payment_id" in line)
+    keys = re.search(r"keys=\[(.*?)\]", count)[1]
+    assert re.fullmatch(r"line#\d+L(, payment_id#\d+L)?", keys), keys
 
 
 @pytest.mark.parametrize(
@@ -81,8 +171,8 @@ def test_facts_are_scanned_once(stored, name, table, times):
         ("supplier_directory", "payment_date"),
     ],
 )
-def test_dates_reach_the_scan(stored, name, column):
-    pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", physical(BUILDS[name](stored)))
+def test_dates_reach_the_scan(every_plan, name, column):
+    pushed = [f for plan in every_plan(name).values() for f in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)]
     assert any(f"({column}," in filters for filters in pushed)
 
 
