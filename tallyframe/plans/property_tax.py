@@ -19,7 +19,7 @@ from tallyframe.operators.assets import (
     owners,
 )
 from tallyframe.sources.registry import TableSet
-from tallyframe.sources.scratch import stored
+from tallyframe.sources.scratch import stored, stored_together
 
 STORE_CATEGORY = "Location COA"
 
@@ -60,9 +60,12 @@ def _movements(
     assets = stored(asset_lines(tables, register, LINE, book, keep_bookless=True), "scope")
     # Transactions and places of other assets stay out of everything that follows.
     in_range = within(F.col("transaction_date_entered"), from_date, to_date)
-    headers = stored(headers_where(tables, in_range, assets), "headers")
     stores = distribution_stores(tables, None, STORE_CATEGORY).filter(one_of(F.col("store_number"), locations))
-    stores = stored(stores.join(owners(assets, LINE), "asset_id").drop("store_number").distinct(), "stores")
+    headers, stores = stored_together(
+        stored,
+        headers=headers_where(tables, in_range, assets),
+        stores=stores.join(owners(assets, LINE), "asset_id").drop("store_number").distinct(),
+    )
 
     when = F.col("transaction_date") if every_moment else F.lit(None).cast("timestamp_ntz")
     groups = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,9 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, f"tallyframe-{name}")
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def stored_together(write, **frames: DataFrame) -> list[DataFrame]:
+    """``write`` (such as :func:`stored`) for frames that do not depend on each other, as concurrent jobs."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(write, frames.values(), frames))
