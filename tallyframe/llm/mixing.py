@@ -5,10 +5,11 @@ taken outright; the fraction is an inclusion probability.  Probabilities move al
 source's expected words and documents unchanged until they are 0 or 1 (flight); what cannot move any more, and a few
 documents kept back for it, is rounded to the words' nearest total (landing).
 
-Flights run in groups of about :data:`GROUP` documents of one source, so a large source is many tasks.  Each group
-leaves at most two undecided documents; these meet in groups of the next level, until one group per source is left,
-whose landing rounds at most a dozen documents.  Groups, orders and random numbers depend on the ids and sizes alone, so
-reruns agree.
+Flights run in groups of about :data:`GROUP` documents of one source, so a large source is many tasks.  The longest
+documents of a group are decided first, balanced by all others together; left to the end they would outweigh what the
+others can balance.  Each group leaves at most two undecided documents; these meet in groups of the next level, until one
+group per source is left, whose landing rounds at most a dozen documents and exchanges a few others until the words are
+as near as they come.  Groups, orders and random numbers depend on the rows alone, so reruns agree.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tallyframe.llm import text as words
 from tallyframe.llm.store import written
 
 GROUP = 4096
+#: Documents of a group that are decided before the others, by length.
+LONGEST = 64
 #: Documents of a last group that wait for the landing, beside the two that a flight may leave.
 SPARE = 10
 _TINY = 1e-9
@@ -34,7 +37,7 @@ _TINY = 1e-9
 
 def flight(chance: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np.ndarray:
     """Move ``chance`` to 0 or 1 with the sums of ``chance`` and ``chance * size`` kept; at most two stay between."""
-    p, x = chance.tolist(), size.tolist()
+    p, x = _longest_decided(chance, size, random).tolist(), size.tolist()
     draws = iter(random.random(len(p) + 1).tolist())
     active: list[int] = []
     for k in range(len(p)):
@@ -72,6 +75,66 @@ def flight(chance: np.ndarray, size: np.ndarray, random: np.random.Generator) ->
     return np.array(p)
 
 
+def _longest_decided(chance: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    """``chance`` after moves that decide the longest documents, as far as the others can balance them.
+
+    A move follows the projection of one document's axis onto the directions that keep both sums.
+    """
+    p = chance.astype(float).copy()
+    inside = np.flatnonzero((p > _TINY) & (p < 1 - _TINY))
+    for unit in inside[np.argsort(-size[inside], kind="stable")][:LONGEST]:
+        while len(inside) > 3 and _TINY < p[unit] < 1 - _TINY:
+            at = int(np.searchsorted(inside, unit))
+            apart = size[inside] - size[inside].mean()
+            spread = apart @ apart
+            move = np.full(len(inside), -1 / len(inside))
+            if spread > 0:
+                move -= apart * (apart[at] / spread)
+            move[at] += 1
+            if move[at] < 1e-6:
+                break
+            rise, room = move > 0, p[inside]
+            with np.errstate(divide="ignore"):
+                up = np.where(rise, (1 - room) / move, np.where(move < 0, room / -move, np.inf))
+                down = np.where(rise, room / move, np.where(move < 0, (1 - room) / -move, np.inf))
+            up, first_up, down, first_down = up.min(), up.argmin(), down.min(), down.argmin()
+            rises = random.random() * (up + down) < down
+            p[inside] += (up if rises else -down) * move
+            hit = inside[first_up if rises else first_down]
+            p[hit] = round(p[hit])
+            inside = inside[(p[inside] > _TINY) & (p[inside] < 1 - _TINY)]
+    out = np.abs(p - np.round(p)) <= _TINY
+    p[out] = np.round(p[out])
+    return p
+
+
+def exchanged(taken: np.ndarray, size: np.ndarray, free: np.ndarray, total: float) -> np.ndarray:
+    """``taken`` after changes of single ``free`` documents, or exchanges of two, that bring the words nearer to ``total``."""
+    out = taken.copy()
+    for _ in range(LONGEST):
+        off = float(out @ size - total)
+        ins, outs = np.flatnonzero(free & (out == 0)), np.flatnonzero(free & (out == 1))
+        best, chosen = abs(off) - 1e-6, ()
+        for units, sign in ((ins, 1), (outs, -1)):
+            if len(units):
+                change = np.abs(off + sign * size[units])
+                if change.min() < best:
+                    best, chosen = float(change.min()), (units[change.argmin()],)
+        if len(ins) and len(outs):
+            # For each document that may go, the two whose sizes are next to what should come.
+            order = ins[np.argsort(size[ins], kind="stable")]
+            place = np.searchsorted(size[order], size[outs] - off)
+            for shift in (0, 1):
+                other = order[np.clip(place - shift, 0, len(order) - 1)]
+                change = np.abs(off + size[other] - size[outs])
+                if change.min() < best:
+                    best, chosen = float(change.min()), (other[change.argmin()], outs[change.argmin()])
+        if not chosen:
+            return out
+        out[list(chosen)] = 1 - out[list(chosen)]
+    return out
+
+
 def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Round the few undecided so that the words, then the documents, come nearest to their expectation."""
     out = chance.copy()
@@ -85,14 +148,15 @@ def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def settled(chance: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np.ndarray:
     """Flight and landing of a last group: a few documents of spread sizes stay out of the flight, so that the landing
-    has small change to round with."""
+    has small change to round with; what it leaves is exchanged away."""
     left = np.flatnonzero((chance > _TINY) & (chance < 1 - _TINY))
     by_size = left[np.argsort(size[left], kind="stable")]
-    spare = by_size[np.unique(np.linspace(0, 0.8 * (len(left) - 1), SPARE).astype(int))] if len(left) else left
+    spare = by_size[np.unique(np.linspace(0, 0.8 * (len(left) - 1), SPARE).astype(int))] if len(left) > SPARE + 2 else left
     rest = np.setdiff1d(np.arange(len(chance)), spare)
     out = chance.copy()
     out[rest] = flight(chance[rest], size[rest], random)
-    return landing(out, size)
+    free = (chance > _TINY) & (chance < 1 - _TINY)
+    return exchanged(landing(out, size), size, free, float(chance @ size))
 
 
 def sizes(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
@@ -159,9 +223,12 @@ def copies(
     """How often each row of ``docs`` is taken: id, source, mark, size, source_size, target, copies, taken.
 
     Null text has size 0; null is a source of its own; a source without words has target 0 and takes nothing.
-    Repeated rows are separate documents.  An empty table gives an empty result.
+    Repeated rows are separate documents; they are counted before they are dealt into groups, which go by id, text and
+    number, so that rows without an id, or with one, spread.  An empty table gives an empty result.
     """
-    measured = written(sizes(docs, doc_id, text, source), "mixing-sizes")
+    measured = sizes(docs, doc_id, text, source).groupBy("id", "source", "mark", "size").agg(F.count(F.lit(1)).alias("times"))
+    measured = measured.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("times")
+    measured = written(measured, "mixing-sizes")
     goals = targets(measured, weights, share, cap)
     goals = written(goals, "mixing-targets")
     most = goals.agg(F.max("documents")).first()[0] or 0
@@ -173,7 +240,7 @@ def copies(
 
     def settle(level: int):
         def run(part: pd.DataFrame) -> pd.DataFrame:
-            part = part.sort_values(["order", "mark", "size"], kind="stable").reset_index(drop=True)
+            part = part.sort_values(["order", "mark", "turn"], kind="stable").reset_index(drop=True)
             name = part["source"].iloc[0]
             key = f"{seed}|{level}|{part['bucket'].iloc[0]}|{'' if name is None else 's' + name}"
             random = np.random.default_rng(zlib.crc32(key.encode("utf-8", "surrogatepass")))
@@ -186,7 +253,7 @@ def copies(
 
     kept, level = [], 0
     while True:
-        order = F.xxhash64(F.lit(seed), F.lit(level), F.col("id"))
+        order = F.xxhash64(F.lit(seed), F.lit(level), "id", "mark", "turn")
         dealt = rows.withColumn("order", order).withColumn("bucket", F.pmod(F.shiftrightunsigned("order", 16), F.greatest("groups", F.lit(1))))
         done = written(dealt.groupBy("source", "bucket").applyInPandas(settle(level), rows.schema), f"mixing-level-{level}")
         undecided = (F.col("chance") > 0) & (F.col("chance") < 1)
@@ -207,18 +274,23 @@ def copies(
 def mixed(docs: DataFrame, weights: Sequence[float], share: float, cap: float, doc_id: str = "doc_id", text: str = "text", source: str = "source", **more) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as :func:`copies` says, with the same columns."""
     decided = copies(docs, weights, share, cap, doc_id, text, source, **more)
-    kind = decided.schema["id"].dataType
-    keys = ["__id", "__none", "__mark"]
-
-    def keyed(frame: DataFrame, name: str, mark) -> DataFrame:
-        # Plain keys that null ids have as well, so that the join and the numbering deal the texts out only once.
-        id_ = F.coalesce(F.col(f"`{name}`"), F.lit("0").cast(kind))
-        return frame.withColumns({"__none": F.col(f"`{name}`").isNull(), "__mark": mark, "__id": id_})
-
-    left = keyed(decided, "id", F.col("mark")).groupBy(*keys).agg(F.sort_array(F.collect_list("copies")).alias("__copies"))
-    left = left.where(F.exists("__copies", lambda n: n > 0))
-    joined = keyed(docs, doc_id, F.xxhash64(F.col(f"`{text}`"))).join(left, keys)
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
-    joined = joined.withColumn("__turn", turn).withColumn("__copies", F.element_at("__copies", F.col("__turn")))
-    joined = joined.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    keys = ["__id", "__no_id", "__source", "__no_source", "__mark"]
+
+    def keyed(frame: DataFrame, id_, origin, mark) -> DataFrame:
+        # Plain keys that nulls have as well, so that the join and the numbering deal the texts out only once.
+        zero = F.lit("0").cast(decided.schema["id"].dataType)
+        named = [F.coalesce(id_, zero), id_.isNull(), F.coalesce(origin, F.lit("")), origin.isNull(), mark]
+        return frame.withColumns(dict(zip(keys, named)))
+
+    left = keyed(decided, F.col("id"), F.col("source"), F.col("mark"))
+    # Copies of equal rows differ by one at most: so many of them have one more than the others.
+    left = left.groupBy(*keys).agg(F.min("copies").alias("__least"), F.sum("copies").alias("__sum"), F.count(F.lit(1)).alias("__rows"))
+    left = left.where("__sum > 0").select(*keys, "__least", (F.col("__sum") - F.col("__least") * F.col("__rows")).alias("__more"))
+    rows = keyed(docs, F.col(f"`{doc_id}`"), F.col(f"`{source}`").cast("string"), F.xxhash64(F.col(f"`{text}`")))
+    # Rows of one id, source and text differ in other columns at most; a hash of those decides between them.
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in (doc_id, text, source) and "map<" not in f.dataType.simpleString()]
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*others) if others else F.lit(1)))
+    joined = rows.join(left, keys).withColumn("__turn", turn)
+    number = (F.col("__least") + (F.col("__turn") <= F.col("__more")).cast("bigint")).alias("__copies")
+    joined = joined.select("*", number).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return joined.select(*(F.col(f"`{c}`") for c in docs.columns))

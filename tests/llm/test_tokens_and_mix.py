@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyframe.llm import bitpack, bpe, mixing
+from tallyframe.llm import bitpack, bpe, mixing, queries
 from tallyframe.llm.queries import MIX, vocabulary
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -183,6 +185,90 @@ def test_flight_keeps_sums():
     assert abs(out.sum() - chance.sum()) < 1e-6 and abs(out @ size - chance @ size) < 1e-3
 
 
+def test_long_documents_are_balanced():
+    """One document as long as a fifth of its source, and sizes over four orders of magnitude: the words still come out."""
+    for seed in range(12):
+        random_numbers = np.random.default_rng(seed)
+        size = np.concatenate([[5184.0], random_numbers.integers(60, 900, 49)]).astype(float)
+        chance = np.full(len(size), random_numbers.uniform(0.1, 0.9))
+        out = mixing.settled(chance, size, random_numbers)
+        assert set(out) <= {0.0, 1.0} and abs(out @ size - chance @ size) <= 3
+        size = np.floor(random_numbers.pareto(1.0, 3000) * 20) + 1
+        chance = np.full(len(size), 0.3)
+        moved = mixing.flight(chance, size, random_numbers)
+        assert ((moved > 0) & (moved < 1)).sum() <= 2 and abs(moved @ size - chance @ size) < 1e-2
+        assert abs(mixing.settled(chance, size, random_numbers) @ size - chance @ size) <= 1
+
+
+def test_exchanges_reach_the_total():
+    size, free = np.array([7.0, 10, 13, 500, 20]), np.array([True, True, True, False, True])
+    out = mixing.exchanged(np.array([1.0, 0, 0, 1, 0]), size, free, 513.0)
+    assert out.tolist() == [0, 0, 1, 1, 0]
+    assert mixing.exchanged(np.zeros(5), size, np.zeros(5, bool), 30.0).tolist() == [0] * 5
+
+
+def test_copies_go_to_the_row_they_were_decided_for(spark):
+    """One id and text in two sources, in either order of the rows; other columns tell equal rows apart."""
+    sized = [(100 + i, "w " * (i % 7 + 1), s, "x", i) for i, s in enumerate(["s1", "s2"] * 20)]
+    for rows in ([(1, "a b c d", "s1", "x", 1), (1, "a b c d", "s2", "x", 2)], [(1, "a b c d", "s2", "x", 2), (1, "a b c d", "s1", "x", 1)]):
+        docs = documents(spark, rows + sized)
+        wanted = sorted((r.id, r.source) for r in mixing.copies(docs, **MIX).collect() for _ in range(r.copies))
+        assert sorted((r.doc_id, r.source) for r in mixing.mixed(docs, **MIX).collect()) == wanted
+    same = documents(spark, [(None, "a b", None, "x", i) for i in range(9)])
+    found = [sorted(r.size for r in mixing.mixed(d, **MIX).collect()) for d in (same, same.orderBy(F.desc("size")))]
+    assert found[0] == found[1] and len(found[0]) == sum(r.copies for r in mixing.copies(same, **MIX).collect())
+
+
+def test_rows_without_id_spread_over_groups(spark):
+    docs = documents(spark, [(None, f"w{i} x" if i % 2 else "same text", "s", "x", 1) for i in range(3000)] + [(1, "a b c", "t", "x", 1)])
+    seen = []
+    kept = mixing.written
+
+    def counted(frame, name):
+        out = kept(frame, name)
+        if name == "mixing-level-0":
+            seen.append(out.where("source = 's'").groupBy(F.spark_partition_id()).count().count())
+            order = F.xxhash64(F.lit(0), F.lit(0), "id", "mark", "turn")
+            rows = out.where("source = 's'").groupBy(F.pmod(F.shiftrightunsigned(order, 16), F.lit(5))).count().collect()
+            seen.append(max(r["count"] for r in rows))
+        return out
+
+    mixing.written = counted
+    try:
+        out = mixing.copies(docs, **MIX, group=600).collect()
+    finally:
+        mixing.written = kept
+    assert len(out) == 3001 and seen[1] < 900
+
+
+@pytest.mark.parametrize("directory", ["sf0.001", "sf0.01"])
+def test_mixing_query(spark, directory):
+    """Sizes, targets and bounds by the rule, and every source within a few words of its target."""
+    rows = spark.read.parquet(f"/root/testdata/{directory}/documents.parquet").select("doc_id", "text", "source").collect()
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in rows}
+    by_source = {}
+    for r in rows:
+        by_source[r.source] = by_source.get(r.source, 0) + size[r.doc_id]
+    goal = water_level(by_source, *MIX.values())
+    found = queries.op3_mixing(spark, f"/root/testdata/{directory}").collect()
+    assert sorted(r.doc_id for r in found) == sorted(size)
+    source_of = {r.doc_id: r.source for r in rows}
+    taken = dict.fromkeys(by_source, 0)
+    for r in found:
+        source = source_of[r.doc_id]
+        assert r.size == size[r.doc_id] and r.source_size == by_source[source] and r.taken <= 2 * r.size
+        assert abs(r.target - goal[source]) < 1e-6 * by_source[source]
+        taken[source] += r.taken
+    for source, words in taken.items():
+        mine = np.array([size[i] for i in size if source_of[i] == source and size[i]])
+        nearest = 3.0
+        if len(mine) <= 12:  # few documents reach few totals
+            whole = int(goal[source] / by_source[source])
+            totals = (np.arange(1 << len(mine))[:, None] >> np.arange(len(mine)) & 1) @ mine + whole * by_source[source]
+            nearest = np.abs(totals - goal[source]).min() + 1e-6
+        assert abs(words - goal[source]) <= nearest, source
+
+
 def test_mix_without_words(spark):
     docs = documents(spark, [(1, None, "a", None, None), (2, "", None, None, None)])
     assert [(r.size, r.target, r.taken) for r in mixing.copies(docs, **MIX).collect()] == [(0, 0.0, 0)] * 2
