@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.bpe import WHITE
 from tallyframe.llm.store import new_folder
-from tallyframe.llm.text import column_bytes, row_groups
+from tallyframe.llm.text import PIECE, column_bytes, row_groups
 
 BLOCK = 4096
 #: A segment is closed once it holds this many ids; it always holds whole documents.
@@ -105,18 +105,26 @@ class Segment:
         return self.read(0, self.length)
 
 
+# Letters and marks that the split of byte-level vocabularies treats alike in every version of Unicode;
+# digits, the apostrophe of contractions and all other white space are left out.
+_L, _P = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+_LETTERS = re.compile(f"[{_L}]+")
+_SIMPLE = re.compile(f" ?(?:[{_L}]|[{_P}])(?:[{_L}]|[{_P}]|\n(?!\n|$))*")
+_PIECES = re.compile(f" ?[{_L}]+| ?[{_P}]+|\n")
+
+
 class LibraryEncoder:
     """Whole-text ids of a byte-level BPE of the tokenizers library, which sees each stretch only once in a while.
 
     A byte-level split never joins what stands on either side of a space before a non-space, so a text is the stretch
     before its first space and then stretches that begin with one.  Arrow splits a whole column and numbers its distinct
-    stretches; only those that are unknown go to the library, new ones with a space in one text, since each begins with
-    the only token that starts with a space.  The ids of known stretches lie one after the other in one array, from which
+    stretches; of those that are unknown the pieces go to the library, new ones with a space in one text, since each begins
+    with the only token that starts with a space.  The ids of known stretches lie one after the other in one array, from which
     the column's ids are gathered.  Texts with special tokens or runs of white space do not divide so simply; the former
     go to the library whole, the latter in the pieces that its split gives.
     """
 
-    def __init__(self, description: str, special: list[str], limit: int = 1 << 19):
+    def __init__(self, description: str, special: list[str], limit: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -128,6 +136,8 @@ class LibraryEncoder:
         self._split = re.compile(f" ?[^{WHITE}]+|{_GAP}+(?![^{WHITE}])|{_GAP}+")
         size = self._library.get_vocab_size()
         self._begins = np.array([(self._library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
+        self._newline = np.zeros(size, bool)
+        self._newline[self._library.encode("\n", add_special_tokens=False).ids] = True
         self._limit = limit
         self._forget()
 
@@ -155,27 +165,63 @@ class LibraryEncoder:
         found = [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
         return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
 
-    def _stretches(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of stretches that begin with a space and hold no other, and how many each has."""
-        ids = np.array(self._library.encode_batch_fast(["".join(new)], add_special_tokens=False)[0].ids, np.uint32)
-        cuts = np.flatnonzero(self._begins[ids])
+    def _joined(self, new: list[str], between: str, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces sent as one text; ``begins`` flags the ids that tell where one begins."""
+        ids = np.array(self._library.encode_batch_fast([between.join(new)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(begins[ids])
+        if between:  # what stands between the pieces is an id of its own, and none of theirs
+            cuts = np.append(-1, cuts) + 1
         if len(cuts) != len(new):
             return self._asked(new)
-        return ids, np.diff(np.append(cuts, len(ids)))
+        lengths = np.diff(np.append(cuts, len(ids) + bool(between))) - bool(between)
+        return (ids[~begins[ids]] if between else ids), lengths
+
+    def _ask(self, new: list[str]) -> None:
+        """Have the library encode pieces that are not known."""
+        spaced = [p for p in new if p[:1] == " "]
+        words = [p for p in new if p[:1] != " " and _LETTERS.fullmatch(p)]
+        rest = [p for p in new if p[:1] != " " and not _LETTERS.fullmatch(p)]
+        for keys, ask in (
+            (spaced, lambda some: self._joined(some, "", self._begins)),
+            (words, lambda some: self._joined(some, "\n", self._newline)),
+            (rest, self._asked),
+        ):
+            for at in range(0, len(keys), 1 << 14):
+                some = keys[at : at + (1 << 14)]
+                first = self._keep(*ask(some))
+                self._known.update(zip(some, range(first, first + len(some))))
 
-    def _numbers(self, keys: list[str], ask) -> np.ndarray:
-        """The number of each key in the store, unknown ones being asked for."""
+    def _numbers(self, keys: list[str]) -> np.ndarray:
+        """The number of each key in the store.
+
+        Unknown keys of plain letters and marks are put together from the pieces that the split makes of them, which
+        recur more often than they do; others go to the library as they are.
+        """
         known = self._known
         found = list(map(known.get, keys))
         if None in found:
             new = list(dict.fromkeys([k for k, f in zip(keys, found) if f is None]))
-            for at in range(0, len(new), 1 << 14):
-                some = new[at : at + (1 << 14)]
-                first = self._keep(*ask(some))
-                known.update(zip(some, range(first, first + len(some))))
+            parts = [_PIECES.findall(k) if _SIMPLE.fullmatch(k) else () for k in new]
+            wanted = dict.fromkeys([k for k, p in zip(new, parts) if len(p) < 2])
+            wanted.update(dict.fromkeys([x for p in parts if len(p) > 1 for x in p if x not in known]))
+            self._ask(list(wanted))
+            made = [(k, p) for k, p in zip(new, parts) if len(p) > 1]
+            if made:
+                numbers = np.array([known[x] for _, p in made for x in p], np.int64)
+                ids, lengths = self._gathered(numbers)
+                counts = np.array([len(p) for _, p in made])
+                first = self._keep(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+                known.update(zip([k for k, _ in made], range(first, first + len(made))))
             found = list(map(known.__getitem__, keys))
         return np.array(found, np.int64)
 
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the runs with these numbers, one after the other, and their lengths."""
+        lengths = self._n[numbers]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self._store[np.repeat(self._at[numbers] - ends + lengths, lengths) + np.arange(total)], lengths
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the n + 1 places between the texts; no text may be null."""
         if self._entries > self._limit or self._end > 16 * self._limit:
@@ -198,20 +244,19 @@ class LibraryEncoder:
             used[codes[after]] = True
             names = coded.dictionary.filter(pa.array(used)).to_pylist()
             table = np.zeros(len(used), np.int64)
-            table[used] = self._numbers([" " + s for s in names], self._stretches)
+            table[used] = self._numbers([" " + s for s in names])
             flat = table[codes]
-            flat[~after] = self._numbers(coded.dictionary.take(pa.array(codes[~after])).to_pylist(), self._asked)
+            flat[~after] = self._numbers(coded.dictionary.take(pa.array(codes[~after])).to_pylist())
             for row, i, j in zip(plain.tolist(), ends[:-1].tolist(), ends[1:].tolist()):
                 numbers[row] = flat[i:j]
         for row in np.flatnonzero(gaps).tolist():
-            numbers[row] = self._numbers(self._split.findall(texts[row].as_py()), self._asked)
+            numbers[row] = self._numbers(self._split.findall(texts[row].as_py()))
         for row in np.flatnonzero(whole).tolist():
             numbers[row] = np.array([self._keep(*self._asked([texts[row].as_py()]))])
         every = np.concatenate(numbers) if numbers else _NOTHING
-        lengths = self._n[every]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self._store[np.repeat(self._at[every] - total[:-1], lengths) + np.arange(total[-1])]
-        return ids, total[np.concatenate([[0], np.cumsum([len(n) for n in numbers], dtype=np.int64)])]
+        ids, lengths = self._gathered(every)
+        places = np.concatenate([[0], np.cumsum(lengths)])
+        return ids, places[np.concatenate([[0], np.cumsum([len(n) for n in numbers], dtype=np.int64)])]
 
 
 _NOTHING = np.zeros(0, np.int64)
@@ -276,7 +321,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int, doc_id: str
 
         for batch in batches:
             _, offsets = column_bytes(batch.column(1))
-            for i, j in row_groups(offsets):
+            for i, j in row_groups(offsets, 8 * PIECE):
                 ids, places = encoder.encode(batch.column(1).slice(i, j - i))
                 # Every text is followed by the end id.
                 sizes = np.diff(places) + 1
