@@ -13,6 +13,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ PATH_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 64, 32, 5, 16
 INPUT = PATH_SIZE + WORD_SIZE + NUMBERS
 #: Blocks that are held in one padded batch, about.
 BATCH_BLOCKS = 1 << 14
+#: Places of a sequence whose inputs are multiplied at once.
+STEPS = 4096
 
 # HTML's void, raw-text and block-level elements, and those whose opening ends a paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,27 +50,86 @@ ASIDE_WORDS = frozenset(
     " masthead menu modal nav navbar navigation newsletter notice popup promo related search share sharing sidebar"
     " social sponsor sponsored subscribe widget disqus reply replies toolbar".split()
 )
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>",
-    re.S,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile("[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
 
 
+class Place:
+    """Where a block stands: the names of its element, ``tag`` and ``.word`` for class and id words, and the place above.
+
+    ``fresh`` are the names that no element above has; what is known of the whole path is kept from element to element,
+    so that a path of any depth costs its last element.
+    """
+
+    __slots__ = ("above", "names", "fresh", "inner", "aside", "header", "main", "main_tag", "vector")
+
+    def __init__(self, above: Place | None = None, names: tuple[str, ...] = (), fresh: tuple[str, ...] = ()):
+        self.above, self.names, self.fresh = above, names, fresh
+        self.inner: dict[tuple[str, ...], Place] = {}
+        self.vector: np.ndarray | None = None
+        self.aside = bool(above and above.aside) or any((n[1:] in ASIDE_WORDS) if n[0] == "." else n in ASIDE_TAGS for n in names)
+        self.main_tag = bool(above and above.main_tag) or any(n in MAIN_TAGS for n in names)
+        self.main = bool(above and above.main) or any(n[0] == "." and n[1:] in MAIN_WORDS for n in names)
+        self.header = bool(above and above.header) or "header" in names
+
+    def path(self) -> tuple[str, ...]:
+        """All names from the root."""
+        chain, at = [], self
+        while at is not None:
+            chain.append(at.names)
+            at = at.above
+        return tuple(name for names in reversed(chain) for name in names)
+
+
 @dataclass
 class Block:
-    """Text of one block, its path of ``tag`` and ``tag.word`` names from the root, and how much of it is links."""
+    """Text of one block, its place, and how much of it is links."""
 
-    path: tuple[str, ...]
+    place: Place
     text: str
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.place.path()
+
+
+class _Ends:
+    """Where tags end whose quotes do not pair up: each mark is followed once, however many tags begin before it."""
+
+    def __init__(self, html: str):
+        self._html, self._known = html, {}
+        self._marks = [m.start() for m in _MARK.finditer(html)]
+        self._same = [-1] * len(self._marks)
+        later: dict[str, int] = {}
+        for k in range(len(self._marks) - 1, -1, -1):
+            mark = html[self._marks[k]]
+            self._same[k], later[mark] = later.get(mark, -1), k
+
+    def after(self, at: int) -> int:
+        """The ``>`` outside of quotes that ends a tag read from ``at`` on; -1 if there is none."""
+        k, passed = bisect_left(self._marks, at), []
+        while k < len(self._marks) and k not in self._known and self._html[self._marks[k]] != ">":
+            passed.append(k)
+            k = self._same[k] + 1 if self._same[k] >= 0 else len(self._marks)
+        end = self._known.get(k, self._marks[k]) if k < len(self._marks) else -1
+        self._known.update(dict.fromkeys(passed, end))
+        return end
 
-def blocks(html: str) -> list[Block]:
-    """The blocks of a page that have text, in page order.  Scripts, styles and markup are gone, references decoded."""
+
+def blocks(html: str, root: Place | None = None) -> list[Block]:
+    """The blocks of a page that have text, in page order.  Scripts, styles and markup are gone, references decoded.
+
+    Time and memory grow with the page, however deep or broken it is.  Pages read under one ``root`` share their places.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    here = root or Place()
+    stack: list[tuple[str, Place]] = []
+    open_at: dict[str, list[int]] = {}  # depths of the open elements by tag
+    within: dict[str, int] = {}  # how many open elements have a name
     text: list[str] = []
     state = [0, 0]  # open links, and characters inside them
 
@@ -75,33 +137,69 @@ def blocks(html: str) -> list[Block]:
         if text:
             plain = " ".join(entities.unescape("".join(text)).split())
             if plain:
-                out.append(Block(tuple(n for _, names in stack for n in names), plain, min(state[1], len(plain))))
+                out.append(Block(here, plain, min(state[1], len(plain))))
             text.clear()
         state[1] = 0
 
     def pop_to(depth: int) -> None:
-        del stack[depth:]
+        nonlocal here
+        while len(stack) > depth:
+            tag, here = stack.pop()
+            open_at[tag].pop()
+            for name in inside.pop():
+                within[name] -= 1
 
-    at, end = 0, len(html)
+    inside: list[tuple[str, ...]] = []
+
+    def last(tag: str) -> int:
+        depths = open_at.get(tag)
+        return depths[-1] if depths else -1
+
+    at, end, final, ends = 0, len(html), html.rfind(">"), None
     while at < end:
-        found = _TOKEN.search(html, at)
-        stop = found.start() if found else end
-        if stop > at:
-            text.append(html[at:stop])
+        begin = at
+        closing = tag = rest = ""
+        look = at
+        while True:
+            less = html.find("<", look)
+            if less < 0 or less > final:
+                # No tag can end any more; an open comment still hides the rest.
+                less = html.find("<!--", less) if less >= 0 else -1
+                stop, at = (less if less >= 0 else end), end
+                break
+            if html.startswith("<!--", less):
+                close = html.find("-->", less + 4)
+                stop, at = less, close + 3 if close >= 0 else end
+                break
+            name = _NAME.match(html, less)
+            if name:
+                whole = _TAG.match(html, less) if ends is None else None
+                if whole is None:
+                    ends = ends or _Ends(html)
+                    close = ends.after(name.end())
+                    close = close if close >= 0 else html.find(">", name.end())
+                    closing, tag, rest, at = name[1], name[2], html[name.end() : close], close + 1
+                else:
+                    closing, tag, rest, at = whole[1], whole[2], whole[3], whole.end()
+                stop = less
+                break
+            if html[less + 1 : less + 2] in ("!", "?", "/"):
+                stop, at = less, html.find(">", less + 1) + 1
+                break
+            look = less + 1
+        if stop > begin:
+            text.append(html[begin:stop])
             if state[0]:
-                state[1] += stop - at
-        if not found:
-            break
-        at = found.end()
-        closing, tag, rest = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+                state[1] += stop - begin
         if not tag:
             continue
         tag = tag.lower()
         if not closing and tag in RAW:
             if rest.endswith("/") and tag in ("svg", "math"):
                 continue
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-            at = close.end() if close else end
+            close = re.compile(rf"</{tag}\b", re.I).search(html, at)
+            close = html.find(">", close.end()) if close else -1
+            at = close + 1 if close >= 0 else end
             continue
         if tag == "br":
             text.append(" ")
@@ -116,54 +214,84 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    pop_to(depth)
-                    break
+            if last(tag) >= 0:
+                pop_to(last(tag))
             continue
         if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and (stack[-1][0] == "p" or tag[0] == "h"):
             pop_to(len(stack) - 1)
-        if tag in ENDS_ITSELF:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in ENDS_ITSELF[tag]:
-                    break
-                if stack[depth][0] == tag:
-                    pop_to(depth)
-                    break
+        if tag in ENDS_ITSELF and last(tag) > max((last(t) for t in ENDS_ITSELF[tag]), default=-1):
+            pop_to(last(tag))
         if tag == "body" and stack and stack[-1][0] == "head":
             pop_to(len(stack) - 1)
         words = [w for m in _NAMES.finditer(rest) for w in _PART.findall((m[1] or m[2] or m[3] or "").lower())]
-        stack.append((tag, (tag, *(f".{w}" for w in dict.fromkeys(words)))))
+        names = (tag, *(f".{w}" for w in dict.fromkeys(words)))
+        inner = here.inner.get(names)
+        if inner is None:
+            inner = here.inner[names] = Place(here, names, tuple(n for n in names if not within.get(n)))
+        stack.append((tag, here))
+        inside.append(names)
+        open_at.setdefault(tag, []).append(len(stack) - 1)
+        for n in names:
+            within[n] = within.get(n, 0) + 1
+        here = inner
     flush()
     return out
 
 
+class Places:
+    """A root for the places of many pages, taken anew once it holds many."""
+
+    def __init__(self, most: int = 20_000):
+        self._most, self._root, self._pages = most, Place(), 0
+
+    def read(self, htmls: list[str | None]) -> list[list[Block]]:
+        self._pages += 1
+        if self._pages % 16 == 0 and self._size() > self._most:
+            self._root = Place()
+        return [blocks(h or "", self._root) for h in htmls]
+
+    def _size(self) -> int:
+        count, left = 0, [self._root]
+        while left and count <= self._most:
+            count += 1
+            left.extend(left.pop().inner.values())
+        return count
+
+
 class Features:
-    """Turns blocks into input vectors, remembering the places of names and paths that recur."""
+    """Turns blocks into input vectors, remembering the places of words that recur."""
 
     def __init__(self) -> None:
-        self._paths: dict[tuple[str, ...], np.ndarray] = {}
         self._words: dict[str, int] = {}
 
-    def _path(self, path: tuple[str, ...]) -> np.ndarray:
-        found = self._paths.get(path)
-        if found is None:
-            found = np.zeros(PATH_SIZE, np.float32)
-            for name in dict.fromkeys(path):
+    @staticmethod
+    def _hashed(name: str) -> tuple[int, int]:
+        code = zlib.crc32(name.encode("utf-8", "replace"))
+        return code % PATH_SIZE, 1 if code >> 16 & 1 else -1
+
+    def _path(self, place: Place) -> np.ndarray:
+        """Hashed sums of the distinct names of a path; made from the place above."""
+        chain, at = [], place
+        while at is not None and at.vector is None:
+            chain.append(at)
+            at = at.above
+        found = np.zeros(PATH_SIZE, np.int16) if at is None else at.vector
+        for at in reversed(chain):
+            found = found.copy()
+            for name in at.fresh:
                 if name not in ("html", "body"):
-                    code = zlib.crc32(name.encode("utf-8", "replace"))
-                    found[code % PATH_SIZE] += 1.0 if code >> 16 & 1 else -1.0
-            if path:
-                code = zlib.crc32(b"leaf " + path[-1].encode("utf-8", "replace"))
-                found[code % PATH_SIZE] += 1.0 if code >> 16 & 1 else -1.0
-            if len(self._paths) < 10_000:
-                self._paths[path] = found
+                    where, sign = self._hashed(name)
+                    found[where] += sign
+            at.vector = found
         return found
 
     def __call__(self, page: list[Block]) -> np.ndarray:
         out = np.zeros((len(page), INPUT), np.float32)
         for row, block in zip(out, page):
-            row[:PATH_SIZE] = self._path(block.path)
+            row[:PATH_SIZE] = self._path(block.place)
+            if block.place.names:
+                where, sign = self._hashed("leaf " + block.place.names[-1])
+                row[where] += sign
             words = block.text.split()
             places = []
             for w in words:
@@ -204,11 +332,14 @@ class Model:
 
     def _run(self, way: str, x: np.ndarray, real: np.ndarray, keep: bool):
         n, t, _ = x.shape
-        into = x @ self.weights[f"{way}x"] + self.weights[f"{way}c"]
+        into, chunk = np.zeros((n, 0, 4 * HIDDEN), np.float32), -1
         h = c = np.zeros((n, HIDDEN), np.float32)
         states, trail = np.zeros((n, t, HIDDEN), np.float32), []
         for k in range(t) if way == "f" else range(t - 1, -1, -1):
-            gates = into[:, k] + h @ self.weights[f"{way}h"]
+            if k // STEPS != chunk:  # a long page is not multiplied as a whole
+                chunk = k // STEPS
+                into = x[:, chunk * STEPS : (chunk + 1) * STEPS] @ self.weights[f"{way}x"] + self.weights[f"{way}c"]
+            gates = into[:, k % STEPS] + h @ self.weights[f"{way}h"]
             sig = 1 / (1 + np.exp(-gates[:, : 3 * HIDDEN]))
             i, f, o, g = sig[:, :HIDDEN], sig[:, HIDDEN : 2 * HIDDEN], sig[:, 2 * HIDDEN :], np.tanh(gates[:, 3 * HIDDEN :])
             here = real[:, k, None]
@@ -264,13 +395,10 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def landmark(block: Block) -> bool:
     """The training label: inside a main part, and in nothing that stands around or inside it."""
-    words = {n[1:] for n in block.path if n[0] == "."}
-    tags = {n for n in block.path if n[0] != "."}
-    if tags & ASIDE_TAGS or words & ASIDE_WORDS:
-        return False
-    if "header" in tags and not tags & MAIN_TAGS:
+    place = block.place
+    if place.aside or (place.header and not place.main_tag):
         return False
-    return bool(tags & MAIN_TAGS or words & MAIN_WORDS)
+    return place.main_tag or place.main
 
 
 #: Layouts for training: what stands for an article, and what surrounds or interrupts it.  {} is the text.
@@ -344,7 +472,7 @@ def varied(pages: list[list[Block]], number: int, seed: int = 11) -> list[tuple[
             parts.append(pick(ENDS).format(put(("© " if random.random() < 0.5 else "") + some(short, 1, 2)[0], False)))
         page = blocks("<html><body>" + "".join(parts) + "</body></html>")
         labels = np.array([b.text in good for b in page])
-        out.append(([Block(b.path, marks.get(b.text, b.text), len(marks.get(b.text, b.text)) if b.linked else 0) for b in page], labels))
+        out.append(([Block(b.place, marks.get(b.text, b.text), len(marks.get(b.text, b.text)) if b.linked else 0) for b in page], labels))
     return out
 
 
@@ -435,11 +563,11 @@ def extracted(pages: DataFrame, model: Model | None, html: str = "html", out: st
     schema = T.StructType([*source.schema.fields[:-1], T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features, places = Features(), Places()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                found = [blocks(h or "") for h in batch.column(len(kept)).to_pylist()]
+                found = places.read(batch.column(len(kept)).to_pylist())
                 texts = ["\n\n".join(b.text for b, y in zip(p, good) if y) for p, good in zip(found, labelled(found, model, features))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, out])
 
