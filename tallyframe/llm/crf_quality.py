@@ -172,7 +172,8 @@ def trained(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: st
     """The field for ``docs``, fitted on at most ``limit`` of the documents that ``labels`` (doc_id, quality) covers.
 
     The sample has the smallest hashes of the id, half of it from either quality where there are enough; only its line
-    features reach the driver, and documents of more than ``TRAINING_LINES`` lines are passed over.
+    features reach the driver, and documents of more than ``TRAINING_LINES`` lines are passed over.  An id on several rows
+    stands for the text with the smallest hash, chosen before any features are made.
     """
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -180,7 +181,10 @@ def trained(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: st
     sample = sample.unionByName(known.where("quality <> 0").orderBy(*order).limit(limit - limit // 2))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     # At most `limit` rows of two numbers.
-    rows = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
+    rows = rows.join(F.broadcast(sample), "doc_id").withColumn("mark", F.xxhash64("text"))
+    # One hash for each id and task is dealt out, and then one text for each id.
+    first = rows.groupBy("doc_id").agg(F.min("mark").alias("mark"))
+    rows = rows.join(F.broadcast(first), ["doc_id", "mark"]).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
