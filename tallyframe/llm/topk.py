@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tallyframe.llm.store import written
 
 SHELLS = 16
-#: Vectors of a block and queries of a group, about.
-BLOCK, QUERIES = 8192, 4096
+#: Vectors of a block and queries of a group, about; and groups, at most (queries beyond make the groups larger).
+BLOCK, QUERIES, GROUPS = 8192, 4096, 1 << 16
 _TILE = 1024
 _RESULT = "query_id bigint, vec_id bigint, score bigint"
 
@@ -134,6 +134,23 @@ def search(queries: np.ndarray, own: np.ndarray, floor: np.ndarray, vectors: np.
     return best
 
 
+def offered(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """Vectors (shell, length, ...) once for each ``group`` that has a query which they could still serve.
+
+    Queries (shells, group, length_q, floor) ask a shell only if its longest vector can reach their floor; of its
+    vectors, those too short for every query of a group that asks are not copied for that group.
+    """
+    least = F.when(F.col("length_q") > 0, F.col("floor") / F.col("length_q")).otherwise(float("-inf"))
+    wanted = asked.select(F.explode("shells").alias("shell"), "group", least.alias("least"))
+    wanted = wanted.groupBy("shell", "group").agg(F.min("least").alias("least"))
+    # One row for each of the few shells, with a pair for each of at most GROUPS groups.
+    wanted = wanted.groupBy("shell").agg(F.collect_list(F.struct("group", "least")).alias("__open"))
+    held = held.join(F.broadcast(wanted), "shell")
+    reach = F.col("length") * (1 + 1e-9)
+    held = held.withColumn("__open", F.explode(F.filter("__open", lambda g: g["least"] <= reach)))
+    return held.withColumn("group", F.col("__open.group")).drop("__open")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` highest inner products of every query.
 
@@ -155,7 +172,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id",
     # One row for each of the few shells.
     shells = {r.shell: r for r in rows.groupBy("shell").agg(F.max("length").alias("longest"), F.count(F.lit(1)).alias("n")).collect()}
     queries = rows.where(is_query).dropDuplicates(["id"]).select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("length").alias("length_q"))
-    groups = max(1, -(-queries.count() // QUERIES))
+    groups = min(max(1, -(-queries.count() // QUERIES)), GROUPS)
     queries = queries.withColumn("group", F.pmod(F.xxhash64("query_id", F.lit(7)), F.lit(groups)))
     blocks = {s: max(1, -(-r.n // BLOCK)) for s, r in shells.items()}
 
@@ -163,7 +180,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id",
         """Search ``asked`` (query_id, q, group, floor, shells) in the given shells."""
         number = F.create_map(*(F.lit(x) for s in places for x in (s, blocks[s])))
         held = rows.where(F.col("shell").isin(places)).withColumn("block", F.pmod(F.xxhash64("id", "v"), number[F.col("shell")]))
-        held = held.withColumn("group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
+        held = offered(held, asked)
         held = held.select("shell", "block", "group", "id", "v")
         asked = asked.withColumn("shell", F.explode("shells")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), number[F.col("shell")].cast("bigint") - 1)))
         asked = asked.select("shell", "block", "group", "query_id", "q", "floor")
