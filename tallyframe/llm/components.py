@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.store import written
+from tallyframe.llm.store import dropped, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,12 +17,15 @@ def components(links: DataFrame) -> DataFrame:
     """
     start = links.select("a", "b").where("a is not null and b is not null")
     nodes = written(start.select("a", "b").distinct(), "links")
-    edges = nodes.where("a <> b")
+    edges, rounds = nodes.where("a <> b"), 0
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         sent = both.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before, rounds = edges, rounds + 1
         edges = written(sent.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "links")
+        if rounds > 1:  # the first round reads the links given, which name all nodes
+            dropped(before)
         # Done when each node has one parent and no parent has one itself.
         parents = edges.groupBy("a").agg(F.count("b").alias("n"))
         roots = edges.select(F.col("b").alias("a")).distinct()

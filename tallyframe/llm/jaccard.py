@@ -7,7 +7,8 @@ whose summed coordinate minima with another point bound the overlap of the two s
 * The groups are dealt into runs.  An n-gram that only one of two sets has spoils one run at most, so linked sets,
   which differ in few n-grams, agree in all counts of some run that has n-grams.  Every node is listed under each of
   its runs; nodes that share a run, and whose coordinate minima allow the overlap, form clusters.  No linked pair lies
-  across two clusters.  Sizes are classed by powers of two, and a set just below a power is listed in the class above
+  across two clusters.  A run that very many nodes share counts only for those that may share no other with a linked
+  one.  Sizes are classed by powers of two, and a set just below a power is listed in the class above
   as well, so both ends of a link know the same runs.
 * Within a cluster an R-tree over the points (bulk-loaded by size and the most varied groups) yields the pairs whose
   minima reach the needed overlap, and only these are verified on the sets.  Pairs that are connected already are
@@ -19,6 +20,7 @@ whose summed coordinate minima with another point bound the overlap of the two s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import text as words
 from tallyframe.llm.components import components
-from tallyframe.llm.store import written
+from tallyframe.llm.store import dropped, released, written
 
 #: Groups of the points by size of the set: so many below the given size.  Each divides the next, so that points of
 #: different sizes are compared in the coarser groups.
@@ -39,6 +41,8 @@ CHUNK = 1_000_000
 FEW, MANY = 16, 20_000
 #: Clustered documents that are sent to the tasks which read texts, at most (about 100 bytes each); more are joined.
 SENT = 1 << 18
+#: Runs are dealt in so many passes, one after the other, by their top bits: only one pass lies on disk at a time.
+PASSES = 3
 _LEAF, _FAN = 32, 16
 
 
@@ -72,7 +76,12 @@ def fingerprint(items: np.ndarray) -> int:
 
 def runs(items: np.ndarray, num: int, den: int) -> np.ndarray:
     """Signatures of the runs of groups under which a set is listed, as signed integers."""
-    n = len(items)
+    return runs_and_sure(items, num, den)[0]
+
+
+def runs_and_sure(items: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """:func:`runs`, and how many runs with n-grams a linked set shares at least (0: not known to share any)."""
+    n, sure = len(items), []
     classes = [n.bit_length() - 1]
     if n * den >= num << (classes[0] + 1):
         classes.append(classes[0] + 1)
@@ -88,12 +97,13 @@ def runs(items: np.ndarray, num: int, den: int) -> np.ndarray:
         counts = words.mix64(group ^ (run << np.uint64(32)))
         begin = np.flatnonzero(np.diff(run, prepend=run[:1] + np.uint64(1)))
         used, sums = run[begin], np.add.reduceat(counts, begin)
+        sure.append(max(len(used) - spoilt, 0))
         if len(used) <= spoilt:  # too few to be sure of one with n-grams: those without count as well
             filled = np.zeros(count, np.uint64)
             filled[used.astype(np.int64)] = sums
             used, sums = np.arange(count, dtype=np.uint64), filled
         out.append(words.mix64(sums ^ words.mix64(used + np.uint64((level << 40) + 0x5851F42D4C957F2D))))
-    return np.concatenate(out).astype(np.int64)
+    return np.concatenate(out).astype(np.int64), min(sure)
 
 
 def point(items: np.ndarray, groups: int | None = None) -> np.ndarray:
@@ -217,12 +227,19 @@ def _listed(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     return _texts(docs, doc_id, text).mapInArrow(run, "id bigint, mark bigint, size bigint, node bigint, point binary")
 
 
-def _run_rows(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int) -> DataFrame:
-    """``run``, ``node``: the runs of every node, once per task.  They are many, so they are not written but dealt."""
+def _run_rows(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, turn: int) -> DataFrame:
+    """``run``, ``node``: the runs of every node, once per task, that the pass ``turn`` deals.
+
+    They are many and most are one node's alone, so they are not written: signatures are made anew in every pass.
+    """
+    passes = np.uint64(PASSES)
+
+    def mine(names: np.ndarray) -> np.ndarray:
+        return names[((names.view(np.uint64) >> np.uint64(32)) * passes >> np.uint64(32)).astype(np.int64) == turn]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _fresh(batches, 0, width):
-            found = [(runs(items, num, den), node) for items, node, fresh in rows if fresh]
+            found = [(mine(runs(items, num, den)), node) for items, node, fresh in rows if fresh]
             for at in range(0, len(found), 64):
                 part = found[at : at + 64]
                 names = np.repeat(np.array([node for _, node in part], np.int64), [len(r) for r, _ in part])
@@ -231,12 +248,9 @@ def _run_rows(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den
     return _texts(docs, doc_id, text).select("text").mapInArrow(run, "run bigint, node bigint")
 
 
-def _shared_runs(rows: DataFrame, listed: DataFrame, num: int, den: int) -> DataFrame:
-    """Links ``(a, b)`` between nodes that share a run, connecting at least what the overlap bound does not rule out.
-
-    The nodes under a run are taken by their number.  Up to ``FEW``, each pair is held against the bound; up to
-    ``MANY``, a tree over their points finds the pairs; beyond that, all are linked with the first.
-    """
+def _in_one_run(rows: DataFrame) -> DataFrame:
+    """Nodes that share a run: ``kind`` 0 pairs ``(a, b)`` under runs of up to ``FEW`` nodes, 1 the nodes ``a`` of a run of
+    up to ``MANY``, and 2 links of all nodes ``b`` of a longer run with its first."""
     few_nodes, many = FEW, MANY
     rows = rows.repartition("run").sortWithinPartitions("run", "node").select("run", "node")
 
@@ -294,7 +308,48 @@ def _shared_runs(rows: DataFrame, listed: DataFrame, num: int, den: int) -> Data
             for a, b in _long(left_run, many):
                 yield batch_of(2, left_run[a:b], np.full(b - a, left_node[a]), left_node[a:b])
 
-    found = written(rows.mapInArrow(deal, "kind int, run bigint, a bigint, b bigint"), "jaccard-shared")
+    return rows.mapInArrow(deal, "kind int, run bigint, a bigint, b bigint")
+
+
+def _sure(docs: DataFrame, text: str, width: int, num: int, den: int) -> DataFrame:
+    """``node``, ``sure``: how many runs with n-grams every set shares with a linked one at least, once per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _fresh(batches, 0, width):
+            found = [(node, runs_and_sure(items, num, den)[1]) for items, node, fresh in rows if fresh]
+            columns = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "sure"])
+
+    texts = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
+    return texts.mapInArrow(run, "node bigint, sure bigint").dropDuplicates(["node"])
+
+
+def _without_common(found: DataFrame, sure) -> DataFrame:
+    """``found`` with the runs of more than ``MANY`` nodes kept only for the nodes that may depend on them.
+
+    Such a run stands for little more than an n-gram that very many documents have.  A node that is sure to share more
+    runs with a linked one than it has long ones shares a shorter one with it, under which the pair is found; so it
+    leaves the long ones.  Those that stay are taken by their number again: a tree if it is small enough now, else links
+    with the first.  ``sure`` gives (node, sure) of all nodes and is only called if there is a long run.
+    """
+    long = written(found.where("kind = 2").select("run", F.col("b").alias("node")).distinct(), "jaccard-long")
+    short = found.where("kind < 2")
+    if long.isEmpty():
+        return short
+    own = long.groupBy("node").agg(F.count(F.lit(1)).alias("n_long")).join(sure(), "node").where("n_long >= sure").select("node")
+    left = written(long.join(own, "node", "left_semi"), "jaccard-long")
+    sizes = left.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1")
+    kind = F.when(F.col("n") <= MANY, 1).otherwise(2).alias("kind")
+    again = left.join(sizes, "run").select(kind, "run", F.when(F.col("n") <= MANY, F.col("node")).otherwise(F.col("first")).alias("a"), F.col("node").alias("b"))
+    return short.unionByName(again)
+
+
+def _shared_runs(found: DataFrame, listed: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` between nodes that share a run, connecting at least what the overlap bound does not rule out.
+
+    Each pair of :func:`_in_one_run` is held against the bound; among the nodes of a longer run a tree over their points
+    finds the pairs; the longest are linked as they are.
+    """
     points = written(listed.where("point is not null").select("node", "point").dropDuplicates(["node"]), "jaccard-points")
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +373,10 @@ def _shared_runs(rows: DataFrame, listed: DataFrame, num: int, den: int) -> Data
     groups = found.where("kind = 1").select("run", F.col("a").alias("node")).join(points, "node")
     stars = found.where("kind = 2").select("a", "b")
     links = pairs.mapInArrow(bounded, "a bigint, b bigint")
-    return links.unionByName(groups.groupBy("run").applyInPandas(in_tree, "a bigint, b bigint")).unionByName(stars).distinct()
+    links = links.unionByName(groups.groupBy("run").applyInPandas(in_tree, "a bigint, b bigint")).unionByName(stars).distinct()
+    out = written(links, "jaccard-bounded")
+    dropped(points)
+    return out
 
 
 def _long(run: np.ndarray, many: int) -> list[tuple[int, int]]:
@@ -363,9 +421,16 @@ def linked(
 def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, chunk: int) -> DataFrame:
     """:func:`linked` with the column ``group``, which tells groups apart even where ids repeat."""
     listed = written(_listed(docs, doc_id, text, width), "jaccard-sets")
-    rows = _run_rows(docs, doc_id, text, width, num, den)
-    shared = written(_shared_runs(rows, listed, num, den), "jaccard-bounded")
+    parts = []
+    for turn in range(PASSES):
+        parts.append(written(_in_one_run(_run_rows(docs, doc_id, text, width, num, den, turn)), "jaccard-shared"))
+        released(docs.sparkSession)
+    found = _without_common(reduce(DataFrame.unionByName, parts), lambda: _sure(docs, text, width, num, den))
+    shared = _shared_runs(found, listed, num, den)
+    dropped(*parts)
     clusters = written(components(shared).withColumnRenamed("component", "cluster"), "jaccard-clusters")
+    dropped(shared)
+    released(docs.sparkSession)
     # One document stands for each node of a cluster.
     one = listed.where("node is not null").groupBy("node").agg(F.min(F.struct("mark", "id")).alias("row"), F.first("size").alias("size"))
     members = clusters.join(one, "node").select("node", "cluster", "row.mark", "row.id", "size")
@@ -390,7 +455,9 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
 
     large = members.where("chunks > 1")
     if not large.isEmpty():
+        released(docs.sparkSession)
         links = written(links.unionByName(_across_chunks(large, links, with_text, width, num, den, chunk)), "jaccard-links")
+    released(docs.sparkSession)
     return _labelled(listed, components(links))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,21 @@ def new_folder(spark: SparkSession, name: str, keep: bool = False) -> str:
     return path
 
 
+def released(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: the shuffles of plans that nothing refers to any more go with that."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete the tables that hold ``frames``, which :func:`written` gave; nothing may read them any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written once as Parquet and read again: cuts the lineage and survives lost executors."""
     spark = frame.sparkSession

@@ -109,6 +109,46 @@ def test_large_group_under_one_run(spark, monkeypatch):
     assert len({(out[i], g) for i, g in enumerate(group)}) == len(set(out.values())) == len(set(group))
 
 
+def test_common_passage_links_nobody(spark, monkeypatch):
+    """A passage that all documents have fills runs that very many share; who shares nothing else stays out of clusters."""
+    monkeypatch.setattr(jaccard, "MANY", 12)
+    pick = random.Random(3)
+
+    def own(n):
+        return " ".join(f"w{pick.randrange(10**6)}" for _ in range(n))
+
+    texts = [own(60) + " all of us say this " + own(60) for _ in range(900)]
+    texts += [t.replace(t.split(" ")[7], "x", 1) for t in texts[:25]] + ["all of us say this"] * 2 + [f"all of us say this {i}" for i in range(30)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    seen, kept = {}, jaccard.written
+
+    def counted(frame, name):
+        out = kept(frame, name)
+        seen[name] = out.count() if name != "jaccard-long" else max(seen.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    out = {r.id: r.component for r in jaccard.linked(docs, width=3, num=80, chunk=2000).collect()}
+    group = brute_groups(brute_sets(texts, 3), 80, 100)
+    assert len({(out[i], g) for i, g in enumerate(group)}) == len(set(out.values())) == len(set(group))
+    assert seen["jaccard-long"] > 100  # there are long runs ...
+    assert seen["jaccard-members"] < 150  # ... and yet most documents are in no cluster
+
+
+def test_sure_runs_are_shared():
+    """Linked sets share as many runs with n-grams as each is sure of, in every class of sizes that both are listed in."""
+    random_numbers = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(random_numbers.integers(1, 700))
+        a = np.unique(random_numbers.integers(0, 2**64, n, dtype=np.uint64))
+        drop = int(random_numbers.integers(0, max(1, len(a) // 9 + 1)))
+        b = np.unique(np.concatenate([a[drop:], random_numbers.integers(0, 2**64, drop, dtype=np.uint64)]))
+        overlap = len(np.intersect1d(a, b))
+        if 100 * overlap >= 80 * (len(a) + len(b) - overlap):
+            (x, sure_x), (y, sure_y) = (jaccard.runs_and_sure(s, 80, 100) for s in (a, b))
+            assert len(np.intersect1d(x, y)) >= max(sure_x, sure_y, 1)
+
+
 def test_components(spark):
     pick = random.Random(2)
     links = [(i, i + 1) for i in range(100, 130)] + [(pick.randrange(60), pick.randrange(60)) for _ in range(40)] + [(7, 7), (None, 3)]
@@ -243,3 +283,16 @@ def test_links_carry_trust_and_distrust(spark):
     trust = {r.host: r.trust for r in out}
     assert trust["friend.com"] > trust["near.com"] > trust["lone.com"] == 0.0
     assert link_graph.judged(spark.createDataFrame([], PAGES), RULES).count() == 0
+
+
+def test_vectors_are_copied_only_where_they_are_asked_for(spark):
+    held = spark.createDataFrame([(1, s, float(10 - 3 * s - k)) for s in range(3) for k in range(3)], "id bigint, shell int, length double")
+    asked = spark.createDataFrame(
+        [([0, 1], 0, 2.0, 12.0), ([0], 0, 1.0, 1.0), ([1, 2], 1, 1.0, float("-inf")), ([], 2, 1.0, 99.0), ([2], 3, 0.0, 0.0), ([0], 4, 1.0, 9.5)],
+        "shells array<int>, group bigint, length_q double, floor double",
+    )
+    found = sorted((r.group, r.shell, r.length) for r in topk.offered(held, asked).collect())
+    wanted = [(0, 0, x) for x in (8.0, 9.0, 10.0)] + [(0, 1, x) for x in (6.0, 7.0)]  # 12 / 2 = 6 is the least length of group 0
+    wanted += [(1, s, x) for s, xs in ((1, (5.0, 6.0, 7.0)), (2, (2.0, 3.0, 4.0))) for x in xs]
+    wanted += [(3, 2, x) for x in (2.0, 3.0, 4.0)] + [(4, 0, 10.0)]
+    assert found == sorted(wanted)

@@ -61,6 +61,74 @@ def test_blocks():
     assert [b.text for b in html_extract.blocks('<p title="open' * 300 + ">x")]
 
 
+@pytest.mark.parametrize(
+    "html, found",
+    [
+        ("<div>a" * 170_000, 170_000),
+        ("<a " * 340_000, 1),
+        ('<a ">" ' * 150_000, 1),
+        ("<ul><li>" + "<div>" * 80_000 + "<li></li>" * 60_000, 0),
+        ("<script>" + "</script " * 110_000, 0),
+        ("<div>" * 90_000 + "</p>a" * 100_000, 100_000),
+        ("<!--" * 250_000, 0),
+    ],
+)
+def test_deep_and_broken_pages_take_linear_time(model, html, found):
+    """A megabyte each: time and memory grow with the page, not with its square."""
+    import time
+    import tracemalloc
+
+    start = time.process_time()
+    assert len(html_extract.blocks(html)) == found
+    assert time.process_time() - start < 20
+    tracemalloc.start()
+    html_extract.blocks(html[: len(html) // 8])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 << 20
+
+
+def test_quotes_that_do_not_pair_up():
+    """Ends of tags by the marks alone agree with the plain reading from each place."""
+    pick = random.Random(6)
+    for _ in range(400):
+        html = "".join(pick.choice("<a>\"' x") for _ in range(pick.randint(0, 30)))
+        ends = html_extract._Ends(html)
+        for at in range(len(html) + 1):
+            wanted, quote = -1, None
+            for k in range(at, len(html)):
+                if quote:
+                    quote = None if html[k] == quote else quote
+                elif html[k] in "\"'":
+                    quote = html[k]
+                elif html[k] == ">":
+                    wanted = k
+                    break
+            assert ends.after(at) == wanted
+
+
+def test_places_are_shared_and_path_vectors_add_up():
+    places = html_extract.Places(most=50)
+    pages = [page(random.Random(k)) for k in range(4)] * 30
+    for at in range(0, len(pages), 4):
+        for html, read in zip(pages[at : at + 4], places.read(pages[at : at + 4])):
+            alone = html_extract.blocks(html)
+            assert [(b.path, b.text, b.linked) for b in read] == [(b.path, b.text, b.linked) for b in alone]
+            assert (html_extract.Features()(read) == html_extract.Features()(alone)).all()
+    deep = html_extract.blocks("<div class=a><div class=a><p class='b a'>x</div><p>y")
+    assert [b.place.fresh for b in deep] == [("p", ".b"), ("p",)]
+
+
+def test_long_sequences_are_multiplied_in_steps(model):
+    x, real = html_extract.padded([np.random.default_rng(2).normal(size=(n, html_extract.INPUT)).astype(np.float32) for n in (700, 130)])
+    whole = model.chances(x, real)
+    before, html_extract.STEPS = html_extract.STEPS, 64
+    try:
+        assert np.allclose(model.chances(x, real), whole, atol=1e-5)
+    finally:
+        html_extract.STEPS = before
+
+
 def test_labels_on_unseen_layouts(model):
     pick = random.Random(9)
     pages = [html_extract.blocks(page(pick)) for _ in range(40)]
@@ -246,6 +314,19 @@ def brute_statistics(text):
     )
 
 
+def test_line_sample_has_one_row_per_id(spark):
+    docs = spark.createDataFrame([(1, f"text number {k}\nmore") for k in range(500)] + [(2, "x | y | z")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id bigint, quality int")
+    seen, fitted = [], crf_quality.fitted
+    crf_quality.fitted = lambda documents, quality: seen.append((list(map(len, documents)), quality)) or fitted(documents, quality, rounds=1, steps=2)
+    try:
+        crf_quality.trained(docs, labels, limit=10)
+        crf_quality.trained(docs.repartition(7), labels, limit=10)
+    finally:
+        crf_quality.fitted = fitted
+    assert seen == [([2, 1], [1, 0])] * 2
+
+
 def test_lines(spark):
     pick = random.Random(5)
     known = graded(pick, 200)

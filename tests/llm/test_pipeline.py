@@ -91,7 +91,7 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
 
 def test_registered_names_and_folder(spark):
     names = list(queries.registered())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.statements()) <= set(names)
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
