@@ -154,4 +154,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op2_ngram_jaccard": sql.NGRAM_JACCARD, "op9_top_k": sql.TOP_K}
+    return {
+        "op2_ngram_jaccard": sql.NGRAM_JACCARD,
+        "op9_top_k": sql.TOP_K,
+        "op12_spelling": sql.SPELLING,
+        "op13_prefix_trie": sql.PREFIX_TRIE,
+    }
