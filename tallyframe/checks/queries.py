@@ -294,6 +294,22 @@ BUILDS: dict[str, Build] = {
 }
 
 
+#: Sort keys of the reports as printed.  Payments are sorted by the register's invoice number, which the derived tables
+#: repeat in the payment run; the directory has one key, and rows of one supplier in any order.
+REPORT_ORDER: dict[str, tuple[str, ...]] = {
+    "property_tax_detail": (
+        "asset_book", "asset_type", "major_asset_category", "minor_asset_category", "asset_number", "transaction_date", "store_location",
+    ),
+    "property_tax_by_location": ("major_asset_category", "minor_asset_category", "store_location"),
+    "property_tax_summary": ("major_asset_category", "minor_asset_category"),
+    "asset_rollforward": ("major_asset_category", "life_in_years"),
+    "nbv_detail": ("asset_book", "store_number", "store_location", "period_name"),
+    "nbv_summary": ("asset_book", "store_number"),
+    "payment_details": ("checkrun_name", "invoice_num"),
+    "supplier_directory": ("supplier_number",),
+}
+
+
 @lru_cache
 def derived(spark: SparkSession, directory: str) -> DerivedTables:
     """One table set per session and directory, so that its tables are opened once."""

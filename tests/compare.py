@@ -12,6 +12,8 @@ import duckdb
 from pyspark.sql import SparkSession
 
 import __spark_entry__ as entry_points
+from tallyframe.checks.queries import REPORT_ORDER
+from tools import first_fall
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "conversations")
 
@@ -30,7 +32,11 @@ def normal(rows, columns: list[str]) -> tuple[list[str], list[tuple[str, ...]]]:
 
 def spark_rows(spark: SparkSession, name: str, directory: str):
     frame = entry_points.queries()[name](spark, directory)
-    return normal(frame.collect(), frame.columns)
+    rows = frame.collect()
+    fall = first_fall([tuple(row[key] for key in REPORT_ORDER.get(name, ())) for row in rows])
+    if fall is not None:
+        raise ValueError(f"row {fall} is out of order")
+    return normal(rows, frame.columns)
 
 
 def duckdb_rows(connection: duckdb.DuckDBPyConnection, name: str):

@@ -139,9 +139,7 @@ def below(plan: str, table: str) -> list[str]:
         ("cip_rollforward", "", "pjc_prj_asset_ln_dets"),
         ("cip_rollforward", "", "pjc_exp_items_all"),
         ("property_tax_detail", "headers", "fa_transaction_headers"),
-        ("property_tax_detail", "stores", "fa_distribution_history"),
         ("asset_rollforward", "charges", "fa_deprn_summary"),
-        ("nbv_detail", "", "fa_deprn_summary"),
         ("nbv_summary", "", "fa_deprn_summary"),
     ],
 )

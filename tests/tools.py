@@ -51,6 +51,12 @@ def plain(rows, columns: list[str]):
     return [columns[i] for i in order], sorted(tuple(str(row[i]) for i in order) for row in rows)
 
 
+def first_fall(keys: list[tuple]) -> int | None:
+    """Where the first row stands whose key is below the one before it, NULLs last; None in an ordered list."""
+    ranked = [tuple((value is None, value if value is not None else 0) for value in key) for key in keys]
+    return next((at for at in range(1, len(ranked)) if ranked[at] < ranked[at - 1]), None)
+
+
 def records(frame) -> list[dict]:
     return [row.asDict() for row in frame.collect()]
 
