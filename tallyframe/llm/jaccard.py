@@ -41,8 +41,6 @@ CHUNK = 1_000_000
 FEW, MANY = 16, 20_000
 #: Clustered documents that are sent to the tasks which read texts, at most (about 100 bytes each); more are joined.
 SENT = 1 << 18
-#: Runs are dealt in so many passes, one after the other, by their top bits: only one pass lies on disk at a time.
-PASSES = 3
 _LEAF, _FAN = 32, 16
 
 
@@ -112,9 +110,15 @@ def point(items: np.ndarray, groups: int | None = None) -> np.ndarray:
     return np.bincount(((items >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64), minlength=groups).astype(np.int32)
 
 
-def alike(packed: list[bytes]) -> np.ndarray:
+def packed(counts: np.ndarray) -> bytes:
+    """A point as bytes: the width of a count, then the counts, in as few bytes as the largest needs."""
+    width = 1 if counts.max() < 256 else 2 if counts.max() < 65536 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def alike(points: list[bytes]) -> np.ndarray:
     """Packed points as rows in the coarsest groups among them."""
-    points = [np.frombuffer(p, np.int32) for p in packed]
+    points = [np.frombuffer(p, f"<u{p[0]}", offset=1) for p in points]
     groups = min(map(len, points))
     return np.stack([p.reshape(groups, -1).sum(axis=1, dtype=np.int32) for p in points])
 
@@ -219,7 +223,7 @@ def _listed(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
                     *batch.columns[:2],
                     pa.array([len(items) for items, _, _ in rows], pa.int64()),
                     pa.array([node for _, node, _ in rows], pa.int64()),
-                    pa.array([point(items).tobytes() if fresh else None for items, _, fresh in rows], pa.binary()),
+                    pa.array([packed(point(items)) if fresh else None for items, _, fresh in rows], pa.binary()),
                 ],
                 names=["id", "mark", "size", "node", "point"],
             )
@@ -227,15 +231,14 @@ def _listed(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     return _texts(docs, doc_id, text).mapInArrow(run, "id bigint, mark bigint, size bigint, node bigint, point binary")
 
 
-def _run_rows(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, turn: int) -> DataFrame:
-    """``run``, ``node``: the runs of every node, once per task, that the pass ``turn`` deals.
+def _run_rows(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, turn: int, passes: int) -> DataFrame:
+    """``run``, ``node``: the runs of every node, once per task, that the pass ``turn`` of ``passes`` deals.
 
     They are many and most are one node's alone, so they are not written: signatures are made anew in every pass.
     """
-    passes = np.uint64(PASSES)
 
     def mine(names: np.ndarray) -> np.ndarray:
-        return names[((names.view(np.uint64) >> np.uint64(32)) * passes >> np.uint64(32)).astype(np.int64) == turn]
+        return names[((names.view(np.uint64) >> np.uint64(32)) * np.uint64(passes) >> np.uint64(32)).astype(np.int64) == turn]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _fresh(batches, 0, width):
@@ -374,6 +377,7 @@ def _shared_runs(found: DataFrame, listed: DataFrame, num: int, den: int) -> Dat
     stars = found.where("kind = 2").select("a", "b")
     links = pairs.mapInArrow(bounded, "a bigint, b bigint")
     links = links.unionByName(groups.groupBy("run").applyInPandas(in_tree, "a bigint, b bigint")).unionByName(stars).distinct()
+    released(listed.sparkSession)
     out = written(links, "jaccard-bounded")
     dropped(points)
     return out
@@ -407,6 +411,7 @@ def linked(
     num: int = 80,
     den: int = 100,
     chunk: int = CHUNK,
+    passes: int = 1,
 ) -> DataFrame:
     """Per row of ``docs``: ``id``, ``mark`` (a hash of its text), ``size`` of its set and its ``component``.
 
@@ -414,16 +419,19 @@ def linked(
     lower-cased (A-Z).  ``component`` is the smallest id that links lead to.  A row without words has size 0 and its own
     id as component.  Ids may be null or repeat: rows are told apart by their sets, equal sets always link, and null
     ids never become the smallest one unless there is no other.  An empty table gives an empty result.
+
+    The runs of all documents are the largest thing to be dealt.  With more ``passes`` they are dealt in parts, by their
+    names, one after the other, and a part is gone before the next: less disk for the work of reading the texts again.
     """
-    return _grouped(docs, doc_id, text, width, num, den, chunk).select("id", "mark", "size", "component")
+    return _grouped(docs, doc_id, text, width, num, den, chunk, passes).select("id", "mark", "size", "component")
 
 
-def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, chunk: int) -> DataFrame:
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int, chunk: int, passes: int) -> DataFrame:
     """:func:`linked` with the column ``group``, which tells groups apart even where ids repeat."""
     listed = written(_listed(docs, doc_id, text, width), "jaccard-sets")
     parts = []
-    for turn in range(PASSES):
-        parts.append(written(_in_one_run(_run_rows(docs, doc_id, text, width, num, den, turn)), "jaccard-shared"))
+    for turn in range(passes):
+        parts.append(written(_in_one_run(_run_rows(docs, doc_id, text, width, num, den, turn, passes)), "jaccard-shared"))
         released(docs.sparkSession)
     found = _without_common(reduce(DataFrame.unionByName, parts), lambda: _sure(docs, text, width, num, den))
     shared = _shared_runs(found, listed, num, den)
@@ -492,14 +500,14 @@ def _labelled(listed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def deduplicated(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, num: int = 80, den: int = 100, chunk: int = CHUNK
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, num: int = 80, den: int = 100, chunk: int = CHUNK, passes: int = 1
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one of each group of linked documents stays.
 
     That is the row with the smallest id (of repeated ids, the one with the smallest hash of its text; of repeated
     rows, one).  Documents without words belong to no group and all stay.
     """
-    found = written(_grouped(docs, doc_id, text, width, num, den, chunk), "jaccard-groups")
+    found = written(_grouped(docs, doc_id, text, width, num, den, chunk, passes), "jaccard-groups")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark")
     best = found.where("size > 0").groupBy("group").agg(F.min(row).alias("row")).select("row.id", "row.mark")
     stays = best.withColumn("single", F.lit(True)).unionByName(

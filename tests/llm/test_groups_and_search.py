@@ -296,3 +296,13 @@ def test_vectors_are_copied_only_where_they_are_asked_for(spark):
     wanted += [(1, s, x) for s, xs in ((1, (5.0, 6.0, 7.0)), (2, (2.0, 3.0, 4.0))) for x in xs]
     wanted += [(3, 2, x) for x in (2.0, 3.0, 4.0)] + [(4, 0, 10.0)]
     assert found == sorted(wanted)
+
+
+def test_points_are_packed_without_loss():
+    random_numbers = np.random.default_rng(1)
+    for most, width in ((200, 1), (70, 1), (3000, 2), (10**6, 4)):
+        counts = [random_numbers.integers(0, most, g).astype(np.int32) for g in (64, 256)]
+        counts[0][0] = most - 1
+        found = jaccard.alike([jaccard.packed(c) for c in counts])
+        assert jaccard.packed(counts[0])[0] == width and found.dtype == np.int32
+        assert (found == [counts[0], counts[1].reshape(64, 4).sum(1)]).all()

@@ -101,7 +101,7 @@ def test_license_query(spark, documents):
 
 
 def test_url_query(spark):
-    rules = [(verdict, *(lambda host, path: (host, path + "/" if path else "/"))(*rule.rstrip("/").partition("/")[::2]), rule) for verdict, rule in queries.URL_RULES]
+    rules = [(verdict, *(lambda host, path: (host, f"/{path}/" if path else "/"))(*rule.rstrip("/").partition("/")[::2]), rule) for verdict, rule in queries.URL_RULES]
     pages = spark.read.parquet(f"{HERE}/pages.parquet").select("page_id", "url").collect()
     found = by_id(queries.op8_link_graph(spark, HERE), ["page_id", "host", "path", "rule", "verdict"])
     assert len(found) == len(pages)
