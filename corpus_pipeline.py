@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     The smallest id stays (null after all others; of equal ids the smallest hash of the text, of repeated rows one).
     Texts without words, null or empty, belong to no group and all stay.  No column of the operator's is added.
     """
-    return jaccard.deduplicated(docs, width=5, num=80, den=100)
+    return jaccard.deduplicated(docs, width=5, num=80, den=100, passes=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
