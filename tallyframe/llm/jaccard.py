@@ -513,9 +513,16 @@ def deduplicated(
     stays = best.withColumn("single", F.lit(True)).unionByName(
         found.where("size = 0").select("id", "mark").distinct().withColumn("single", F.lit(False))
     )
-    stays = written(stays.select(F.col("id").alias("__stays_id"), F.col("mark").alias("__stays_mark"), F.col("single").alias("__single")), "jaccard-stays")
-    named = docs.withColumns({"__id": F.col(f"`{doc_id}`").cast("bigint"), "__mark": F.xxhash64(F.col(f"`{text}`"))})
-    same = F.col("__id").eqNullSafe(F.col("__stays_id")) & (F.col("__mark") == F.col("__stays_mark"))
-    turn = F.row_number().over(Window.partitionBy("__mark", "__id").orderBy(F.lit(1)))
-    joined = named.join(stays, same).withColumn("__turn", turn)
+    keys = ["__id", "__no_id", "__mark"]
+
+    def keyed(frame: DataFrame, id_, mark) -> DataFrame:
+        # Plain keys that null ids have as well, so that the join and the numbering deal the texts out only once.
+        return frame.withColumns(dict(zip(keys, [F.coalesce(id_, F.lit(0).cast("bigint")), id_.isNull(), mark])))
+
+    stays = keyed(stays, F.col("id"), F.col("mark")).select(*keys, F.col("single").alias("__single"))
+    stays = written(stays, "jaccard-stays")
+    released(docs.sparkSession)
+    named = keyed(docs, F.col(f"`{doc_id}`").cast("bigint"), F.xxhash64(F.col(f"`{text}`")))
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    joined = named.join(stays, keys).withColumn("__turn", turn)
     return joined.where("__turn = 1 or not __single").select(*(F.col(f"`{c}`") for c in docs.columns))
