@@ -256,6 +256,23 @@ def test_language_model_without_training(spark):
     assert maxent_lm.scored(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_model_gives_every_pair_its_own_weights(spark):
+    # Each history is followed by one class that tells it from all others with either class of the pair.
+    history = np.arange((maxent_lm.CLASSES + 1) ** 2)
+    active = maxent_lm.features(history)
+    assert len(np.unique(active[:, 3])) == len(history) and active.max() < maxent_lm.FEATURES
+    some = history[::97] + history[::97] // 97 % 7
+    cells = [(int(h), int(h * 7 % maxent_lm.CLASSES), 50) for h in some]
+    rows = spark.createDataFrame([(h, [c], [n]) for h, c, n in cells], "history long, classes array<int>, ns array<long>")
+    weights = np.zeros((maxent_lm.FEATURES, maxent_lm.CLASSES))
+    slope, value = maxent_lm.gradient(rows.repartition(3), weights)
+    assert value == pytest.approx(-50 * len(cells) * math.log(maxent_lm.CLASSES))
+    for h, c, n in cells:
+        expected = np.full(maxent_lm.CLASSES, -n / maxent_lm.CLASSES)
+        expected[c] += n
+        assert slope[active[h, 3]] == pytest.approx(expected)
+
+
 def test_language_model_classes_by_count_alone(spark, monkeypatch):
     pick = random.Random(8)
     rows = [(i, " ".join(f"w{int(pick.paretovariate(0.35)) % 1500}" for _ in range(60))) for i in range(120)]
