@@ -11,18 +11,20 @@ from pyspark.sql import functions as F
 from tallyframe.functions.values import MONEY
 
 
-def left_join_spreading_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on ``keys`` for a left side where many keys are NULL.
+def left_join_spreading_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str], *more: DataFrame) -> DataFrame:
+    """Left join on ``keys`` for a left side where many keys are NULL; ``more`` are joined on the same keys.
 
     Rows without a key match nothing, yet a shuffled join would send them all to one task.  They get a hash of
     their own content and of the partition they are read in as a further key, so that equal rows spread as well;
-    rows with a key get zero.
+    rows with a key get zero.  All right sides meet the left one under the same dealing.
     """
     missing = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     spread = F.when(missing, F.xxhash64(*left.columns, F.spark_partition_id())).otherwise(F.lit(0).cast("bigint"))
     # Always zero, but computed from the key: a literal would be folded out of the join keys.
     zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
-    joined = left.withColumn("_spread", spread).join(right.withColumn("_spread", zero), [*keys, "_spread"], "left")
+    joined = left.withColumn("_spread", spread)
+    for side in (right, *more):
+        joined = joined.join(side.withColumn("_spread", zero), [*keys, "_spread"], "left")
     return joined.drop("_spread")
 
 

@@ -126,13 +126,16 @@ def cip_listing(
         F.col("element_number").alias("task_number"),
         "service",
     )
-
-    structure = tasks.join(projects, "project_id").join(classes, "project_id")
+    # Written before the lines meet them: their sizes are known then, and while they are small no line is dealt by task.
+    # Projects with their classes and tasks with their names stay apart, which keeps each small; the keys are narrower yet.
+    projects = stored(projects.join(classes, "project_id"), "projects")
+    tasks = stored(tasks.join(projects, "project_id", "left_semi"), "tasks")
+    listed = stored(tasks.select("project_id", "task_id").distinct(), "task-keys")
 
     # What the window asks for is known first: its lines, their items, the invoices of those, and all their events.  Each
     # lookup is limited to these keys before it is grouped or joined.
     lines = tables["pjc_cost_dist_lines_all"].filter(window_condition(calendar, window, F.col("prvdr_gl_date")))
-    lines = stored(lines.join(structure, ["project_id", "task_id"], "left_semi"), "lines")
+    lines = stored(lines.join(listed, ["project_id", "task_id"], "left_semi"), "lines")
     items = stored(tables["pjc_exp_items_all"].join(lines, "expenditure_item_id", "left_semi"), "items")
     asked = items.select(F.col("original_header_id").alias("invoice_id"))
     charged = (
@@ -151,16 +154,17 @@ def cip_listing(
     )
     attached = left_join_spreading_nulls(items, people, ["incurred_by_person_id"])
     # The account comes from the distributions, also where the invoice itself is missing.
-    for lookup in (_invoice_suppliers(tables, asked), invoice_accounts):
-        lookup = lookup.withColumnRenamed("invoice_id", "original_header_id")
-        attached = left_join_spreading_nulls(attached, lookup, ["original_header_id"])
+    lookups = (_invoice_suppliers(tables, asked), invoice_accounts)
+    suppliers, accounts = (lookup.withColumnRenamed("invoice_id", "original_header_id") for lookup in lookups)
+    attached = left_join_spreading_nulls(attached, suppliers, ["original_header_id"], accounts)
     attached = attached.join(asset_status(tables, items), "expenditure_item_id", "left")
 
     # Lookups are attached to the side that owns their key, so that the long rows are joined last and once.
     rows = (
         _with_own_accounts(tables, lines, events)
         .join(attached, "expenditure_item_id")
-        .join(structure, ["project_id", "task_id"])
+        .join(tasks, ["project_id", "task_id"])
+        .join(projects, "project_id")
         .withColumn("raw_cost_debit_acct", F.coalesce("event_account", "invoice_account", "stated_account"))
     )
     code = F.col("class_code")

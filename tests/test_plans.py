@@ -105,6 +105,7 @@ def test_how_often_facts_are_scanned(every_plan, name, tables):
         ("asset_rollforward", 49),
         ("nbv_detail", 52),
         ("nbv_summary", 35),
+        ("cip_listing_beginning", 59),
     ],
 )
 def test_exchanges(every_plan, name, most):
@@ -228,3 +229,45 @@ def test_missing_keys_of_equal_rows_spread(spark):
         for key, value in kept.items():
             spark.conf.set(key, value)
     assert sum(per_task) == 4000 and max(per_task) <= 2000
+
+
+def test_tasks_take_on_bounded_parts_of_large_tables(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    rows = spark.range(0, 3_000_000, 1, 1).select(F.xxhash64("id").alias("asset_id"), F.xxhash64(F.col("id") + 1).alias("n"))
+    rows.write.option("parquet.block.size", str(4 << 20)).parquet(path)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        TableSet(spark, {})
+        assert spark.read.parquet(path).rdd.getNumPartitions() >= 3  # 48 MB
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_the_listing_deals_no_line_by_task_while_tasks_are_few(spark, stored, monkeypatch):
+    """Projects and tasks are written first, so that their sizes are known when the lines meet them."""
+    labels = []
+
+    def recorded(frame, label):
+        if label == "lines":
+            labels.append(physical(frame))
+        return scratch.stored(frame, label)
+
+    monkeypatch.setattr(cip, "stored", recorded)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        final = physical(BUILDS["cip_listing_beginning"](stored))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "Exchange hashpartitioning(project_id" not in labels[0]
+    assert "Exchange hashpartitioning(project_id" not in final
+
+
+def test_lookups_on_one_key_share_their_dealing(spark, stored):
+    left = spark.range(100).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    one = spark.range(0, 100, 2).select(F.col("id").alias("k"), F.lit("a").alias("x"))
+    two = spark.range(0, 100, 5).select(F.col("id").alias("k"), F.lit("b").alias("y"))
+    joined = left_join_spreading_nulls(left, one, ["k"], two)
+    expected = sorted((v, "a" if v % 3 and v % 2 == 0 else None, "b" if v % 3 and v % 5 == 0 else None) for v in range(100))
+    apart = left_join_spreading_nulls(left_join_spreading_nulls(left, one, ["k"]), two, ["k"])
+    assert exchanges([physical(joined)]) == exchanges([physical(apart)]) - 1
+    assert sorted((r.v, r.x, r.y) for r in joined.collect()) == expected
