@@ -296,7 +296,7 @@ class DerivedTables(TableSet):
 
     def _view(self, name: str) -> DataFrame:
         inputs = {
-            source: self.spark.read.parquet(f"{self._directory}/{source}.parquet")
+            source: self._open(f"{self._directory}/{source}.parquet")
             if source in STAR_TABLES
             else self[source]
             for source in sources_of(name)
@@ -311,7 +311,7 @@ class DerivedTables(TableSet):
         if path not in self._written:
             self.conform(name, self._view(name)).write.mode("overwrite").parquet(path)
             self._written.add(path)
-        return self.spark.read.schema(self.schema(name)).parquet(path)
+        return self._open(path, self.schema(name))
 
 
 def view_prefix(names: list[str]) -> str:

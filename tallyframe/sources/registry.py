@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyframe.session import tune
 from tallyframe.sources.schemas import SCHEMAS
+from tallyframe.sources.scratch import stored_bytes
 
 
 class TableSet:
@@ -21,6 +22,7 @@ class TableSet:
         self.spark = tune(spark)
         self._frames = {name.lower(): frame for name, frame in frames.items()}
         self._tables: dict[str, DataFrame] = {}
+        self._opened: dict[str, int] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> TableSet:
@@ -44,6 +46,13 @@ class TableSet:
             raise KeyError(f"table {name!r} was not supplied")
         return self.conform(name, self._frames[name])
 
+    def _open(self, path: str, schema: T.StructType | None = None) -> DataFrame:
+        """The Parquet files at ``path``.  Shuffles are dealt by the size of all files that the set has opened."""
+        if path not in self._opened:
+            self._opened[path] = stored_bytes(self.spark, path)
+            tune(self.spark, sum(self._opened.values()))
+        return (self.spark.read if schema is None else self.spark.read.schema(schema)).parquet(path)
+
     @staticmethod
     def schema(name: str) -> T.StructType:
         return T.StructType.fromDDL(SCHEMAS[name])
@@ -71,4 +80,4 @@ class _ParquetTables(TableSet):
         self._root = root.rstrip("/")
 
     def _load(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema(name)).parquet(f"{self._root}/{name}")
+        return self._open(f"{self._root}/{name}", self.schema(name))

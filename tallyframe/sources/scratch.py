@@ -20,6 +20,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files at ``path``; zero where there is nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength() if files.exists(place) else 0
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written as Parquet now and read from there: work that several branches share is done once.
 

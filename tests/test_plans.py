@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.checks.queries import BUILDS
 from tallyframe.operators.combine import left_join_spreading_nulls
 from tallyframe.plans import cip, nbv, property_tax, rollforward, suppliers
+from tallyframe.session import tune
 from tallyframe.sources import DerivedTables, TableSet, scratch
 
 REPORTS = [name for name in BUILDS if list(BUILDS).index(name) < list(BUILDS).index("fiscal_calendar")]
@@ -243,6 +244,22 @@ def test_tasks_take_on_bounded_parts_of_large_tables(spark, tmp_path):
         spark.conf.unset("spark.sql.files.minPartitionNum")
 
 
+def test_shuffles_are_dealt_by_the_size_of_the_tables(spark, tmp_path):
+    """Adaptive execution merges partitions and splits none: one per 8 MB of input, however few the session states."""
+    rows = spark.range(0, 1_500_000, 1, 4).select(F.xxhash64("id").alias("asset_id"), F.xxhash64(F.col("id") + 1).alias("transaction_header_id"))
+    rows.write.parquet(str(tmp_path / "fa_transaction_headers"))
+    spark.range(1).selectExpr("id asset_id").write.parquet(str(tmp_path / "fa_additions_b"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "1"
+    try:
+        headers = TableSet.from_parquet(spark, str(tmp_path))["fa_transaction_headers"]  # 24 MB
+        grouped = headers.groupBy("asset_id", "transaction_header_id").count()
+        assert grouped.rdd.getNumPartitions() >= 2
+        few = TableSet.from_parquet(spark, str(tmp_path))["fa_additions_b"]
+        assert few.groupBy("asset_id").count().rdd.getNumPartitions() == 1
+    finally:
+        tune(spark)
+
+
 def test_the_listing_deals_no_line_by_task_while_tasks_are_few(spark, stored, monkeypatch):
     """Projects and tasks are written first, so that their sizes are known when the lines meet them."""
     labels = []
