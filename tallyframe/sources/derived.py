@@ -16,7 +16,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.sources.registry import TableSet
-from tallyframe.sources.scratch import new_folder
+from tallyframe.sources.scratch import COMPRESSION, new_folder
 
 STAR_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem")
 
@@ -309,7 +309,7 @@ class DerivedTables(TableSet):
             self._folders[key] = new_folder(self.spark, "tallyframe")
         path = f"{self._folders[key]}/{name}"
         if path not in self._written:
-            self.conform(name, self._view(name)).write.mode("overwrite").parquet(path)
+            self.conform(name, self._view(name)).write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
             self._written.add(path)
         return self._open(path, self.schema(name))
 

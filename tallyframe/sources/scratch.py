@@ -7,6 +7,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Intermediate tables go with the application, so they may be smaller than what other readers would need.
+COMPRESSION = "zstd"
+
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder of spark.checkpoint.dir, which executors share; it goes when the application ends.
@@ -34,7 +37,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = new_folder(spark, f"tallyframe-{name}")
-    frame.write.parquet(path)
+    frame.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,6 +263,14 @@ def test_shuffles_are_dealt_by_the_size_of_the_tables(spark, tmp_path):
         tune(spark)
 
 
+def test_intermediate_tables_are_written_small(spark, tmp_path):
+    frames = [scratch.stored(spark.range(100), "range"), DerivedTables(spark, "/root/testdata/sf0.001")["fa_transaction_headers"]]
+    for frame in frames:
+        for path in frame.inputFiles():
+            column = pq.ParquetFile(url2pathname(urlparse(path).path)).metadata.row_group(0).column(0)
+            assert column.compression == "ZSTD"
+
+
 def test_the_listing_deals_no_line_by_task_while_tasks_are_few(spark, stored, monkeypatch):
     """Projects and tasks are written first, so that their sizes are known when the lines meet them."""
     labels = []
