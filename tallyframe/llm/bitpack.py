@@ -18,6 +18,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -105,23 +106,68 @@ class Segment:
         return self.read(0, self.length)
 
 
-# Letters and marks that the split of byte-level vocabularies treats alike in every version of Unicode;
-# digits, the apostrophe of contractions and all other white space are left out.
-_L, _P = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
-_LETTERS = re.compile(f"[{_L}]+")
-_SIMPLE = re.compile(f" ?(?:[{_L}]|[{_P}])(?:[{_L}]|[{_P}]|\n(?!\n|$))*")
-_PIECES = re.compile(f" ?[{_L}]+| ?[{_P}]+|\n")
+_NOTHING = np.zeros(0, np.int64)
+
+# What the split of byte-level vocabularies treats alike in every version of Unicode, as classes of bytes;
+# the apostrophe of contractions and everything beyond Latin-1 letters are left out.
+_OTHER, _LETTER, _DIGIT, _MARK, _BLANK, _SPACE = range(6)
+_CLASS = np.zeros(256, np.uint8)
+for _kind, _codes in (
+    (_LETTER, b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
+    (_DIGIT, b"0123456789"),
+    (_MARK, b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"),
+    (_BLANK, b"\t\n\x0b\x0c\r"),
+    (_SPACE, b" "),
+):
+    _CLASS[list(_codes)] = _kind
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_WIDE = WHITE[WHITE.index("\x85") :]
+#: Runs of white space that are more than the bytes of one class each.
+_WIDE_RUNS = f"[{WHITE}][{_WIDE}]|[{_WIDE}][{WHITE}]"
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces begin that the split of byte-level vocabularies makes of the rows of ``data``.
+
+    Runs of letters, digits or marks take a space in front of them along.  Of a run of white space in front of something
+    else the last character stands alone, or is that space.  What stands between white space stays one piece if it has
+    any other character; rows with a match of :data:`_WIDE_RUNS` are not for this function.
+    """
+    if not len(data):
+        return _NOTHING
+    kinds = _CLASS[data]
+    lead = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF, letters but for the signs of multiplication and division
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kinds[lead] = kinds[lead + 1] = _LETTER
+    rows = np.zeros(len(data) + 1, bool)
+    rows[offsets] = True
+    white = kinds >= _BLANK
+    begins = rows[:-1].copy()
+    begins[1:] |= white[1:] & ~white[:-1]
+    begins[:-1] |= white[:-1] & ~white[1:] & ~rows[1:-1]
+    begins[1:] |= ~white[1:] & (kinds[:-1] == _BLANK)
+    changes = np.zeros(len(data), bool)
+    changes[1:] = (kinds[1:] != kinds[:-1]) & ~white[1:] & ~white[:-1]
+    other = np.flatnonzero(kinds == _OTHER)
+    if len(other):
+        stretches, changes = np.flatnonzero(begins), np.flatnonzero(changes)
+        odd = np.zeros(len(stretches), bool)
+        odd[np.searchsorted(stretches, other, "right") - 1] = True
+        begins[changes[~odd[np.searchsorted(stretches, changes, "right") - 1]]] = True
+    else:
+        begins |= changes
+    return np.flatnonzero(begins)
 
 
 class LibraryEncoder:
-    """Whole-text ids of a byte-level BPE of the tokenizers library, which sees each stretch only once in a while.
-
-    A byte-level split never joins what stands on either side of a space before a non-space, so a text is the stretch
-    before its first space and then stretches that begin with one.  Arrow splits a whole column and numbers its distinct
-    stretches; of those that are unknown the pieces go to the library, new ones with a space in one text, since each begins
-    with the only token that starts with a space.  The ids of known stretches lie one after the other in one array, from which
-    the column's ids are gathered.  Texts with special tokens or runs of white space do not divide so simply; the former
-    go to the library whole, the latter in the pieces that its split gives.
+    """Whole-text ids of a byte-level BPE of the tokenizers library, which sees each piece only once in a while.
+
+    A byte-level BPE never joins two pieces of its split, so a text's ids are those of its pieces.  They are cut on the
+    bytes of a whole column at once, Arrow numbers the distinct ones, and unknown ones go to the library, those with a
+    space in one text, since each begins with the only token that starts with a space.  The ids of known pieces lie one
+    after the other in one array, from which the column's ids are gathered.  Texts with special tokens or runs of rare white
+    space do not divide so simply; the former go to the library whole, the latter in the pieces that a regular expression
+    gives.
     """
 
     def __init__(self, description: str, special: list[str], limit: int = 1 << 20):
@@ -132,7 +178,6 @@ class LibraryEncoder:
         self._library.no_truncation()
         self._library.no_padding()
         self._special = special
-        self._runs = f"{_GAP}{{2}}"
         self._split = re.compile(f" ?[^{WHITE}]+|{_GAP}+(?![^{WHITE}])|{_GAP}+")
         size = self._library.get_vocab_size()
         self._begins = np.array([(self._library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
@@ -178,9 +223,10 @@ class LibraryEncoder:
 
     def _ask(self, new: list[str]) -> None:
         """Have the library encode pieces that are not known."""
-        spaced = [p for p in new if p[:1] == " "]
-        words = [p for p in new if p[:1] != " " and _LETTERS.fullmatch(p)]
-        rest = [p for p in new if p[:1] != " " and not _LETTERS.fullmatch(p)]
+        spaced = [p for p in new if p[0] == " " and not p.isspace()]
+        bare = [p for p in new if p[0] != " " or p.isspace()]
+        words = [p for p in bare if _LETTERS.fullmatch(p)]
+        rest = [p for p in bare if not _LETTERS.fullmatch(p)]
         for keys, ask in (
             (spaced, lambda some: self._joined(some, "", self._begins)),
             (words, lambda some: self._joined(some, "\n", self._newline)),
@@ -192,28 +238,14 @@ class LibraryEncoder:
                 self._known.update(zip(some, range(first, first + len(some))))
 
     def _numbers(self, keys: list[str]) -> np.ndarray:
-        """The number of each key in the store.
-
-        Unknown keys of plain letters and marks are put together from the pieces that the split makes of them, which
-        recur more often than they do; others go to the library as they are.
-        """
-        known = self._known
-        found = list(map(known.get, keys))
-        if None in found:
-            new = list(dict.fromkeys([k for k, f in zip(keys, found) if f is None]))
-            parts = [_PIECES.findall(k) if _SIMPLE.fullmatch(k) else () for k in new]
-            wanted = dict.fromkeys([k for k, p in zip(new, parts) if len(p) < 2])
-            wanted.update(dict.fromkeys([x for p in parts if len(p) > 1 for x in p if x not in known]))
-            self._ask(list(wanted))
-            made = [(k, p) for k, p in zip(new, parts) if len(p) > 1]
-            if made:
-                numbers = np.array([known[x] for _, p in made for x in p], np.int64)
-                ids, lengths = self._gathered(numbers)
-                counts = np.array([len(p) for _, p in made])
-                first = self._keep(ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
-                known.update(zip([k for k, _ in made], range(first, first + len(made))))
-            found = list(map(known.__getitem__, keys))
-        return np.array(found, np.int64)
+        """The number of each key in the store."""
+        found = np.fromiter(map(self._known.get, keys, repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [keys[i] for i in missing.tolist()]
+            self._ask(list(dict.fromkeys(new)))
+            found[missing] = np.fromiter(map(self._known.__getitem__, new), np.int64, len(new))
+        return found
 
     def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the runs with these numbers, one after the other, and their lengths."""
@@ -229,24 +261,16 @@ class LibraryEncoder:
         whole = np.zeros(len(texts), bool)
         for token in self._special:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        gaps = pc.match_substring_regex(texts, self._runs).to_numpy(zero_copy_only=False) & ~whole
+        gaps = pc.match_substring_regex(texts, _WIDE_RUNS).to_numpy(zero_copy_only=False) & ~whole
         numbers: list[np.ndarray] = [_NOTHING] * len(texts)
         plain = np.flatnonzero(~whole & ~gaps)
         if len(plain):
-            parts = pc.split_pattern(texts.take(pa.array(plain)), " ")
-            ends = parts.offsets.to_numpy().astype(np.int64)
-            ends = ends - ends[0]
-            coded = parts.flatten().dictionary_encode()
-            codes = coded.indices.to_numpy()
-            after = np.ones(len(codes), bool)
-            after[ends[:-1]] = False  # a text always has a first stretch, if only an empty one
-            used = np.zeros(len(coded.dictionary), bool)
-            used[codes[after]] = True
-            names = coded.dictionary.filter(pa.array(used)).to_pylist()
-            table = np.zeros(len(used), np.int64)
-            table[used] = self._numbers([" " + s for s in names])
-            flat = table[codes]
-            flat[~after] = self._numbers(coded.dictionary.take(pa.array(codes[~after])).to_pylist())
+            data, offsets = column_bytes(texts if len(plain) == len(texts) else texts.take(pa.array(plain)))
+            begins = pieces(data, offsets)
+            ends = np.searchsorted(begins, offsets)
+            buffers = [None, pa.py_buffer(np.append(begins, len(data))), pa.py_buffer(data)]
+            coded = pa.Array.from_buffers(pa.large_string(), len(begins), buffers).dictionary_encode()
+            flat = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
             for row, i, j in zip(plain.tolist(), ends[:-1].tolist(), ends[1:].tolist()):
                 numbers[row] = flat[i:j]
         for row in np.flatnonzero(gaps).tolist():
@@ -259,7 +283,6 @@ class LibraryEncoder:
         return ids, places[np.concatenate([[0], np.cumsum([len(n) for n in numbers], dtype=np.int64)])]
 
 
-_NOTHING = np.zeros(0, np.int64)
 #: Encoders of this Python worker by vocabulary: what one task has learned serves the next; their size is bounded.
 _ENCODERS: dict[str, LibraryEncoder] = {}
 

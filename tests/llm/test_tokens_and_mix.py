@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,39 @@ def test_token_files_empty_table(spark):
     assert bitpack.stored(documents(spark, []), vocabulary("byte_bpe_50k.json"), end_id=2).count() == 0
 
 
+def byte_vocabulary():
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        description = file.read()
+    return description, tokenizers.Tokenizer.from_str(description)
+
+
+def test_encoder_learns_pieces_only():
+    """Words that meet at line breaks and marks in every combination cost no more than the words."""
+    description, library = byte_vocabulary()
+    encoder = bitpack.LibraryEncoder(description, ["<|endoftext|>"])
+    words = [f"{a}{b}" for a in "bcdfghkl" for b in ("an", "era", "ition", "ou")]
+    texts = [" ".join(f"{a}{mark}{b}" for b in words) for a in words for mark in ("\n", ".\n", "-", ",")]
+    ids, places = encoder.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[places[i] : places[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder._known) <= 2 * len(words) + 4
+
+
+def test_encoder_on_random_text():
+    description, library = byte_vocabulary()
+    pick = random.Random(5)
+    parts = ["a", "the", "é", "ÿ", "×", "÷", "1", "42", "²", "'", "'ll", ".", "$$", "\\", " ", " ", "  ", "\n", "\t", "\r"]
+    parts += ["\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "漢", "😀", "ā", "\u0301", "\0", "<|endoftext|>"]
+    encoder = bitpack.LibraryEncoder(description, ["<|endoftext|>"], limit=500)
+    for turn in range(150):
+        some = pick.sample(parts, pick.randint(2, len(parts)))
+        texts = ["".join(pick.choices(some, k=pick.randint(0, pick.choice([3, 60])))) for _ in range(pick.randint(0, 20))]
+        ids, places = encoder.encode(pa.array(["x", *texts], pa.string())[1:])
+        assert len(places) == len(texts) + 1 and places[-1] == len(ids)
+        for i, text in enumerate(texts):
+            assert ids[places[i] : places[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def water_level(sizes: dict, weights, share, cap):
     """Targets by repeated resharing, as the rule is stated."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
