@@ -13,7 +13,7 @@ from tallyframe.operators.calendar import QUARTERS, Calendar, quarter_sums
 from tallyframe.operators.combine import left_join_spreading_nulls, zero_pad_union
 from tallyframe.operators.keyed import current_rows, last_before, latest_rows
 from tallyframe.sources.registry import TableSet
-from tallyframe.sources.scratch import stored, stored_together
+from tallyframe.sources.scratch import dealt_if_long, stored, stored_together
 
 # Fixed values that the results depend on.
 TRANSACTION_TYPES = (
@@ -66,7 +66,7 @@ class _Scope:
         self.asset_number, self.company, self.major = asset_number, company, major
         self.life_years = None if life_years is None else Decimal(str(life_years))
         # Written once: every branch is limited to these assets and reads these rows.
-        self.assets = stored(self._assets(), "scope")
+        self.assets = dealt_if_long(stored(self._assets(), "scope"))
         self.books, self.year_headers, self.charges = stored_together(
             stored, books=self._books(), headers=self._year_headers(), charges=self._charges()
         )

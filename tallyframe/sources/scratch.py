@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Intermediate tables go with the application, so they may be smaller than what other readers would need.
 COMPRESSION = "zstd"
 
+# The driver builds what is broadcast, and a row of a few keys takes 64 bytes or more there, however well its file packs it.
+MOST_BROADCAST_ROWS = 500_000
+
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder of spark.checkpoint.dir, which executors share; it goes when the application ends.
@@ -45,3 +48,11 @@ def stored_together(write, **frames: DataFrame) -> list[DataFrame]:
     """``write`` (such as :func:`stored`) for frames that do not depend on each other, as concurrent jobs."""
     with ThreadPoolExecutor(len(frames)) as pool:
         return list(pool.map(write, frames.values(), frames))
+
+
+def dealt_if_long(frame: DataFrame) -> DataFrame:
+    """``frame``, a stored table, kept from broadcasts where it has more than :data:`MOST_BROADCAST_ROWS` rows.
+
+    Spark goes by the size of the files, in which rising keys take a byte or two each.
+    """
+    return frame.hint("merge") if frame.count() > MOST_BROADCAST_ROWS else frame

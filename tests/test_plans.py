@@ -11,11 +11,12 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe import session
 from tallyframe.checks.queries import BUILDS
 from tallyframe.operators.combine import left_join_spreading_nulls
 from tallyframe.plans import cip, nbv, property_tax, rollforward, suppliers
 from tallyframe.session import tune
-from tallyframe.sources import DerivedTables, TableSet, scratch
+from tallyframe.sources import DerivedTables, TableSet, derived, scratch
 
 REPORTS = [name for name in BUILDS if list(BUILDS).index(name) < list(BUILDS).index("fiscal_calendar")]
 
@@ -271,6 +272,41 @@ def test_intermediate_tables_are_written_small(spark, tmp_path):
             assert column.compression == "ZSTD"
 
 
+def test_a_long_scope_is_never_broadcast(every_plan, spark, monkeypatch):
+    """Its file is small whatever its rows: what the driver holds must not grow with the assets."""
+    found = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        for most in (scratch.MOST_BROADCAST_ROWS, 5):
+            monkeypatch.setattr(scratch, "MOST_BROADCAST_ROWS", most)
+            plans = every_plan("asset_rollforward")
+            found.append([len(re.findall(r"BroadcastHashJoin \[asset_id", plans[label])) for label in ("books", "headers", "charges", "")])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert all(few > 0 for few in found[0])
+    assert found[1][:3] == [0, 0, 0] and found[1][3] < found[0][3] - 3
+
+
+def test_sides_of_a_view_count_more_than_their_files(spark, tmp_path, monkeypatch):
+    class View:
+        mode = option = lambda self, *_: self
+
+        @property
+        def write(self):
+            factors.append(float(spark.conf.get(session.SIZE_FACTOR)))
+            return self
+
+        def parquet(self, path):
+            spark.range(1).select(F.lit(1).alias("asset_id")).write.parquet(path)
+
+    factors = []
+    tables = DerivedTables(spark, str(tmp_path))
+    monkeypatch.setattr(tables, "_view", lambda name: None)
+    monkeypatch.setattr(tables, "conform", lambda name, frame: View())
+    tables._stored("fa_books")
+    assert factors == [derived.SIDES_TIMES] and spark.conf.get(session.SIZE_FACTOR) == session.SETTINGS[session.SIZE_FACTOR]
+
+
 def test_the_listing_deals_no_line_by_task_while_tasks_are_few(spark, stored, monkeypatch):
     """Projects and tasks are written first, so that their sizes are known when the lines meet them."""
     labels = []
