@@ -294,6 +294,67 @@ def test_language_model_classes_by_count_alone(spark, monkeypatch):
     assert len({(k, c) for k, (_, c) in zip(kinds, words)}) == len({c for _, c in words})
 
 
+def test_language_model_learns_word_pairs_and_skips(spark):
+    """Every word occurs as often as every other, so that no class tells them apart; only who follows whom does."""
+    names = [f"w{k}" for k in range(240)]
+
+    def passage(at: int, n: int) -> list[str]:
+        return [names[(at + k) % len(names)] for k in range(n)]
+
+    rows = [(i, " ".join(passage(7 * i, 120))) for i in range(40)]
+    known = passage(31, 60)
+    # With every other word new, only the skips over those are known.
+    gaps, turned = ([word for w in some for word in (w, f"new{w}")] for some in (known[::2], known[::-2]))
+    rows += [(100 + k, " ".join(text)) for k, text in enumerate((known, known[::-1], gaps, turned))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.id: r for r in maxent_lm.scored(frame, F.col("doc_id") < 100).collect()}
+    assert out[100].base_score == pytest.approx(out[101].base_score)
+    assert out[100].score > out[101].score + 60
+    assert out[102].score > out[103].score + 5
+
+
+def test_language_model_counts_every_pair_and_skip(spark, monkeypatch):
+    pick = random.Random(10)
+    rows = [(i, prose(pick, pick.randint(0, 40))) for i in range(90)] + [(90, None), (91, "a a a a"), (5, "a a a a"), (None, "b")]
+    learned = [i is not None and i % 4 > 0 for i, _ in rows]
+    fold = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    texts = [["<", "<", *WORD.findall((t or "").translate(fold)), ">"] for _, t in rows]
+    singles, pairs, skips, before = Counter(), Counter(), Counter(), Counter()
+    for text, learn in zip(texts, learned):
+        for t, u, w in zip(text, text[1:], text[2:]) if learn else ():
+            singles[w] += 1
+            pairs[u, w] += 1
+            skips[t, w] += 1
+            before[t] += 1
+    expected = sorted(
+        [(singles[w], pairs[u, w], skips[t, w], before[t]) for t, u, w in zip(text, text[1:], text[2:])] for text in texts
+    )
+    frame = spark.createDataFrame(rows, "id bigint, text string")
+    training = F.coalesce(F.col("id") % 4 > 0, F.lit(False))
+    body = F.coalesce("text", F.lit("")).alias("text")
+    scores = []
+    for chunk, bucket, passes in ((1 << 19, 1 << 21, 2), (40, 60, 3)):
+        monkeypatch.setattr(maxent_lm, "CHUNK", chunk)
+        monkeypatch.setattr(maxent_lm, "BUCKET", bucket)
+        vocabulary = maxent_lm.Vocabulary.of(maxent_lm.word_counts(frame.where(training).select(body)), sum(learned))
+        chunks = maxent_lm.written(maxent_lm.chunked(frame.select("id", training.alias("trained"), body)), "chunks")
+        got = []
+        for row in maxent_lm.counted(chunks, vocabulary, passes).collect():
+            part = maxent_lm._Counted(row.asDict())
+            columns = np.stack([part.c, part.n1, part.n2, part.h2], axis=1)
+            got += [[tuple(map(int, token)) for token in text] for text in np.split(columns, part.begin[1:])]
+            assert part.h1(vocabulary.texts)[part.begin].tolist() == [sum(learned)] * len(part.begin)
+        assert sorted(got) == expected
+        scores.append(sorted((r.id is None, r.id, r.n_tokens, round(r.score, 6)) for r in maxent_lm.scored(frame, training, doc_id="id").collect()))
+    assert scores[0] == scores[1] and len(scores[0]) == len(rows)
+    # What follows a word adds up to its own count, so that refined chances add up to one.
+    after, chances = Counter(), np.array([0.2, 0.5, 0.3])
+    for (t, _), n in skips.items():
+        after[t] += n
+    assert after == +before
+    assert maxent_lm._raised(chances, np.array([3, 0, 4]), 7, 2.5).sum() == pytest.approx(1)
+
+
 def test_word_counts_flush(spark):
     frame = spark.createDataFrame([("a b A",), ("b b\tc",), (None,)], "text string")
     assert sorted(r.c for r in maxent_lm.word_counts(frame).collect()) == [1, 2, 3]
